@@ -1,0 +1,26 @@
+"""Broadcast only behind a proven size bound.
+
+``fits`` runs a bounded probe (``limit(n + 1).count()``): it reads at most
+``n + 1`` rows, so the check itself stays cheap on a huge input and gives a
+hard row bound for the hint. Above the bound the caller keeps the shuffle
+join and lets AQE decide at runtime.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a side may hold to be broadcast. With the narrow projections the
+# operators broadcast (keys, a rate, a flag) this stays well under 100 MB.
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    if fits(df, max_rows):
+        return F.broadcast(df), True
+    return df, False
