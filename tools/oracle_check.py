@@ -6,6 +6,7 @@ Prints one line per query: rows, schema and value match.
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 import os
 import sys
@@ -14,6 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
+import numpy as np  # noqa: E402
 import pandas as pd  # noqa: E402
 
 from syncforge.plans.tables import TABLES  # noqa: E402
@@ -28,16 +30,26 @@ def duck(sf_dir: str):
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
+    if isinstance(v, bool):
+        return v
     if isinstance(v, float):
         if math.isnan(v):
             return None
+        if v.is_integer():
+            return int(v)
         return round(v, 6)
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None)
+    if isinstance(v, dt.date):
+        return dt.datetime(v.year, v.month, v.day)
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().replace(tzinfo=None)
-    if hasattr(v, "tolist") and not isinstance(v, (str, bytes)):
+    if isinstance(v, np.ndarray):
         return tuple(v.tolist())
+    if isinstance(v, np.generic):
+        return _norm(v.item())
     if isinstance(v, list):
         return tuple(v)
     return v
@@ -81,7 +93,7 @@ def main():
     from syncforge.plans import ORACLE, QUERIES
     from syncforge.session import build_session
 
-    spark = build_session(master="local[8]", shuffle_partitions=8, extra={"spark.ui.enabled": "false"})
+    spark = build_session(master="local[8]", shuffle_partitions=8, extra={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     bad = 0
