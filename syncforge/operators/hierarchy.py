@@ -21,8 +21,9 @@ Two distributed methods, same result:
   it stops as soon as a round activates nothing new (the active set is then
   closed under every longer jump). Best for deep chains.
 
-Lineage is cut with reliable checkpoints in the cluster's checkpoint folder
-every few rounds, so a lost executor recomputes at most that many rounds.
+Every round is cut with a reliable checkpoint in the cluster's checkpoint
+folder: plans stay flat (a round never embeds earlier rounds) and a lost
+executor recomputes at most one round.
 """
 
 from __future__ import annotations
@@ -91,9 +92,10 @@ def _frontier(groups, seeds, id_col, parent_col, direction, every) -> DataFrame:
         step = e.select(F.col("child").alias(_NODE), F.col("parent").alias(_NEXT))
     else:  # activity descends: parent -> child
         step = e.select(F.col("parent").alias(_NODE), F.col("child").alias(_NEXT))
-    held = []
-    frontier = _materialize(seeds, reliable=False)
-    held.append(frontier)
+    # Edges are read by every round: lay them out once, hash-partitioned on
+    # the join key, so each round shuffles only the (small) frontier.
+    step = step.repartition(_NODE).persist(StorageLevel.MEMORY_AND_DISK)
+    frontier = _materialize(seeds, reliable=True)
     seen_parts = [frontier]
     rounds = 0
     while True:
@@ -107,8 +109,11 @@ def _frontier(groups, seeds, id_col, parent_col, direction, every) -> DataFrame:
             .distinct()
             .join(seen, _NODE, "left_anti")
         )
-        nxt = _materialize(nxt, reliable=(rounds % every == 0))
-        held.append(nxt)
+        # Checkpoint every frontier: the next round's plan then starts from
+        # files instead of embedding this round twice (frontier and seen).
+        # Each group sits in exactly one frontier, so all rounds together
+        # write each group once.
+        nxt = _materialize(nxt, reliable=True)
         if nxt.isEmpty():
             break
         seen_parts.append(nxt)
@@ -118,9 +123,8 @@ def _frontier(groups, seeds, id_col, parent_col, direction, every) -> DataFrame:
     seen = seen_parts[0]
     for p in seen_parts[1:]:
         seen = seen.unionByName(p)
-    result = _materialize(seen, reliable=True)
-    for h in held:
-        h.unpersist()
+    result = _materialize(seen, reliable=True) if len(seen_parts) > 1 else seen
+    step.unpersist()
     return result
 
 
@@ -133,9 +137,7 @@ def _doubling(groups, seeds, id_col, parent_col, direction, every) -> DataFrame:
         .join(seed_flag, _NODE, "left")
         .select(_NODE, _NEXT, F.coalesce(F.col("_seed"), F.lit(False)).alias(_ACT))
     )
-    held = []
-    t = _materialize(t, reliable=False)
-    held.append(t)
+    t = _materialize(t, reliable=True)
     n_active = t.filter(F.col(_ACT)).count()
     rounds = 0
     while True:
@@ -160,17 +162,14 @@ def _doubling(groups, seeds, id_col, parent_col, direction, every) -> DataFrame:
             nt = jumped.select(_NODE, F.col("_ptr2").alias(_NEXT), F.col(_ACT)).join(lifted, _NODE, "left").select(
                 _NODE, _NEXT, (F.col(_ACT) | F.coalesce(F.col("_lift"), F.lit(False))).alias(_ACT)
             )
-        nt = _materialize(nt, reliable=(rounds % every == 0))
-        held.append(nt)
+        # the next round reads this one twice: start it from files
+        nt = _materialize(nt, reliable=True)
         new_active = nt.filter(F.col(_ACT)).count()
         t = nt
         if new_active == n_active or nt.filter(F.col(_NEXT).isNotNull()).isEmpty():
             break
         n_active = new_active
-    result = _materialize(t.filter(F.col(_ACT)).select(_NODE), reliable=True)
-    for h in held:
-        h.unpersist()
-    return result
+    return t.filter(F.col(_ACT)).select(_NODE)
 
 
 def flag_inactive(
