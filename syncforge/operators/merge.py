@@ -39,8 +39,11 @@ ACTION = "_action"
 _IN_C, _IN_S = "_in_core", "_in_stg"
 
 
+_STG = "_stg"
+
+
 def _s(c: str) -> str:
-    return f"_stg_{c}"
+    return f"{_STG}.{c}"
 
 
 def conform(df: DataFrame, like: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -91,7 +94,9 @@ def merge_latest(
         staging = latest_per_key(staging, keys, staging_order)
     nonkeys = [c for c in core.columns if c not in keys]
 
-    s = staging.select(*keys, *[F.col(c).alias(_s(c)) for c in nonkeys], F.lit(True).alias(_IN_S))
+    # Staged values travel as one struct column: a single alias instead of
+    # one per column keeps Catalyst's constraint propagation linear.
+    s = staging.select(*keys, F.struct(*[F.col(c) for c in nonkeys]).alias(_STG), F.lit(True).alias(_IN_S))
     c = core.select(*keys, *nonkeys, F.lit(True).alias(_IN_C))
 
     if strategy == "auto":
