@@ -10,7 +10,8 @@ Each group has at most one parent, so the hierarchy is a functional graph
 (a forest whose roots may be cycles or self-loops). Parents that are not
 groups themselves are ignored, as are active ids that are not groups.
 
-Two distributed methods, same result:
+Two distributed methods, same result (``auto``, the default, runs the
+first for up to 16 rounds and finishes with the second):
 
 * ``frontier`` (default): breadth-first rounds. Each round joins only the
   newly activated groups with the edge table and removes groups already
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from syncforge.session import checkpoint_dir
 
 DESCENDANTS, ANCESTORS = "descendants", "ancestors"
+AUTO_SWITCH_ROUNDS = 16
 _NODE, _NEXT, _ACT = "_node", "_ptr", "_act"
 
 
@@ -69,7 +71,7 @@ def active_groups(
     parent_col: str = "parent_group_id",
     active_col: str | None = None,
     direction: str = DESCENDANTS,
-    method: str = "frontier",
+    method: str = "auto",
     checkpoint_every: int = 8,
 ) -> DataFrame:
     """Distinct ids (column ``id_col``) of the groups that count as active."""
@@ -78,7 +80,14 @@ def active_groups(
     active_col = active_col or id_col
     seeds = _seeds(groups, active_ids, id_col, active_col)
     if method == "frontier":
-        out = _frontier(groups, seeds, id_col, parent_col, direction, checkpoint_every)
+        out, _ = _frontier(groups, seeds, id_col, parent_col, direction, checkpoint_every)
+    elif method == "auto":
+        # Shallow hierarchies finish in a few cheap frontier rounds; a deep
+        # one switches to pointer doubling, seeded with everything seen so
+        # far (the same closure), so rounds stay <= switch + log2(depth).
+        out, done = _frontier(groups, seeds, id_col, parent_col, direction, checkpoint_every, AUTO_SWITCH_ROUNDS)
+        if not done:
+            out = _doubling(groups, out, id_col, parent_col, direction, checkpoint_every)
     elif method == "doubling":
         out = _doubling(groups, seeds, id_col, parent_col, direction, checkpoint_every)
     else:
@@ -86,7 +95,8 @@ def active_groups(
     return out.select(F.col(_NODE).alias(id_col))
 
 
-def _frontier(groups, seeds, id_col, parent_col, direction, every) -> DataFrame:
+def _frontier(groups, seeds, id_col, parent_col, direction, every, max_rounds=None):
+    """Breadth-first rounds; returns (active ids, converged)."""
     e = _edges(groups, id_col, parent_col)
     if direction == DESCENDANTS:  # activity climbs: child -> parent
         step = e.select(F.col("child").alias(_NODE), F.col("parent").alias(_NEXT))
@@ -98,7 +108,11 @@ def _frontier(groups, seeds, id_col, parent_col, direction, every) -> DataFrame:
     frontier = _materialize(seeds, reliable=True)
     seen_parts = [frontier]
     rounds = 0
+    converged = True
     while True:
+        if max_rounds is not None and rounds >= max_rounds:
+            converged = False
+            break
         rounds += 1
         seen = seen_parts[0]
         for p in seen_parts[1:]:
@@ -125,7 +139,7 @@ def _frontier(groups, seeds, id_col, parent_col, direction, every) -> DataFrame:
         seen = seen.unionByName(p)
     result = _materialize(seen, reliable=True) if len(seen_parts) > 1 else seen
     step.unpersist()
-    return result
+    return result, converged
 
 
 def _doubling(groups, seeds, id_col, parent_col, direction, every) -> DataFrame:
@@ -179,7 +193,7 @@ def flag_inactive(
     parent_col: str = "parent_group_id",
     active_col: str | None = None,
     direction: str = DESCENDANTS,
-    method: str = "frontier",
+    method: str = "auto",
     flag_col: str = "inactive",
 ) -> DataFrame:
     """``groups`` with ``flag_col`` recomputed: True unless the group is active."""

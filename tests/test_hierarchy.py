@@ -49,7 +49,7 @@ def _frames(spark, parent, active):
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
 @pytest.mark.parametrize("direction", [DESCENDANTS, ANCESTORS])
-@pytest.mark.parametrize("method", ["frontier", "doubling"])
+@pytest.mark.parametrize("method", ["frontier", "doubling", "auto"])
 def test_random_graphs(spark, seed, direction, method):
     parent, active = random_graph(seed, 60)
     g, a = _frames(spark, parent, active)
@@ -57,7 +57,7 @@ def test_random_graphs(spark, seed, direction, method):
     assert got == brute(parent, active, direction)
 
 
-@pytest.mark.parametrize("method", ["frontier", "doubling"])
+@pytest.mark.parametrize("method", ["auto", "doubling"])
 def test_deep_chain(spark, method):
     n = 130  # deeper than a default recursive-CTE limit of 100
     parent = {i: (i - 1 if i > 0 else None) for i in range(n)}
