@@ -87,6 +87,38 @@ def _write_core(ctx: DayContext, table: str, merged: DataFrame) -> DataFrame:
     return ctx.spark.read.parquet(f"{ctx.store.path(table)}/v={v}")
 
 
+# Large entities fed by daily deltas: merge-on-read layers (see sinks.tables).
+INCREMENTAL = {
+    "transactions": (S.TRANSACTIONS_DDL, ["transaction_id"]),
+    "cards": (S.CARDS_DDL, ["card_id"]),
+    "budgets": (S.BUDGETS_DDL, ["budget_id"]),
+}
+COMPACT_AFTER_DELTAS = 30
+
+
+def read_core(store: TableStore, table: str, ddl: str | None = None) -> DataFrame:
+    """Current state of a core table, whichever layout it uses."""
+    if table in INCREMENTAL:
+        ddl_i, keys = INCREMENTAL[table]
+        return store.read_current(table, ddl_i, keys)
+    return store.read(table, ddl)
+
+
+def _merge_incremental(ctx: DayContext, table: str, staged: DataFrame, **merge_kw) -> DataFrame:
+    """Merge against the stored rows of the staged keys only; write them as a delta.
+
+    The written layer holds every staged key's outcome (insert / update /
+    stale, the latter unchanged copies), so counts come from it directly.
+    """
+    ddl, keys = INCREMENTAL[table]
+    current = ctx.store.read_current(table, ddl, keys, touched_keys=staged)
+    merged = merge_latest(current, staged, keys, **merge_kw)
+    n = ctx.store.write_changes(table, merged)
+    if ctx.store.delta_count(table) >= COMPACT_AFTER_DELTAS:
+        ctx.store.compact(table, ddl, keys)
+    return ctx.spark.read.parquet(f"{ctx.store.path(table)}/delta={n}")
+
+
 def _metrics(ctx: DayContext, name: str, table: str, counts: DataFrame, started: dt.datetime) -> None:
     row = counts.first().asDict()  # one aggregated row
     finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -192,10 +224,7 @@ def sync_budgets(ctx: DayContext) -> bool:
     valid, errors = budgets.transform(raw, ctx.day, ctx.run_ts)
     _quarantine(ctx, errors)
     staged = _stage(ctx, "budgets", valid)
-    merged = merge_latest(
-        ctx.store.read("budgets", S.BUDGETS_DDL), budgets.to_core(staged, ctx.run_ts), ["budget_id"], keep=["created_at"]
-    )
-    written = _write_core(ctx, "budgets", merged)
+    written = _merge_incremental(ctx, "budgets", budgets.to_core(staged, ctx.run_ts), keep=["created_at"])
     _metrics(ctx, "budgets", "budgets", merge_counts(written), started)
     return True
 
@@ -208,8 +237,7 @@ def sync_cards(ctx: DayContext) -> bool:
     valid, errors = cards.transform(raw, ctx.day, ctx.run_ts)
     _quarantine(ctx, errors)
     staged = _stage(ctx, "cards", valid)
-    merged = merge_latest(ctx.store.read("cards", S.CARDS_DDL), staged, ["card_id"])
-    written = _write_core(ctx, "cards", merged)
+    written = _merge_incremental(ctx, "cards", staged)
     _metrics(ctx, "cards", "cards", merge_counts(written), started)
     return True
 
@@ -236,12 +264,17 @@ def sync_transactions(ctx: DayContext) -> bool:
     state = ctx.store.read(STATE, S.PIPELINE_STATE_DDL)
     if ctx.delta_only:
         staged = since_watermark(staged, state, "transactions", "updated_time")
-    core = ctx.store.read("transactions", S.TRANSACTIONS_DDL)
-    # J-15: an idempotency key may belong to one transaction only
+    # J-15: an idempotency key may belong to one transaction only -- within
+    # the batch, and against stored transactions (found through the staged
+    # keys only, never by reading the whole table).
     staged = staged.filter(F.col("transaction_id").isNotNull())
     unique, dup = split_unique(staged.select("transaction_id", "idempotency_key").distinct(), ["idempotency_key"])
-    taken = core.select(F.col("idempotency_key"), F.col("transaction_id").alias("_owner")).join(
-        staged.select("idempotency_key").distinct(), "idempotency_key", "left_semi"
+    ddl, keys = INCREMENTAL["transactions"]
+    owners = ctx.store.ids_matching("transactions", ddl, keys, "idempotency_key", staged)
+    taken = (
+        ctx.store.read_current("transactions", ddl, keys, touched_keys=owners)
+        .select(F.col("idempotency_key"), F.col("transaction_id").alias("_owner"))
+        .join(staged.select("idempotency_key").distinct(), "idempotency_key", "left_semi")
     )
     clash = staged.join(taken, "idempotency_key").filter(F.col("_owner") != F.col("transaction_id")).drop("_owner")
     bad = staged.join(dup, ["transaction_id", "idempotency_key"], "left_semi").unionByName(clash)
@@ -250,11 +283,10 @@ def sync_transactions(ctx: DayContext) -> bool:
         to_quarantine(bad, "transactions", F.col("transaction_id"), F.col("raw_payload"), *DUPLICATE_KEY, ctx.day, ctx.run_ts)
     )
     _quarantine(ctx, errors)
-    merged = merge_latest(
-        core, good, ["transaction_id"], guard="updated_time", null_guard="accept_if_stored_null",
+    written = _merge_incremental(
+        ctx, "transactions", good, guard="updated_time", null_guard="accept_if_stored_null",
         staging_order=["updated_time desc_nulls_last"],
     )
-    written = _write_core(ctx, "transactions", merged)
     ctx.store.write_version(STATE, advance_watermark(state, good, "transactions", "updated_time"))
     ctx.store.drop_partition("stg_transactions", STG_DAY, ctx.day)  # A-16
     _metrics(ctx, "transactions", "transactions", merge_counts(written), started)

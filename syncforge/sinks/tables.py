@@ -8,6 +8,10 @@
 * **Staging, quarantine** are partitioned by ``sync_day`` (quarantine also
   by ``entity``) and written with dynamic partition overwrite, so re-running
   a day replaces exactly that day's partitions.
+* **Incremental core tables** (large entities fed by daily deltas) are
+  merge-on-read: a base snapshot plus delta layers of changed rows; the
+  merge reads only stored rows whose keys are staged and writes only the
+  rows it changed; ``compact`` folds the layers into a new base.
 * **Logs** (history, metrics) are appended.
 
 Paths go through the Hadoop FileSystem API, so the same code runs on local
@@ -79,6 +83,100 @@ class TableStore:
             p, fs = self._fs(f"{self.path(table)}/v={v}")
             fs.delete(p, True)
 
+    # -- incremental (merge-on-read) core tables ----------------------------
+    # Layout: <table>/base=<n>/ full snapshots and <table>/delta=<n>/ changed
+    # rows, numbered on one counter. The current state is the latest base plus
+    # every later delta, newest row per key winning. A day's merge writes only
+    # its inserted/updated rows, so its cost follows the delta, not the table.
+    def _numbered(self, table: str, prefix: str) -> list[int]:
+        p, fs = self._fs(self.path(table))
+        if not fs.exists(p):
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith(prefix + "=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
+                try:
+                    out.append(int(name[len(prefix) + 1:]))
+                except ValueError:
+                    pass
+        return sorted(out)
+
+    def _layers(self, table: str) -> list[tuple[int, str]]:
+        bases = self._numbered(table, "base")
+        b = bases[-1] if bases else 0
+        layers = [(b, f"{self.path(table)}/base={b}")] if bases else []
+        layers += [(d, f"{self.path(table)}/delta={d}") for d in self._numbered(table, "delta") if d > b]
+        return layers
+
+    def _next_number(self, table: str) -> int:
+        nums = self._numbered(table, "base") + self._numbered(table, "delta")
+        return (max(nums) if nums else 0) + 1
+
+    def _stacked(self, table: str, ddl: str, key_filter: DataFrame | None, keys: Sequence[str]) -> DataFrame | None:
+        want = self.spark.createDataFrame([], ddl).schema
+        frames = []
+        for n, path in self._layers(table):
+            df = self.spark.read.parquet(path)
+            df = df.select(
+                *[F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in want.fields],
+                F.lit(n).alias("_layer"),
+            )
+            if key_filter is not None:
+                df = df.join(key_filter, list(keys), "left_semi")
+            frames.append(df)
+        if not frames:
+            return None
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
+
+    def read_current(self, table: str, ddl: str, keys: Sequence[str], touched_keys: DataFrame | None = None) -> DataFrame:
+        """Current rows (newest layer per key); only keys in ``touched_keys`` if given.
+
+        With ``touched_keys`` small (a day's staged keys, probed), each layer is
+        semi-joined against their broadcast before any shuffle, so the read
+        scans the key columns but moves only the touched rows.
+        """
+        from syncforge.functions.sizing import broadcast_if_fits
+        from syncforge.operators.dedup import latest_per_key
+
+        kf = None
+        if touched_keys is not None:
+            kf, _ = broadcast_if_fits(touched_keys.select(*keys).distinct())
+        stacked = self._stacked(table, ddl, kf, keys)
+        if stacked is None:
+            return self.spark.createDataFrame([], ddl)
+        return latest_per_key(stacked, list(keys), ["_layer desc"], tie_break=[]).drop("_layer")
+
+    def ids_matching(
+        self, table: str, ddl: str, id_cols: Sequence[str], column: str, values: DataFrame
+    ) -> DataFrame:
+        """Distinct ids of stored rows (any layer) whose ``column`` is in ``values``."""
+        from syncforge.functions.sizing import broadcast_if_fits
+
+        v, _ = broadcast_if_fits(values.select(column).distinct())
+        stacked = self._stacked(table, ddl, v, [column])
+        if stacked is None:
+            return self.spark.createDataFrame([], self.spark.createDataFrame([], ddl).select(*id_cols).schema)
+        return stacked.select(*id_cols).distinct()
+
+    def delta_count(self, table: str) -> int:
+        return max(0, len(self._layers(table)) - (1 if self._numbered(table, "base") else 0))
+
+    def write_changes(self, table: str, changed: DataFrame) -> int:
+        """Append one delta layer (the rows a merge inserted or updated)."""
+        n = self._next_number(table)
+        changed.write.mode("overwrite").parquet(f"{self.path(table)}/delta={n}")
+        return n
+
+    def compact(self, table: str, ddl: str, keys: Sequence[str]) -> int:
+        """Fold base + deltas into a new base (a full rewrite, run periodically)."""
+        n = self._next_number(table)
+        self.read_current(table, ddl, keys).write.mode("overwrite").parquet(f"{self.path(table)}/base={n}")
+        return n
+
     # -- partitioned staging / quarantine -----------------------------------
     def overwrite_partitions(self, table: str, df: DataFrame, partition_by: Sequence[str]) -> None:
         (
