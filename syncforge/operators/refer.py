@@ -80,3 +80,12 @@ def absent_from(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFra
 def present_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """D-08/D-10: rows of ``df`` whose key is in ``other`` (IN / EXISTS)."""
     return df.join(other.select(*keys), list(keys), "left_semi")
+
+
+def deactivate_absent(merged: DataFrame, status_col: str = "status", action_col: str = "_action") -> DataFrame:
+    """D-01 option: rows the day's snapshot did not mention (merge action
+    ``keep``) become 'inactive' -- "present on day N, missing on day N+1"."""
+    return merged.withColumn(
+        status_col,
+        F.when(F.col(action_col) == F.lit("keep"), F.lit("inactive")).otherwise(F.col(status_col)),
+    )

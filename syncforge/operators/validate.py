@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,9 +96,19 @@ def split_valid(
     raw,
     sync_day: str | None = None,
     created_at=None,
+    hold: list | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(valid rows without the tag, quarantine rows in the shared shape)."""
+    """(valid rows without the tag, quarantine rows in the shared shape).
+
+    Both sides read the same tagged frame. When the caller writes both, it
+    passes ``hold`` (a list): the tagged frame is then persisted at the fork
+    so the normalization runs once, and appended to ``hold`` for the caller
+    to unpersist after the writes.
+    """
     tagged = tag_errors(df, rules)
+    if hold is not None:
+        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+        hold.append(tagged)
     valid = tagged.filter(F.col(ERROR).isNull()).drop(ERROR)
     errors = tagged.filter(F.col(ERROR).isNotNull()).select(
         *quarantine_record(entity, as_col(key), as_col(raw), sync_day, created_at)

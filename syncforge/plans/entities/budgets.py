@@ -43,10 +43,12 @@ def normalize(raw: DataFrame, day: str | None, run_ts) -> DataFrame:
     )
 
 
-def transform(raw: DataFrame, day: str | None = None, run_ts=None) -> tuple[DataFrame, DataFrame]:
+def transform(
+    raw: DataFrame, day: str | None = None, run_ts=None, hold: list | None = None
+) -> tuple[DataFrame, DataFrame]:
     df = normalize(raw, day, run_ts)
     rule = required(ERROR_TYPE, MESSAGE, "budget_id", "limit_amount")
-    valid, errors = split_valid(df, [rule], ENTITY, F.col("budget_id"), F.col("_raw"), day, run_ts)
+    valid, errors = split_valid(df, [rule], ENTITY, F.col("budget_id"), F.col("_raw"), day, run_ts, hold=hold)
     valid = latest_per_key(valid, ["budget_id"], ["ingested_at desc_nulls_last"], tie_break=["_raw desc"])
     return valid.drop("_raw"), errors
 

@@ -47,12 +47,14 @@ def normalize(raw: DataFrame, day: str | None, run_ts) -> DataFrame:
     )
 
 
-def transform(raw: DataFrame, day: str | None = None, run_ts=None) -> tuple[DataFrame, DataFrame]:
+def transform(
+    raw: DataFrame, day: str | None = None, run_ts=None, hold: list | None = None
+) -> tuple[DataFrame, DataFrame]:
     df = normalize(raw, day, run_ts)
     rules = [
         required(ERROR_TYPE, MESSAGE, "card_id", "status", "type", "created_time"),
         null_or_non_negative(ERROR_TYPE, MESSAGE, "current_limit", "current_spent", "recurring_limit"),
     ]
-    valid, errors = split_valid(df, rules, ENTITY, F.col("card_id"), F.col("_raw"), day, run_ts)
+    valid, errors = split_valid(df, rules, ENTITY, F.col("card_id"), F.col("_raw"), day, run_ts, hold=hold)
     valid = latest_per_key(valid, ["card_id"], ["ingested_at desc_nulls_first"], tie_break=["_raw desc"])
     return valid.drop("_raw"), errors

@@ -26,6 +26,7 @@ def transform(
     agents: DataFrame,
     day: str | None = None,
     run_ts=None,
+    hold: list | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(groups, valid members, snapshot group ids, quarantine rows).
 
@@ -43,7 +44,9 @@ def transform(
         F.col("agent_ids").cast("string").alias("agent_ids"),
         row_json(*[F.col(c) for c in d.columns]).alias("_raw"),
     )
-    valid, errors = split_valid(g, [required(*MISSING_ID, "group_id")], ENTITY, F.col("group_id"), F.col("_raw"), day, run_ts)
+    valid, errors = split_valid(
+        g, [required(*MISSING_ID, "group_id")], ENTITY, F.col("group_id"), F.col("_raw"), day, run_ts, hold=hold
+    )
     groups = latest_per_key(valid, ["group_id"], ["updated_at desc_nulls_last"], tie_break=["_raw desc"])
 
     parsed = F.from_json(F.col("agent_ids"), "array<string>")

@@ -34,9 +34,11 @@ def normalize(raw: DataFrame) -> DataFrame:
     )
 
 
-def transform(raw: DataFrame, day: str | None = None, run_ts=None) -> tuple[DataFrame, DataFrame]:
+def transform(
+    raw: DataFrame, day: str | None = None, run_ts=None, hold: list | None = None
+) -> tuple[DataFrame, DataFrame]:
     df = normalize(raw)
     rule = required(ERROR_TYPE, MESSAGE, "role_id", "name")
-    valid, errors = split_valid(df, [rule], ENTITY, F.col("role_id"), F.col("_raw"), day, run_ts)
+    valid, errors = split_valid(df, [rule], ENTITY, F.col("role_id"), F.col("_raw"), day, run_ts, hold=hold)
     valid = latest_per_key(valid, ["role_id"], ["updated_at desc_nulls_last"], tie_break=["_raw desc"])
     return valid.select(*TARGET_COLUMNS), errors

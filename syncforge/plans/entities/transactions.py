@@ -93,11 +93,14 @@ def transform(
     fx_rates: DataFrame,
     day: str | None = None,
     run_ts=None,
+    hold: list | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(valid transactions, quarantine rows) for one snapshot."""
     df = normalize(raw).withColumn("fx_date", F.to_date("occurred_time"))
     df = convert_to_usd(df, fx_rates, "fx_date", "original_currency", "original_amount", "payload_exchange_rate")
-    valid, errors = split_valid(df, rules(), ENTITY, F.col("transaction_id"), F.col("raw_payload"), day, run_ts)
+    valid, errors = split_valid(
+        df, rules(), ENTITY, F.col("transaction_id"), F.col("raw_payload"), day, run_ts, hold=hold
+    )
     valid = valid.withColumn(
         "idempotency_key",
         idempotency_key("transaction_id", "transaction_uuid", "occurred_time", "original_amount", "original_currency"),

@@ -19,9 +19,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from syncforge import schemas as S
@@ -30,6 +31,7 @@ from syncforge.operators.hierarchy import DESCENDANTS, flag_inactive, groups_wit
 from syncforge.operators.membership import removed_members, replace_members
 from syncforge.operators.merge import ACTION, merge_latest
 from syncforge.operators.metrics import merge_counts, run_metrics_row
+from syncforge.operators.refer import deactivate_absent
 from syncforge.operators.snapshot import status_snapshot, upsert_snapshot
 from syncforge.operators.uniqueness import split_unique
 from syncforge.operators.validate import to_quarantine
@@ -62,6 +64,7 @@ class DayContext:
     fx_rates: DataFrame | None = None
     direction: str = DESCENDANTS
     delta_only: bool = False
+    mark_absent: bool = False
     day_date: dt.date | None = None
     results: dict = field(default_factory=dict)
 
@@ -69,15 +72,34 @@ class DayContext:
 # ---------------------------------------------------------------------------
 # shared steps
 # ---------------------------------------------------------------------------
-def _quarantine(ctx: DayContext, errors: DataFrame) -> None:
-    ctx.store.overwrite_partitions(
-        QUARANTINE, errors.withColumn("sync_day", F.lit(ctx.day)), ["entity", "sync_day"]
-    )
+@contextmanager
+def _fork(ctx: DayContext):
+    """Frames persisted at the valid/quarantine fork, released after both writes."""
+    hold: list = []
+    try:
+        yield hold
+    finally:
+        for h in hold:
+            h.unpersist()
+
+
+def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """E-06: the row count rides on the write itself (no extra job)."""
+    obs = Observation()
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def _quarantine(ctx: DayContext, errors: DataFrame, name: str) -> None:
+    df, obs = _observed(errors.withColumn("sync_day", F.lit(ctx.day)))
+    ctx.store.overwrite_partitions(QUARANTINE, df, ["entity", "sync_day"])
+    ctx.results.setdefault("quarantined_rows", {})[name] = obs.get["rows"]
 
 
 def _stage(ctx: DayContext, name: str, valid: DataFrame) -> DataFrame:
     table = f"stg_{name}"
-    ctx.store.overwrite_partitions(table, valid.withColumn(STG_DAY, F.lit(ctx.day)), [STG_DAY])
+    df, obs = _observed(valid.withColumn(STG_DAY, F.lit(ctx.day)))
+    ctx.store.overwrite_partitions(table, df, [STG_DAY])
+    ctx.results.setdefault("staged_rows", {})[name] = obs.get["rows"]
     staged = ctx.spark.read.parquet(ctx.store.path(table))
     return staged.filter(F.col(STG_DAY) == F.lit(ctx.day)).drop(STG_DAY)
 
@@ -142,14 +164,17 @@ def sync_agents(ctx: DayContext) -> None:
     active, ok_a = read_day(ctx.spark, ctx.base, ctx.day, "agents")
     if not (ok_d and ok_a):
         raise MissingMandatoryEntity(f"agents snapshot missing for {ctx.day}")
-    valid, errors = agents.transform(details, active, ctx.day, ctx.run_ts)
-    _quarantine(ctx, errors)
-    staged = _stage(ctx, "agents", valid)
+    with _fork(ctx) as hold:
+        valid, errors = agents.transform(details, active, ctx.day, ctx.run_ts, hold=hold)
+        _quarantine(ctx, errors, "agents")
+        staged = _stage(ctx, "agents", valid)
     core = ctx.store.read("agents", S.AGENTS_DDL)
     merged = merge_latest(
         core, staged, ["agent_id"], guard="updated_at", null_guard="reject",
         keep=["created_at"], greatest=["updated_at"],
     )
+    if ctx.mark_absent:
+        merged = deactivate_absent(merged)
     written = _write_core(ctx, "agents", merged)
     hist = ctx.store.read(STATUS_HISTORY, S.AGENT_STATUS_HISTORY_DDL)
     snap = status_snapshot(written, ctx.day_date)
@@ -163,14 +188,15 @@ def sync_groups(ctx: DayContext) -> None:
     if not ok:
         raise MissingMandatoryEntity(f"groups snapshot missing for {ctx.day}")
     agents_now = ctx.store.read("agents", S.AGENTS_DDL)
-    g, members, snapshot_groups, errors = groups.transform(raw, agents_now, ctx.day, ctx.run_ts)
-    _quarantine(ctx, errors)
-    staged = _stage(ctx, "groups", g)
-    staged_members = _stage(ctx, "group_membership", members)
+    with _fork(ctx) as hold:
+        g, members, snapshot_groups, errors = groups.transform(raw, agents_now, ctx.day, ctx.run_ts, hold=hold)
+        _quarantine(ctx, errors, "groups")
+        staged = _stage(ctx, "groups", g)
+        staged_members = _stage(ctx, "group_membership", members)
     core = ctx.store.read("groups", S.GROUPS_DDL)
     merged = merge_latest(core, staged, ["group_id"], keep=["created_at", "inactive"])
     membership = ctx.store.read("group_membership", S.MEMBERSHIP_DDL)
-    deleted = removed_members(membership, snapshot_groups).count()
+    deleted = removed_members(membership, staged.select("group_id")).count()
     new_members = _write_core(
         ctx, "group_membership", replace_members(membership, staged_members, staged.select("group_id"))
     )
@@ -190,9 +216,10 @@ def sync_roles(ctx: DayContext) -> bool:
     raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "roles")
     if not ok:
         return False
-    valid, errors = roles.transform(raw, ctx.day, ctx.run_ts)
-    _quarantine(ctx, errors)
-    staged = _stage(ctx, "roles", valid)
+    with _fork(ctx) as hold:
+        valid, errors = roles.transform(raw, ctx.day, ctx.run_ts, hold=hold)
+        _quarantine(ctx, errors, "roles")
+        staged = _stage(ctx, "roles", valid)
     merged = merge_latest(ctx.store.read("roles", S.ROLES_DDL), staged, ["role_id"], keep=["created_at"])
     written = _write_core(ctx, "roles", merged)
     _metrics(ctx, "roles", "roles", merge_counts(written), started)
@@ -207,7 +234,7 @@ def sync_agent_roles(ctx: DayContext) -> bool:
     master = ctx.store.read("roles", S.ROLES_DDL)
     known_agents = ctx.store.read("agents", S.AGENTS_DDL)
     pairs, errors = agent_roles.transform(details, master, ctx.day, ctx.run_ts, agents=known_agents)
-    _quarantine(ctx, errors)
+    _quarantine(ctx, errors, "agent_roles")
     staged = _stage(ctx, "agent_roles", pairs)
     current = ctx.store.read("agent_role_mapping", S.AGENT_ROLE_MAPPING_DDL)
     written = _write_core(ctx, "agent_role_mapping", merge_assignments(current, staged, ctx.run_ts))
@@ -221,9 +248,10 @@ def sync_budgets(ctx: DayContext) -> bool:
     raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "budgets")
     if not ok:
         return False
-    valid, errors = budgets.transform(raw, ctx.day, ctx.run_ts)
-    _quarantine(ctx, errors)
-    staged = _stage(ctx, "budgets", valid)
+    with _fork(ctx) as hold:
+        valid, errors = budgets.transform(raw, ctx.day, ctx.run_ts, hold=hold)
+        _quarantine(ctx, errors, "budgets")
+        staged = _stage(ctx, "budgets", valid)
     written = _merge_incremental(ctx, "budgets", budgets.to_core(staged, ctx.run_ts), keep=["created_at"])
     _metrics(ctx, "budgets", "budgets", merge_counts(written), started)
     return True
@@ -234,9 +262,10 @@ def sync_cards(ctx: DayContext) -> bool:
     raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "cards")
     if not ok:
         return False
-    valid, errors = cards.transform(raw, ctx.day, ctx.run_ts)
-    _quarantine(ctx, errors)
-    staged = _stage(ctx, "cards", valid)
+    with _fork(ctx) as hold:
+        valid, errors = cards.transform(raw, ctx.day, ctx.run_ts, hold=hold)
+        _quarantine(ctx, errors, "cards")
+        staged = _stage(ctx, "cards", valid)
     written = _merge_incremental(ctx, "cards", staged)
     _metrics(ctx, "cards", "cards", merge_counts(written), started)
     return True
@@ -259,30 +288,31 @@ def sync_transactions(ctx: DayContext) -> bool:
     raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "transactions")
     if not ok or raw.isEmpty():  # A-15: nothing to do, nothing written
         return False
-    valid, errors = transactions.transform(raw, _fx_rates(ctx), ctx.day, ctx.run_ts)
-    staged = _stage(ctx, "transactions", valid)
-    state = ctx.store.read(STATE, S.PIPELINE_STATE_DDL)
-    if ctx.delta_only:
-        staged = since_watermark(staged, state, "transactions", "updated_time")
-    # J-15: an idempotency key may belong to one transaction only -- within
-    # the batch, and against stored transactions (found through the staged
-    # keys only, never by reading the whole table).
-    staged = staged.filter(F.col("transaction_id").isNotNull())
-    unique, dup = split_unique(staged.select("transaction_id", "idempotency_key").distinct(), ["idempotency_key"])
-    ddl, keys = INCREMENTAL["transactions"]
-    owners = ctx.store.ids_matching("transactions", ddl, keys, "idempotency_key", staged)
-    taken = (
-        ctx.store.read_current("transactions", ddl, keys, touched_keys=owners)
-        .select(F.col("idempotency_key"), F.col("transaction_id").alias("_owner"))
-        .join(staged.select("idempotency_key").distinct(), "idempotency_key", "left_semi")
-    )
-    clash = staged.join(taken, "idempotency_key").filter(F.col("_owner") != F.col("transaction_id")).drop("_owner")
-    bad = staged.join(dup, ["transaction_id", "idempotency_key"], "left_semi").unionByName(clash)
-    good = staged.join(bad.select("transaction_id").distinct(), "transaction_id", "left_anti")
-    errors = errors.unionByName(
-        to_quarantine(bad, "transactions", F.col("transaction_id"), F.col("raw_payload"), *DUPLICATE_KEY, ctx.day, ctx.run_ts)
-    )
-    _quarantine(ctx, errors)
+    with _fork(ctx) as hold:
+        valid, errors = transactions.transform(raw, _fx_rates(ctx), ctx.day, ctx.run_ts, hold=hold)
+        staged = _stage(ctx, "transactions", valid)
+        state = ctx.store.read(STATE, S.PIPELINE_STATE_DDL)
+        if ctx.delta_only:
+            staged = since_watermark(staged, state, "transactions", "updated_time")
+        # J-15: an idempotency key may belong to one transaction only -- within
+        # the batch, and against stored transactions (found through the staged
+        # keys only, never by reading the whole table).
+        staged = staged.filter(F.col("transaction_id").isNotNull())
+        unique, dup = split_unique(staged.select("transaction_id", "idempotency_key").distinct(), ["idempotency_key"])
+        ddl, keys = INCREMENTAL["transactions"]
+        owners = ctx.store.ids_matching("transactions", ddl, keys, "idempotency_key", staged)
+        taken = (
+            ctx.store.read_current("transactions", ddl, keys, touched_keys=owners)
+            .select(F.col("idempotency_key"), F.col("transaction_id").alias("_owner"))
+            .join(staged.select("idempotency_key").distinct(), "idempotency_key", "left_semi")
+        )
+        clash = staged.join(taken, "idempotency_key").filter(F.col("_owner") != F.col("transaction_id")).drop("_owner")
+        bad = staged.join(dup, ["transaction_id", "idempotency_key"], "left_semi").unionByName(clash)
+        good = staged.join(bad.select("transaction_id").distinct(), "transaction_id", "left_anti")
+        errors = errors.unionByName(
+            to_quarantine(bad, "transactions", F.col("transaction_id"), F.col("raw_payload"), *DUPLICATE_KEY, ctx.day, ctx.run_ts)
+        )
+        _quarantine(ctx, errors, "transactions")
     written = _merge_incremental(
         ctx, "transactions", good, guard="updated_time", null_guard="accept_if_stored_null",
         staging_order=["updated_time desc_nulls_last"],
@@ -314,10 +344,12 @@ def run_day(
     run_id: str | None = None,
     direction: str = DESCENDANTS,
     delta_only: bool = False,
+    mark_absent: bool = False,
 ) -> dict:
     """M-01: sync every entity of one day; returns per-entity merge counts."""
     ctx = DayContext(
-        spark, base, str(day), store, run_ts or _now(), run_id or str(uuid.uuid4()), fx_rates, direction, delta_only
+        spark, base, str(day), store, run_ts or _now(), run_id or str(uuid.uuid4()), fx_rates, direction, delta_only,
+        mark_absent,
     )
     ctx.day_date = _day_date(ctx.day) or ctx.run_ts.date()
     sync_agents(ctx)

@@ -139,3 +139,12 @@ def test_split_unique(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "key string, id int")
     uniq, dup = split_unique(df, ["key"])
     assert [r.id for r in uniq.collect()] == [3] and sorted(r.id for r in dup.collect()) == [1, 2]
+
+
+def test_deactivate_absent(spark):
+    from syncforge.operators.refer import deactivate_absent
+
+    core = spark.createDataFrame([(1, "active"), (2, "active")], "agent_id bigint, status string")
+    stg = spark.createDataFrame([(1, "active")], "agent_id bigint, status string")
+    m = deactivate_absent(merge_latest(core, stg, ["agent_id"]))
+    assert {r.agent_id: r.status for r in m.collect()} == {1: "active", 2: "inactive"}
