@@ -1,26 +1,64 @@
 """Broadcast only behind a proven size bound.
 
 ``fits`` runs a bounded probe (``limit(n + 1).count()``): it reads at most
-``n + 1`` rows, so the check itself stays cheap on a huge input and gives a
-hard row bound for the hint. Above the bound the caller keeps the shuffle
-join and lets AQE decide at runtime.
+``n + 1`` rows, so the check stays cheap on a huge input and gives a hard
+row bound. The row limit is derived from a byte budget and the schema's
+width, so a wide frame gets a proportionally smaller limit. Above the bound
+the caller keeps the shuffle join and AQE decides at runtime.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    ByteType,
+    DataType,
+    MapType,
+    ShortType,
+    StringType,
+    StructType,
+)
 
-# Rows a side may hold to be broadcast. With the narrow projections the
-# operators broadcast (keys, a rate, a flag) this stays well under 100 MB.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Byte budget for one broadcast side (Spark's own hard limit is 8 GB; the
+# default AQE threshold is 10 MB). 128 MB keeps executor memory safe.
+DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
+# Assumed width of variable-length values (text, binary, nested collections).
+VAR_WIDTH = 48
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def value_bytes(dtype: DataType) -> int:
+    if isinstance(dtype, StructType):
+        return sum(value_bytes(f.dataType) for f in dtype.fields) + 8
+    if isinstance(dtype, (StringType, BinaryType)):
+        return VAR_WIDTH
+    if isinstance(dtype, (ArrayType, MapType)):
+        return VAR_WIDTH * 4
+    if isinstance(dtype, (BooleanType, ByteType)):
+        return 1
+    if isinstance(dtype, ShortType):
+        return 2
+    return 8  # numbers, dates, timestamps
 
 
-def broadcast_if_fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def max_rows_for(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
+    return max(1, max_bytes // max(1, value_bytes(df.schema)))
+
+
+# Row bound for a typical narrow side (a few keys and a value).
+DEFAULT_BROADCAST_ROWS = DEFAULT_BROADCAST_BYTES // 64
+
+
+def fits(df: DataFrame, max_rows: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (default: by byte budget)."""
+    n = max_rows if max_rows is not None else max_rows_for(df)
+    return df.limit(n + 1).count() <= n
+
+
+def broadcast_if_fits(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
     if fits(df, max_rows):
         return F.broadcast(df), True
     return df, False

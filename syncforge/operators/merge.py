@@ -31,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from syncforge.functions.sizing import DEFAULT_BROADCAST_ROWS, fits
+from syncforge.functions.sizing import fits
 from syncforge.operators.dedup import latest_per_key
 
 INSERT, UPDATE, STALE, KEEP = "insert", "update", "stale", "keep"
@@ -78,7 +78,7 @@ def merge_latest(
     greatest: Sequence[str] = (),
     staging_order: Sequence | None = None,
     strategy: str = "auto",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Merge ``staging`` into ``core`` on ``keys``; returns core's columns + ``_action``.
 

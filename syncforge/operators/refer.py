@@ -13,17 +13,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from syncforge.functions.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_fits
+from syncforge.functions.sizing import broadcast_if_fits
 
 _FOUND = "_found"
 
 
-def _keys(ref: DataFrame, keys: Sequence[str], max_broadcast_rows: int | None) -> DataFrame:
+def _keys(ref: DataFrame, keys: Sequence[str], probe: bool, max_broadcast_rows: int | None = None) -> DataFrame:
+    """Distinct non-NULL keys; broadcast when ``probe`` proves them small."""
     k = ref.select(*keys)
     for c in keys:
         k = k.filter(F.col(c).isNotNull())
     k = k.distinct()
-    if max_broadcast_rows:
+    if probe:
         k, _ = broadcast_if_fits(k, max_broadcast_rows)
     return k
 
@@ -36,7 +37,7 @@ def flag_active(
     max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """D-01: ``status`` = 'active' when the key is in the active list, else 'inactive'."""
-    a = _keys(active, [key], max_broadcast_rows).withColumn(_FOUND, F.lit(True))
+    a = _keys(active, [key], max_broadcast_rows is not None, max_broadcast_rows).withColumn(_FOUND, F.lit(True))
     return (
         df.join(a, key, "left")
         .withColumn(
@@ -51,14 +52,14 @@ def split_known(
     df: DataFrame,
     ref: DataFrame,
     keys: Sequence[str],
-    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """D-02/D-03: (rows whose key exists in ``ref``, rows whose key does not).
 
     Rows with a NULL key are in neither side (nothing to check).
     """
     keys = list(keys)
-    k = _keys(ref, keys, max_broadcast_rows)
+    k = _keys(ref, keys, True, max_broadcast_rows)
     notnull = df
     for c in keys:
         notnull = notnull.filter(F.col(c).isNotNull())
@@ -68,7 +69,7 @@ def split_known(
 def flag_known(df: DataFrame, ref: DataFrame, keys: Sequence[str], flag: str = "is_known") -> DataFrame:
     """D-04: one pass, every row kept with a boolean ``flag``."""
     keys = list(keys)
-    k = _keys(ref, keys, None).withColumn(_FOUND, F.lit(True))
+    k = _keys(ref, keys, False).withColumn(_FOUND, F.lit(True))
     return df.join(k, keys, "left").withColumn(flag, F.coalesce(F.col(_FOUND), F.lit(False))).drop(_FOUND)
 
 
