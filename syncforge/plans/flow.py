@@ -32,7 +32,7 @@ from syncforge.operators.membership import removed_members, replace_members
 from syncforge.operators.merge import ACTION, merge_latest
 from syncforge.operators.metrics import merge_counts, run_metrics_row
 from syncforge.operators.refer import deactivate_absent
-from syncforge.operators.snapshot import status_snapshot, upsert_snapshot
+from syncforge.operators.snapshot import status_snapshot
 from syncforge.operators.uniqueness import split_unique
 from syncforge.operators.validate import to_quarantine
 from syncforge.operators.watermark import advance_watermark, since_watermark
@@ -176,9 +176,11 @@ def sync_agents(ctx: DayContext) -> None:
     if ctx.mark_absent:
         merged = deactivate_absent(merged)
     written = _write_core(ctx, "agents", merged)
-    hist = ctx.store.read(STATUS_HISTORY, S.AGENT_STATUS_HISTORY_DDL)
+    # J-03: the snapshot holds one sync date for every agent, so the upsert
+    # keyed by (agent_id, sync_date) is exactly an overwrite of that date's
+    # partition -- the history is never rewritten as a whole.
     snap = status_snapshot(written, ctx.day_date)
-    ctx.store.write_version(STATUS_HISTORY, upsert_snapshot(hist, snap).drop(ACTION))
+    ctx.store.overwrite_partitions(STATUS_HISTORY, snap, ["sync_date"])
     _metrics(ctx, "agents", "agents", merge_counts(written), started)
 
 

@@ -42,7 +42,7 @@ def test_agents_and_status_history(replay):
     spark, base, store, days, results, _ = replay
     a = {r.agent_id: r.status for r in store.read("agents", S.AGENTS_DDL).collect()}
     assert {k for k, v in a.items() if v == "active"} == {1, 2, 3, 4, 5, 6, 7, 8}  # day-3 list
-    hist = store.read("agent_status_history", S.AGENT_STATUS_HISTORY_DDL)
+    hist = store.read_partitioned("agent_status_history", S.AGENT_STATUS_HISTORY_DDL)
     assert hist.count() == 27  # 9 agents x 3 days (day labels fall back to the run date)
     day3 = {r.agent_id: r.is_active for r in hist.filter("sync_date = DATE'2024-05-03'").collect()}
     assert day3[9] is False and day3[1] is True
