@@ -104,8 +104,12 @@ def _stage(ctx: DayContext, name: str, valid: DataFrame) -> DataFrame:
     return staged.filter(F.col(STG_DAY) == F.lit(ctx.day)).drop(STG_DAY)
 
 
+KEEP_VERSIONS = 3  # previous versions kept for rollback / time travel
+
+
 def _write_core(ctx: DayContext, table: str, merged: DataFrame) -> DataFrame:
     v = ctx.store.write_version(table, merged)
+    ctx.store.vacuum(table, keep=KEEP_VERSIONS)
     return ctx.spark.read.parquet(f"{ctx.store.path(table)}/v={v}")
 
 
