@@ -13,11 +13,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from syncforge.functions.sizing import broadcast_if_fits
 from syncforge.operators.merge import ACTION
 
 KEEP, INSERT = "keep", "insert"
 
 
+def _group_ids(snapshot_groups: DataFrame, group_col: str) -> DataFrame:
+    ids = snapshot_groups.select(group_col).filter(F.col(group_col).isNotNull()).distinct()
+    ids, _ = broadcast_if_fits(ids)
+    return ids
+
+
 def replace_members(
     current: DataFrame,
     staged: DataFrame,
@@ -25,8 +32,13 @@ def replace_members(
     group_col: str = "group_id",
     member_col: str = "agent_id",
 ) -> DataFrame:
-    """Next membership table with ``_action`` ('keep' or 'insert')."""
-    groups = snapshot_groups.select(group_col).filter(F.col(group_col).isNotNull()).distinct()
+    """Next membership table with ``_action`` ('keep' or 'insert').
+
+    The snapshot's group ids (one row per group, bounded by the number of
+    groups) are broadcast when the probe proves them small, so a group holding
+    a third of all members is never gathered into one shuffle partition.
+    """
+    groups = _group_ids(snapshot_groups, group_col)
     kept = current.select(group_col, member_col).join(groups, group_col, "left_anti")
     new = (
         staged.select(group_col, member_col)
@@ -39,5 +51,5 @@ def replace_members(
 
 def removed_members(current: DataFrame, snapshot_groups: DataFrame, group_col: str = "group_id") -> DataFrame:
     """Stored rows that the replace deletes (for the deleted count)."""
-    groups = snapshot_groups.select(group_col).filter(F.col(group_col).isNotNull()).distinct()
+    groups = _group_ids(snapshot_groups, group_col)
     return current.join(groups, group_col, "left_semi")
