@@ -65,6 +65,7 @@ class DayContext:
     direction: str = DESCENDANTS
     delta_only: bool = False
     mark_absent: bool = False
+    multiline: bool = True  # one JSON document per file (API export); False = JSON-lines, splittable
     day_date: dt.date | None = None
     results: dict = field(default_factory=dict)
 
@@ -164,8 +165,8 @@ def _now() -> dt.datetime:
 # ---------------------------------------------------------------------------
 def sync_agents(ctx: DayContext) -> None:
     started = _now()
-    details, ok_d = read_day(ctx.spark, ctx.base, ctx.day, "agent_details")
-    active, ok_a = read_day(ctx.spark, ctx.base, ctx.day, "agents")
+    details, ok_d = read_day(ctx.spark, ctx.base, ctx.day, "agent_details", ctx.multiline)
+    active, ok_a = read_day(ctx.spark, ctx.base, ctx.day, "agents", ctx.multiline)
     if not (ok_d and ok_a):
         raise MissingMandatoryEntity(f"agents snapshot missing for {ctx.day}")
     with _fork(ctx) as hold:
@@ -190,7 +191,7 @@ def sync_agents(ctx: DayContext) -> None:
 
 def sync_groups(ctx: DayContext) -> None:
     started = _now()
-    raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "groups")
+    raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "groups", ctx.multiline)
     if not ok:
         raise MissingMandatoryEntity(f"groups snapshot missing for {ctx.day}")
     agents_now = ctx.store.read("agents", S.AGENTS_DDL)
@@ -219,7 +220,7 @@ def sync_groups(ctx: DayContext) -> None:
 
 def sync_roles(ctx: DayContext) -> bool:
     started = _now()
-    raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "roles")
+    raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "roles", ctx.multiline)
     if not ok:
         return False
     with _fork(ctx) as hold:
@@ -234,7 +235,7 @@ def sync_roles(ctx: DayContext) -> bool:
 
 def sync_agent_roles(ctx: DayContext) -> bool:
     started = _now()
-    details, ok = read_day(ctx.spark, ctx.base, ctx.day, "agent_details")
+    details, ok = read_day(ctx.spark, ctx.base, ctx.day, "agent_details", ctx.multiline)
     if not ok:
         return False
     master = ctx.store.read("roles", S.ROLES_DDL)
@@ -251,7 +252,7 @@ def sync_agent_roles(ctx: DayContext) -> bool:
 
 def sync_budgets(ctx: DayContext) -> bool:
     started = _now()
-    raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "budgets")
+    raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "budgets", ctx.multiline)
     if not ok:
         return False
     with _fork(ctx) as hold:
@@ -265,7 +266,7 @@ def sync_budgets(ctx: DayContext) -> bool:
 
 def sync_cards(ctx: DayContext) -> bool:
     started = _now()
-    raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "cards")
+    raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "cards", ctx.multiline)
     if not ok:
         return False
     with _fork(ctx) as hold:
@@ -291,7 +292,7 @@ DUPLICATE_KEY = ("DUPLICATE_IDEMPOTENCY_KEY", "idempotency_key already used by a
 
 def sync_transactions(ctx: DayContext) -> bool:
     started = _now()
-    raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "transactions")
+    raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "transactions", ctx.multiline)
     if not ok or raw.isEmpty():  # A-15: nothing to do, nothing written
         return False
     with _fork(ctx) as hold:
@@ -351,11 +352,12 @@ def run_day(
     direction: str = DESCENDANTS,
     delta_only: bool = False,
     mark_absent: bool = False,
+    multiline: bool = True,
 ) -> dict:
     """M-01: sync every entity of one day; returns per-entity merge counts."""
     ctx = DayContext(
         spark, base, str(day), store, run_ts or _now(), run_id or str(uuid.uuid4()), fx_rates, direction, delta_only,
-        mark_absent,
+        mark_absent, multiline,
     )
     ctx.day_date = _day_date(ctx.day) or ctx.run_ts.date()
     sync_agents(ctx)
