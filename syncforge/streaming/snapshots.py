@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from syncforge import schemas as S
 from syncforge.operators.merge import merge_latest
 from syncforge.plans.entities import budgets, cards, transactions
+from syncforge.plans.flow import INCREMENTAL
 from syncforge.sinks.tables import TableStore
 from syncforge.sources.snapshots import SOURCES
 
@@ -28,30 +29,32 @@ QUARANTINE = "quarantine"
 
 
 def _apply(name: str, store: TableStore, fx_rates: DataFrame | None):
+    ddl, keys = INCREMENTAL[name]
+
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         day = f"stream-{epoch_id}"
+        merge_kw: dict = {}
         if name == "transactions":
             rates = fx_rates if fx_rates is not None else spark.createDataFrame([], S.FX_RATES_DDL)
             valid, errors = transactions.transform(batch, rates, day, run_ts)
-            core = store.read("transactions", S.TRANSACTIONS_DDL)
-            merged = merge_latest(
-                core, valid, ["transaction_id"], guard="updated_time",
-                null_guard="accept_if_stored_null", staging_order=["updated_time desc_nulls_last"],
+            merge_kw = dict(
+                guard="updated_time", null_guard="accept_if_stored_null", staging_order=["updated_time desc_nulls_last"]
             )
         elif name == "cards":
             valid, errors = cards.transform(batch, day, run_ts)
-            merged = merge_latest(store.read("cards", S.CARDS_DDL), valid, ["card_id"])
         elif name == "budgets":
             valid, errors = budgets.transform(batch, day, run_ts)
-            merged = merge_latest(
-                store.read("budgets", S.BUDGETS_DDL), budgets.to_core(valid, run_ts), ["budget_id"], keep=["created_at"]
-            )
+            valid = budgets.to_core(valid, run_ts)
+            merge_kw = dict(keep=["created_at"])
         else:
             raise ValueError(f"streaming supports budgets, cards, transactions, not {name!r}")
         store.overwrite_partitions(QUARANTINE, errors, ["entity", "sync_day"])
-        store.write_version(name, merged)
+        # same merge-on-read layout as the batch flow: read only the stored
+        # rows of the batch's keys, append their outcomes as one layer
+        current = store.read_current(name, ddl, keys, touched_keys=valid)
+        store.write_changes(name, merge_latest(current, valid, keys, **merge_kw))
 
     return run
 

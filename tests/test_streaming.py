@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from fixtures import write_days
 from syncforge import schemas as S
+from syncforge.plans.flow import read_core
 from syncforge.sinks.tables import TableStore
 from syncforge.sources.readers import read
 from syncforge.streaming.snapshots import sync_stream
@@ -14,11 +15,11 @@ def test_stream_matches_batch_and_restarts(spark, tmp_root):
     fx = read(spark, f"{base}/fx_rates", "csv", S.FX_RATES_DDL)
     q = sync_stream(spark, base, "transactions", store, f"{tmp_root}/ck", fx_rates=fx, max_files_per_trigger=1)
     q.awaitTermination(300)
-    core = {r.transaction_id: r for r in store.read("transactions", S.TRANSACTIONS_DDL).collect()}
+    core = {r.transaction_id: r for r in read_core(store, "transactions").collect()}
     assert sorted(core) == ["t1", "t10", "t12", "t13", "t2", "t3", "t5"]
     assert core["t1"].updated_time.day == 2  # day-2 file merged after day 1
-    n_versions = len(store.versions("transactions"))
+    n_layers = store.delta_count("transactions")
     # restart: no new files, nothing reprocessed
     q2 = sync_stream(spark, base, "transactions", store, f"{tmp_root}/ck", fx_rates=fx)
     q2.awaitTermination(300)
-    assert len(store.versions("transactions")) == n_versions
+    assert store.delta_count("transactions") == n_layers
