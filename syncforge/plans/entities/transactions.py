@@ -17,7 +17,7 @@ from syncforge.functions import empty_to_null, idempotency_key, try_double, try_
 from syncforge.operators.dedup import latest_per_key
 from syncforge.operators.envelope import RECORD, unwrap
 from syncforge.operators.fx import convert_to_usd, minor_to_major
-from syncforge.operators.validate import Rule, split_valid
+from syncforge.operators.validate import Rule, split_valid, tag_errors
 from syncforge.schemas import CURRENCY_CODES
 
 ENTITY = "transactions"
@@ -88,6 +88,17 @@ def rules() -> list[Rule]:
     ]
 
 
+def prepared(raw: DataFrame, fx_rates: DataFrame) -> DataFrame:
+    """Normalized records with the FX rate applied (before the rules)."""
+    df = normalize(raw).withColumn("fx_date", F.to_date("occurred_time"))
+    return convert_to_usd(df, fx_rates, "fx_date", "original_currency", "original_amount", "payload_exchange_rate")
+
+
+def tagged(raw: DataFrame, fx_rates: DataFrame) -> DataFrame:
+    """Every record with its first failing rule (``_error``, NULL when valid)."""
+    return tag_errors(prepared(raw, fx_rates), rules())
+
+
 def transform(
     raw: DataFrame,
     fx_rates: DataFrame,
@@ -96,8 +107,7 @@ def transform(
     hold: list | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(valid transactions, quarantine rows) for one snapshot."""
-    df = normalize(raw).withColumn("fx_date", F.to_date("occurred_time"))
-    df = convert_to_usd(df, fx_rates, "fx_date", "original_currency", "original_amount", "payload_exchange_rate")
+    df = prepared(raw, fx_rates)
     valid, errors = split_valid(
         df, rules(), ENTITY, F.col("transaction_id"), F.col("raw_payload"), day, run_ts, hold=hold
     )

@@ -278,14 +278,14 @@ SELECT transaction_id AS record_key,
 FROM z""",
 )
 def rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C-05..C-07: the ordered transaction rules; the first failure names the error."""
-    valid, errors = _txn_frames(spark, sf_dir)
-    ok = valid.select(
+    """C-05..C-07: the ordered transaction rules; the first failure names the
+    error (NULL for a valid record). One pass over the tagged records."""
+    t = txn.tagged(orders_as_transactions(spark, sf_dir), orders_fx_rates(spark, sf_dir))
+    return t.select(
         F.col("transaction_id").alias("record_key"),
-        F.lit(None).cast("string").alias("error_type"),
-        F.lit(None).cast("string").alias("error_message"),
+        F.col("_error.error_type").alias("error_type"),
+        F.col("_error.error_message").alias("error_message"),
     )
-    return ok.unionByName(errors.select("record_key", "error_type", "error_message"))
 
 
 @register(
