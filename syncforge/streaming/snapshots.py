@@ -16,7 +16,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from syncforge import schemas as S
 from syncforge.operators.merge import merge_latest
