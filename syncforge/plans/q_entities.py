@@ -84,7 +84,7 @@ def agents_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
             "name": F.when(flat, F.col("c_name")),
             "job_title": F.when(flat, seg),
             "available": F.when(F.col("c_acctbal") > 0, F.lit("true")).otherwise(F.lit("false")),
-            "updated_at": F.lit("2024-05-01T00:00:00Z"),
+            "updated_at": F.lit("2024-05-01T00:00:00"),
         },
     )
     details = c.select(rec.alias("r")).select("r.*")
@@ -128,7 +128,7 @@ def cards_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "limit": (F.col("p_retailprice") - F.lit(950.0)).cast("string"),
                 "spent": F.col("p_size").cast("string"),
             },
-            "createdTime": F.lit("2024-01-01T00:00:00Z"),
+            "createdTime": F.lit("2024-01-01T00:00:00"),
         },
     )
     raw = p.select(*_raw(S.envelope(S.CARD_RECORD), rec, F.col("p_type") != "PROMO"))

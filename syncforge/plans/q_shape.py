@@ -99,7 +99,7 @@ def drift_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     flag_text = F.when(st == "F", F.lit("true")).when(st == "O", F.lit("false")).otherwise(F.lit("two"))
     ts_text = F.when((st == "F") & (pr == "1-URGENT"), F.lit("not-a-time")).otherwise(
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
     )
     day_text = F.date_format("o_orderdate", "yyyy-MM-dd")
     exp_text = F.when(pr == "3-MEDIUM", F.lit("two")).otherwise(F.lit("2"))

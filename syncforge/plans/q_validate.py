@@ -155,7 +155,7 @@ def orders_as_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     x = _orders_ctx(spark, sf_dir)
     st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
-    iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    iso = "yyyy-MM-dd'T'HH:mm:ss"  # zone-less: wall-clock in any session zone
     amount_text = (
         F.when((pr == "4-NOT SPECIFIED") & (st == "P"), F.lit(""))
         .when((pr == "5-LOW") & (st == "P"), F.lit("0"))
