@@ -17,8 +17,8 @@ Two physical strategies, same result:
 
 * ``broadcast`` (staging proven small by a bounded probe): one pass over the
   core with a broadcast hash join -- the core is never shuffled. Inserts are
-  staging rows whose key was not hit, found with two more broadcast joins on
-  key columns only.
+  staging rows whose key was not hit: a semi join of the core's key column
+  with the same broadcast, then an anti join with those (few) hit keys.
 * ``shuffle``: ``full_outer`` join on the key. Keys are unique on both sides
   (core by construction, staging after ``latest_per_key``), so the join has
   no skew to split.
@@ -102,9 +102,9 @@ def merge_latest(
     if strategy == "auto":
         strategy = "broadcast" if fits(staging, max_broadcast_rows) else "shuffle"
     if strategy == "broadcast":
-        stg_keys = staging.select(*keys).distinct()
+        # ``s`` is broadcast once: the semi join reuses the same exchange.
         left = c.join(F.broadcast(s), keys, "left")
-        hit = core.select(*keys).join(F.broadcast(stg_keys), keys, "left_semi")
+        hit = core.select(*keys).join(F.broadcast(s), keys, "left_semi")
         inserts = s.join(F.broadcast(hit), keys, "left_anti")
         joined = left.unionByName(inserts, allowMissingColumns=True)
     elif strategy == "shuffle":
