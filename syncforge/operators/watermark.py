@@ -38,15 +38,19 @@ def advance_watermark(state: DataFrame, batch: DataFrame, name: str, col: str) -
     return others.unionByName(merged)
 
 
+def current_mark(state: DataFrame, name: str):
+    """The pipeline's mark as a value (one row of the small state table), or None."""
+    return state.filter(F.col("pipeline_name") == F.lit(name)).agg(F.max("last_processed_time")).first()[0]
+
+
 def since_watermark(df: DataFrame, state: DataFrame, name: str, col: str) -> DataFrame:
     """K-01: rows with ``col >= mark`` or ``col`` NULL; all rows when no mark exists.
 
-    The mark is a single row (pipeline_name is the state key), so it is
-    broadcast to the scan with a proven size bound of one row.
+    The mark is read as one value and applied as a literal predicate, so it
+    reaches the scan as a pushed filter (row groups before the mark are
+    skipped) instead of a join.
     """
-    wm = state.filter(F.col("pipeline_name") == F.lit(name)).select(
-        F.max("last_processed_time").alias("_wm")
-    )
-    j = df.join(F.broadcast(wm), how="cross")
-    keep = F.col(col).isNull() | F.col("_wm").isNull() | (F.col(col) >= F.col("_wm"))
-    return j.filter(keep).drop("_wm")
+    mark = current_mark(state, name)
+    if mark is None:
+        return df
+    return df.filter(F.col(col).isNull() | (F.col(col) >= F.lit(mark).cast("timestamp")))

@@ -147,11 +147,11 @@ ORPHAN_OFFSET = 1_000_000
 
 def part_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
-    mx = part.agg(F.max("p_partkey").alias("_mx"))  # one row: proven size bound
-    return part.crossJoin(F.broadcast(mx)).select(
+    top = part.agg(F.max("p_partkey")).first()[0]  # one value: the key closing the cycle
+    return part.select(
         F.col("p_partkey").alias("group_id"),
         F.when(F.col("p_size") == 50, F.col("p_partkey") + ORPHAN_OFFSET)
-        .when(F.col("p_partkey") == 0, F.col("_mx"))
+        .when(F.col("p_partkey") == 0, F.lit(top).cast("bigint"))
         .otherwise(F.expr("p_partkey div 3"))
         .alias("parent_group_id"),
     )
