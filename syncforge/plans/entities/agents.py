@@ -56,7 +56,7 @@ def transform(
     df = normalize(details)
     rule = required(ERROR_TYPE, MESSAGE, "agent_id", "email", "name")
     valid, errors = split_valid(df, [rule], ENTITY, F.col("agent_id"), F.col("_raw"), day, run_ts, hold=hold)
-    valid = latest_per_key(valid, ["agent_id"], ["updated_at desc_nulls_last"], tie_break=["_raw desc"])
+    valid = latest_per_key(valid, ["agent_id"], ["updated_at desc_nulls_last"], tie_break=[F.xxhash64("_raw").desc()])
     act = unwrap(active, "results").select(try_long("rec.id").alias("agent_id"))
     valid = flag_active(valid, act, "agent_id")
     return valid.select(*TARGET_COLUMNS), errors

@@ -49,7 +49,7 @@ def transform(
     df = normalize(raw, day, run_ts)
     rule = required(ERROR_TYPE, MESSAGE, "budget_id", "limit_amount")
     valid, errors = split_valid(df, [rule], ENTITY, F.col("budget_id"), F.col("_raw"), day, run_ts, hold=hold)
-    valid = latest_per_key(valid, ["budget_id"], ["ingested_at desc_nulls_last"], tie_break=["_raw desc"])
+    valid = latest_per_key(valid, ["budget_id"], ["ingested_at desc_nulls_last"], tie_break=[F.xxhash64("_raw").desc()])
     return valid.drop("_raw"), errors
 
 

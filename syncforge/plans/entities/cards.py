@@ -56,5 +56,5 @@ def transform(
         null_or_non_negative(ERROR_TYPE, MESSAGE, "current_limit", "current_spent", "recurring_limit"),
     ]
     valid, errors = split_valid(df, rules, ENTITY, F.col("card_id"), F.col("_raw"), day, run_ts, hold=hold)
-    valid = latest_per_key(valid, ["card_id"], ["ingested_at desc_nulls_first"], tie_break=["_raw desc"])
+    valid = latest_per_key(valid, ["card_id"], ["ingested_at desc_nulls_first"], tie_break=[F.xxhash64("_raw").desc()])
     return valid.drop("_raw"), errors

@@ -47,7 +47,7 @@ def transform(
     valid, errors = split_valid(
         g, [required(*MISSING_ID, "group_id")], ENTITY, F.col("group_id"), F.col("_raw"), day, run_ts, hold=hold
     )
-    groups = latest_per_key(valid, ["group_id"], ["updated_at desc_nulls_last"], tie_break=["_raw desc"])
+    groups = latest_per_key(valid, ["group_id"], ["updated_at desc_nulls_last"], tie_break=[F.xxhash64("_raw").desc()])
 
     parsed = F.from_json(F.col("agent_ids"), "array<string>")
     bad_list = groups.filter(F.col("agent_ids").isNotNull() & parsed.isNull())

@@ -40,5 +40,5 @@ def transform(
     df = normalize(raw)
     rule = required(ERROR_TYPE, MESSAGE, "role_id", "name")
     valid, errors = split_valid(df, [rule], ENTITY, F.col("role_id"), F.col("_raw"), day, run_ts, hold=hold)
-    valid = latest_per_key(valid, ["role_id"], ["updated_at desc_nulls_last"], tie_break=["_raw desc"])
+    valid = latest_per_key(valid, ["role_id"], ["updated_at desc_nulls_last"], tie_break=[F.xxhash64("_raw").desc()])
     return valid.select(*TARGET_COLUMNS), errors

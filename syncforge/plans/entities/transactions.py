@@ -116,7 +116,7 @@ def transform(
         idempotency_key("transaction_id", "transaction_uuid", "occurred_time", "original_amount", "original_currency"),
     )
     valid = latest_per_key(
-        valid, ["idempotency_key"], ["updated_time desc_nulls_last"], tie_break=["raw_payload desc"]
+        valid, ["idempotency_key"], ["updated_time desc_nulls_last"], tie_break=[F.xxhash64("raw_payload").desc()]
     )
     valid = valid.select(*VALID_COLUMNS, F.lit(run_ts).cast("timestamp").alias("ingested_at"))
     return valid, errors

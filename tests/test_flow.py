@@ -110,6 +110,6 @@ def test_incremental_layers_and_compaction(replay):
     assert store.delta_count("budgets") == 0
     assert sorted(read_core(store, "budgets").collect()) == budgets_before
     b2 = {r.budget_id: r for r in budgets_before}
-    assert b2["b1"].limit_amount == 999.0  # same-day duplicate: tie broken by raw payload, deterministically
+    assert b2["b1"].limit_amount == 999.0  # same-day duplicate: tie broken by a hash of the raw payload (deterministic)
     assert b2["b2"].limit_amount == 302.0  # day-3 value (100 * 3 + 2)
     assert b2["b1"].created_at == dt.datetime(2024, 5, 1, 23, 0)  # kept from day 1
