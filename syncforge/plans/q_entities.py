@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from syncforge import schemas as S
-from syncforge.plans.entities import agents, budgets, cards
+from syncforge.plans.entities import agent_roles, agents, budgets, cards, groups
 from syncforge.plans.registry import register
 from syncforge.plans.tables import table
 
@@ -169,3 +169,65 @@ def budgets_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     valid, _ = budgets.transform(raw, "sf", F.lit(RUN_TS).cast("timestamp"))
     return valid.select("budget_id", "name", "limit_amount", "start_date", "retired", "sync_day")
+
+
+# ---------------------------------------------------------------------------
+# agent_roles: customers' role lists (JSON text) against nations as roles
+# ---------------------------------------------------------------------------
+@register(
+    "agent_roles_sync",
+    """
+SELECT c_custkey AS agent_id, CAST(c_nationkey AS BIGINT) AS role_id
+FROM customer WHERE c_mktsegment IN ('BUILDING', 'AUTOMOBILE')""",
+)
+def agent_roles_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B-16 / D-04 through the agent_roles transform: a list with an unknown
+    role, a value that is not a list, an empty list and a NULL list."""
+    c = table(spark, sf_dir, "customer")
+    seg, nk = F.col("c_mktsegment"), F.col("c_nationkey").cast("string")
+    role_ids = (
+        F.when(seg == "BUILDING", F.concat(F.lit("["), nk, F.lit(","), (F.col("c_nationkey") + 1000).cast("string"), F.lit("]")))
+        .when(seg == "AUTOMOBILE", F.concat(F.lit("["), nk, F.lit("]")))
+        .when(seg == "MACHINERY", F.concat(nk, F.lit(",1")))
+        .when(seg == "HOUSEHOLD", F.lit("[]"))
+    )
+    details = c.select(_record(S.AGENT_DETAIL_RECORD, {"id": F.col("c_custkey").cast("string"), "role_ids": role_ids}).alias("r")).select("r.*")
+    roles = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("role_id"))
+    pairs, _ = agent_roles.transform(details, roles, "sf", F.lit(RUN_TS).cast("timestamp"))
+    return pairs
+
+
+# ---------------------------------------------------------------------------
+# groups: parts as groups with member lists, suppliers as the agents
+# ---------------------------------------------------------------------------
+@register(
+    "groups_sync",
+    """
+SELECT p_partkey AS group_id, CAST(p_size AS BIGINT) AS agent_id
+FROM part
+WHERE p_type NOT IN ('PROMO', 'LARGE', 'STANDARD') AND p_size IN (SELECT s_suppkey FROM supplier)""",
+)
+def groups_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B-17 / D-02 / D-03 through the groups transform: known and unknown
+    members, a list that is not a list, empty and NULL lists."""
+    p = table(spark, sf_dir, "part")
+    ty, size = F.col("p_type"), F.col("p_size").cast("string")
+    agent_ids = (
+        F.when(ty == "STANDARD", F.concat(size, F.lit(",2")))
+        .when(ty == "LARGE", F.lit("[]"))
+        .when(ty != "PROMO", F.concat(F.lit("["), size, F.lit(","), (F.col("p_size") + 100000).cast("string"), F.lit("]")))
+    )
+    raw = p.select(
+        _record(
+            S.GROUP_RECORD,
+            {
+                "id": F.col("p_partkey").cast("string"),
+                "name": F.col("p_name"),
+                "parent_group_id": F.expr("p_partkey div 3").cast("string"),
+                "agent_ids": agent_ids,
+            },
+        ).alias("r")
+    ).select("r.*")
+    agents_df = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("agent_id"))
+    _, members, _, _ = groups.transform(raw, agents_df, "sf", F.lit(RUN_TS).cast("timestamp"))
+    return members

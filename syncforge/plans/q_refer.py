@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from syncforge.operators.dedup import latest_per_key
-from syncforge.operators.refer import flag_active, flag_known, split_known
+from syncforge.operators.merge import merge_latest
+from syncforge.operators.refer import deactivate_absent, flag_active, flag_known, split_known
 from syncforge.operators.uniqueness import duplicate_keys
 from syncforge.plans.registry import register
 from syncforge.plans.tables import table
@@ -146,3 +147,27 @@ FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
 def key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J-15: natural keys that occur more than once."""
     return duplicate_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+ABSENT_SPLIT = "1998-07-01"
+
+
+@register(
+    "agents_mark_absent",
+    f"""
+WITH c AS (SELECT DISTINCT o_custkey AS agent_id FROM orders WHERE o_orderdate < TIMESTAMP '{ABSENT_SPLIT}'),
+s AS (SELECT DISTINCT o_custkey AS agent_id FROM orders WHERE o_orderdate >= TIMESTAMP '{ABSENT_SPLIT}')
+SELECT COALESCE(c.agent_id, s.agent_id) AS agent_id,
+       CASE WHEN s.agent_id IS NULL THEN 'inactive' ELSE 'active' END AS status,
+       CASE WHEN c.agent_id IS NULL THEN 'insert' WHEN s.agent_id IS NULL THEN 'keep' ELSE 'update' END AS _action
+FROM c FULL OUTER JOIN s ON c.agent_id = s.agent_id""",
+)
+def agents_mark_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D-01 option: agents stored before the split but absent from the later
+    snapshot become inactive ("present on day N, missing on day N+1")."""
+    o = table(spark, sf_dir, "orders")
+    split = F.lit(ABSENT_SPLIT).cast("timestamp")
+    core = o.filter(F.col("o_orderdate") < split).select(F.col("o_custkey").alias("agent_id")).distinct()
+    snap = o.filter(F.col("o_orderdate") >= split).select(F.col("o_custkey").alias("agent_id")).distinct()
+    active = F.lit("active").alias("status")
+    return deactivate_absent(merge_latest(core.select("agent_id", active), snap.select("agent_id", active), ["agent_id"]))
