@@ -178,11 +178,13 @@ def _doubling(groups, seeds, id_col, parent_col, direction, every) -> DataFrame:
             )
         # the next round reads this one twice: start it from files
         nt = _materialize(nt, reliable=True)
-        new_active = nt.filter(F.col(_ACT)).count()
+        stats = nt.agg(
+            F.count_if(F.col(_ACT)).alias("active"), F.count_if(F.col(_NEXT).isNotNull()).alias("pointers")
+        ).first()  # one aggregated row
         t = nt
-        if new_active == n_active or nt.filter(F.col(_NEXT).isNotNull()).isEmpty():
+        if stats["active"] == n_active or stats["pointers"] == 0:
             break
-        n_active = new_active
+        n_active = stats["active"]
     return t.filter(F.col(_ACT)).select(_NODE)
 
 

@@ -34,6 +34,9 @@ def test_day_results(replay):
     assert r1["cards"]["rows_inserted"] == 13
     assert r1["transactions"]["rows_inserted"] == 7
     assert results["day3"]["transactions"] == "skipped"  # no folder that day
+    # E-06: counts observed on the staging / quarantine writes themselves
+    assert r1["staged_rows"]["transactions"] == 7 and r1["quarantined_rows"]["transactions"] == 7
+    assert r1["staged_rows"]["cards"] == 13 and r1["quarantined_rows"]["cards"] == 3
     # same agent records again: equal updated_at -> updates, nothing new
     assert results["day2"]["agents"]["rows_inserted"] == 0
 
