@@ -47,11 +47,17 @@ def main() -> None:
                 fn(spark, warm_dir).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name, fn in QUERIES.items():
         if only and name not in only:
             continue
         t0 = time.perf_counter()
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        except Exception as e:  # report, keep benchmarking the rest
+            errors[name] = repr(e)[:300]
+            print(f"{name}: FAILED {errors[name]}", file=sys.stderr, flush=True)
+            continue
         times[name] = round(time.perf_counter() - t0, 3)
         print(f"{name}: {times[name]}s", file=sys.stderr, flush=True)
 
@@ -65,6 +71,7 @@ def main() -> None:
                 "queries": times,
                 "sf": float(m.group(1)) if m else None,
                 "cpus": cpus,
+                **({"errors": errors} if errors else {}),
             }
         )
     )

@@ -30,6 +30,7 @@ from syncforge.operators.assignments import assignment_counts, assignment_histor
 from syncforge.operators.hierarchy import DESCENDANTS, flag_inactive, groups_with_active_members
 from syncforge.operators.membership import removed_members, replace_members
 from syncforge.operators.merge import ACTION, merge_latest
+from syncforge.operators.envelope import unwrap
 from syncforge.operators.metrics import merge_counts, run_metrics_row
 from syncforge.operators.refer import deactivate_absent
 from syncforge.operators.snapshot import status_snapshot
@@ -293,7 +294,7 @@ DUPLICATE_KEY = ("DUPLICATE_IDEMPOTENCY_KEY", "idempotency_key already used by a
 def sync_transactions(ctx: DayContext) -> bool:
     started = _now()
     raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "transactions", ctx.multiline)
-    if not ok or raw.isEmpty():  # A-15: nothing to do, nothing written
+    if not ok or unwrap(raw, "results").isEmpty():  # A-15: no records -> nothing written
         return False
     with _fork(ctx) as hold:
         valid, errors = transactions.transform(raw, _fx_rates(ctx), ctx.day, ctx.run_ts, hold=hold)

@@ -116,3 +116,20 @@ def test_incremental_layers_and_compaction(replay):
     assert b2["b1"].limit_amount == 999.0  # same-day duplicate: tie broken by a hash of the raw payload (deterministic)
     assert b2["b2"].limit_amount == 302.0  # day-3 value (100 * 3 + 2)
     assert b2["b1"].created_at == dt.datetime(2024, 5, 1, 23, 0)  # kept from day 1
+
+
+def test_empty_transactions_snapshot_is_skipped(spark, tmp_root):
+    import json
+    import os
+
+    base = f"{tmp_root}/snap"
+    days = write_days(base)
+    os.makedirs(f"{base}/sync-day3/transactions", exist_ok=True)
+    with open(f"{base}/sync-day3/transactions/1.json", "w") as f:
+        json.dump({"results": []}, f)
+    from syncforge.plans import flow
+
+    store = TableStore(spark, f"{tmp_root}/t")
+    ctx = flow.DayContext(spark, base, days[2], store, dt.datetime(2024, 5, 3), "r")
+    assert flow.sync_transactions(ctx) is False  # A-15: no records, nothing written
+    assert store.delta_count("transactions") == 0
