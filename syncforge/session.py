@@ -20,6 +20,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # ANSI stays on (Spark 4 default); the library only uses try_* casts.
     "spark.sql.ansi.enabled": "true",
+    # Hierarchy rounds checkpoint to shared storage; drop files once unused.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
