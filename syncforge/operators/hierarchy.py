@@ -33,7 +33,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from syncforge.session import checkpoint_dir
+from syncforge.session import materialize
 
 DESCENDANTS, ANCESTORS = "descendants", "ancestors"
 AUTO_SWITCH_ROUNDS = 16
@@ -57,8 +57,7 @@ def _seeds(groups: DataFrame, active_ids: DataFrame, id_col: str, active_col: st
 
 def _materialize(df: DataFrame, reliable: bool) -> DataFrame:
     if reliable:
-        checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        return materialize(df)
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
     return out

@@ -17,6 +17,7 @@ from syncforge.operators.watermark import advance_watermark, empty_state, since_
 from syncforge.plans.registry import register
 from syncforge.plans.tables import table
 from syncforge.schemas import AGENT_STATUS_HISTORY_DDL
+from syncforge.session import materialize
 
 HALF = "2024-01-16"
 RUN_TS = "2024-02-01 00:00:00"
@@ -253,8 +254,8 @@ def status_snapshot_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     snap1 = status_snapshot(flag_active(agents, _active_between(spark, sf_dir, *DAY1), "agent_id"), DAY1[1])
     snap2 = status_snapshot(flag_active(agents, _active_between(spark, sf_dir, *DAY2), "agent_id"), DAY2[1])
     hist = spark.createDataFrame([], AGENT_STATUS_HISTORY_DDL)
-    hist = current_rows(upsert_snapshot(hist, snap1))
-    hist = current_rows(upsert_snapshot(hist, snap2))
+    hist = materialize(current_rows(upsert_snapshot(hist, snap1)))
+    hist = materialize(current_rows(upsert_snapshot(hist, snap2)))
     return upsert_snapshot(hist, snap2)
 
 
@@ -341,5 +342,6 @@ def backfill_three_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches = backfill_batches(spark, sf_dir)
     core = spark.createDataFrame([], batches[0].schema)
     for b in batches:
-        core = current_rows(merge_latest(core, b, ["order_id"], guard="updated_at", null_guard="reject"))
+        # each day starts from the version the previous day wrote
+        core = materialize(current_rows(merge_latest(core, b, ["order_id"], guard="updated_at", null_guard="reject")))
     return core

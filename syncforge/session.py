@@ -68,3 +68,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
             os.makedirs(conf_dir[len("file:"):], exist_ok=True)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used where a plan would otherwise stack day upon day (a fold over days
+    re-reading each previous result): the next step starts from files, and a
+    lost executor recomputes at most the current step.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
