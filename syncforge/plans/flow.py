@@ -22,6 +22,7 @@ import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,9 +140,15 @@ def _merge_incremental(ctx: DayContext, table: str, staged: DataFrame, **merge_k
     stale, the latter unchanged copies), so counts come from it directly.
     """
     ddl, keys = INCREMENTAL[table]
-    current = ctx.store.read_current(table, ddl, keys, touched_keys=staged)
-    merged = merge_latest(current, staged, keys, **merge_kw)
-    n = ctx.store.write_changes(table, merged)
+    # the stored rows of the staged keys (at most one per staged key) are read
+    # twice by the broadcast merge: keep them for the write instead of
+    # scanning every layer twice
+    current = ctx.store.read_current(table, ddl, keys, touched_keys=staged).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        merged = merge_latest(current, staged, keys, **merge_kw)
+        n = ctx.store.write_changes(table, merged)
+    finally:
+        current.unpersist()
     if ctx.store.delta_count(table) >= COMPACT_AFTER_DELTAS:
         ctx.store.compact(table, ddl, keys)
     return ctx.spark.read.parquet(f"{ctx.store.path(table)}/delta={n}")
