@@ -133,22 +133,31 @@ def read_core(store: TableStore, table: str, ddl: str | None = None) -> DataFram
     return store.read(table, ddl)
 
 
-def _merge_incremental(ctx: DayContext, table: str, staged: DataFrame, **merge_kw) -> DataFrame:
+def _merge_incremental(
+    ctx: DayContext, table: str, staged: DataFrame, current: DataFrame | None = None, **merge_kw
+) -> DataFrame:
     """Merge against the stored rows of the staged keys only; write them as a delta.
 
     The written layer holds every staged key's outcome (insert / update /
     stale, the latter unchanged copies), so counts come from it directly.
+    ``current`` may carry stored rows the caller already read (a superset of
+    the staged keys is fine: only staged keys take part).
     """
     ddl, keys = INCREMENTAL[table]
     # the stored rows of the staged keys (at most one per staged key) are read
     # twice by the broadcast merge: keep them for the write instead of
     # scanning every layer twice
-    current = ctx.store.read_current(table, ddl, keys, touched_keys=staged).persist(StorageLevel.MEMORY_AND_DISK)
+    own = current is None
+    if own:
+        current = ctx.store.read_current(table, ddl, keys, touched_keys=staged).persist(StorageLevel.MEMORY_AND_DISK)
+    else:
+        current = current.join(staged.select(*keys), keys, "left_semi")
     try:
         merged = merge_latest(current, staged, keys, **merge_kw)
         n = ctx.store.write_changes(table, merged)
     finally:
-        current.unpersist()
+        if own:
+            current.unpersist()
     if ctx.store.delta_count(table) >= COMPACT_AFTER_DELTAS:
         ctx.store.compact(table, ddl, keys)
     return ctx.spark.read.parquet(f"{ctx.store.path(table)}/delta={n}")
@@ -315,11 +324,16 @@ def sync_transactions(ctx: DayContext) -> bool:
         staged = staged.filter(F.col("transaction_id").isNotNull())
         unique, dup = split_unique(staged.select("transaction_id", "idempotency_key").distinct(), ["idempotency_key"])
         ddl, keys = INCREMENTAL["transactions"]
+        # one read of the stored rows serves both the key check and the merge:
+        # staged ids plus the ids that own any staged idempotency key
         owners = ctx.store.ids_matching("transactions", ddl, keys, "idempotency_key", staged)
-        taken = (
-            ctx.store.read_current("transactions", ddl, keys, touched_keys=owners)
-            .select(F.col("idempotency_key"), F.col("transaction_id").alias("_owner"))
-            .join(staged.select("idempotency_key").distinct(), "idempotency_key", "left_semi")
+        touched = staged.select(*keys).unionByName(owners).distinct()
+        current = ctx.store.read_current("transactions", ddl, keys, touched_keys=touched).persist(
+            StorageLevel.MEMORY_AND_DISK
+        )
+        hold.append(current)
+        taken = current.select(F.col("idempotency_key"), F.col("transaction_id").alias("_owner")).join(
+            staged.select("idempotency_key").distinct(), "idempotency_key", "left_semi"
         )
         clash = staged.join(taken, "idempotency_key").filter(F.col("_owner") != F.col("transaction_id")).drop("_owner")
         bad = staged.join(dup, ["transaction_id", "idempotency_key"], "left_semi").unionByName(clash)
@@ -328,11 +342,11 @@ def sync_transactions(ctx: DayContext) -> bool:
             to_quarantine(bad, "transactions", F.col("transaction_id"), F.col("raw_payload"), *DUPLICATE_KEY, ctx.day, ctx.run_ts)
         )
         _quarantine(ctx, errors, "transactions")
-    written = _merge_incremental(
-        ctx, "transactions", good, guard="updated_time", null_guard="accept_if_stored_null",
-        staging_order=["updated_time desc_nulls_last"],
-    )
-    ctx.store.write_version(STATE, advance_watermark(state, good, "transactions", "updated_time"))
+        written = _merge_incremental(
+            ctx, "transactions", good, current=current, guard="updated_time", null_guard="accept_if_stored_null",
+            staging_order=["updated_time desc_nulls_last"],
+        )
+        ctx.store.write_version(STATE, advance_watermark(state, good, "transactions", "updated_time"))
     ctx.store.drop_partition("stg_transactions", STG_DAY, ctx.day)  # A-16
     _metrics(ctx, "transactions", "transactions", merge_counts(written), started)
     return True
