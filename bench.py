@@ -31,7 +31,7 @@ def main() -> None:
     extra = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
+        "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g"),
     }
     spark = build_session("syncforge-bench", master=f"local[{cpus}]", shuffle_partitions=cpus * 2, extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
