@@ -8,7 +8,7 @@ from syncforge.functions.casts import (
     try_timestamp,
 )
 from syncforge.functions.columns import as_col, has_path, null_of
-from syncforge.functions.jsonpaths import first_path, row_json
+from syncforge.functions.jsonpaths import first_path, parse_json, row_json
 from syncforge.functions.keys import bucket_of, idempotency_key, row_fingerprint
 from syncforge.functions.sizing import broadcast_if_fits, fits
 
@@ -22,6 +22,7 @@ __all__ = [
     "has_path",
     "idempotency_key",
     "null_of",
+    "parse_json",
     "row_fingerprint",
     "row_json",
     "try_bool",

@@ -14,6 +14,16 @@ def first_path(json_col, *paths: str) -> Column:
     return F.coalesce(*[F.get_json_object(j, p) for p in paths])
 
 
+def parse_json(json_col, schema) -> Column:
+    """Parse a JSON text column once into a declared struct (B-07).
+
+    Fields declared as strings receive the JSON text of whatever value is
+    there (numbers, arrays and objects included), so drifting types never
+    fail the parse; absent fields are NULL.
+    """
+    return F.from_json(as_col(json_col), schema)
+
+
 def row_json(*cols) -> Column:
     """Raw capture of a row for the quarantine: NULL fields are omitted."""
     if not cols:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from syncforge.functions import first_path, try_bool, try_date, try_double, try_int, try_long, try_timestamp
+from syncforge.functions import parse_json, try_bool, try_date, try_double, try_int, try_long, try_timestamp
 from syncforge.operators.envelope import column_or_null, nested_or_flat, unwrap, union_drifted
 from syncforge.plans.registry import register
 from syncforge.plans.tables import table
@@ -55,21 +55,24 @@ SELECT event_id,
 FROM d""",
 )
 def json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B-07/B-08: a field read at ``$.data.k`` with ``$.k`` as fallback."""
+    """B-07/B-08: a field read at ``data.k`` with ``k`` as fallback (parsed once)."""
     ev = table(spark, sf_dir, "events")
     nested = F.col("event_type").isin("click", "purchase")
     doc = F.when(
         nested,
         F.concat(F.lit('{"data":'), F.col("props"), F.lit(',"event":"'), F.col("event_type"), F.lit('"}')),
     ).otherwise(F.col("props"))
-    d = ev.select("event_id", doc.alias("doc"), nested.alias("nested"))
-    k_text = first_path("doc", "$.data.k", "$.k")
+    # one parse per row into a declared struct; the nested path wins, the
+    # flat one is the fallback
+    j = parse_json(doc, "data struct<k: string, zz: string>, k string, zz string, event string")
+    d = ev.select("event_id", j.alias("j"), nested.alias("nested"))
+    k_text = F.coalesce(F.col("j.data.k"), F.col("j.k"))
     return d.select(
         "event_id",
         k_text.alias("k_text"),
         try_long(k_text).alias("k"),
-        F.get_json_object("doc", "$.event").alias("event_name"),
-        first_path("doc", "$.data.zz", "$.zz").alias("missing"),
+        F.col("j.event").alias("event_name"),
+        F.coalesce(F.col("j.data.zz"), F.col("j.zz")).alias("missing"),
         "nested",
     )
 
