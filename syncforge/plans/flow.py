@@ -68,6 +68,7 @@ class DayContext:
     delta_only: bool = False
     mark_absent: bool = False
     multiline: bool = True  # one JSON document per file (API export); False = JSON-lines, splittable
+    rebalance: bool = False  # spread records of few huge export files over many tasks (AQE rebalance)
     day_date: dt.date | None = None
     results: dict = field(default_factory=dict)
 
@@ -177,13 +178,25 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
+def _read(ctx: DayContext, name: str) -> tuple[DataFrame, bool]:
+    """The day's snapshot of one source; with ``ctx.rebalance`` the records
+    are unwrapped right after the scan and rebalanced by AQE, so a single
+    huge (unsplittable) export file does not keep all the parsing,
+    validation and FX work in one task. Transforms accept flat records."""
+    raw, ok = read_day(ctx.spark, ctx.base, ctx.day, name, ctx.multiline)
+    if ok and ctx.rebalance:
+        wrapper = "budget" if name == "budgets" else None
+        raw = unwrap(raw, "results", wrapper=wrapper).select("rec.*").hint("rebalance")
+    return raw, ok
+
+
 # ---------------------------------------------------------------------------
 # entities
 # ---------------------------------------------------------------------------
 def sync_agents(ctx: DayContext) -> None:
     started = _now()
-    details, ok_d = read_day(ctx.spark, ctx.base, ctx.day, "agent_details", ctx.multiline)
-    active, ok_a = read_day(ctx.spark, ctx.base, ctx.day, "agents", ctx.multiline)
+    details, ok_d = _read(ctx, "agent_details")
+    active, ok_a = _read(ctx, "agents")
     if not (ok_d and ok_a):
         raise MissingMandatoryEntity(f"agents snapshot missing for {ctx.day}")
     with _fork(ctx) as hold:
@@ -208,7 +221,7 @@ def sync_agents(ctx: DayContext) -> None:
 
 def sync_groups(ctx: DayContext) -> None:
     started = _now()
-    raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "groups", ctx.multiline)
+    raw, ok = _read(ctx, "groups")
     if not ok:
         raise MissingMandatoryEntity(f"groups snapshot missing for {ctx.day}")
     agents_now = ctx.store.read("agents", S.AGENTS_DDL)
@@ -237,7 +250,7 @@ def sync_groups(ctx: DayContext) -> None:
 
 def sync_roles(ctx: DayContext) -> bool:
     started = _now()
-    raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "roles", ctx.multiline)
+    raw, ok = _read(ctx, "roles")
     if not ok:
         return False
     with _fork(ctx) as hold:
@@ -252,7 +265,7 @@ def sync_roles(ctx: DayContext) -> bool:
 
 def sync_agent_roles(ctx: DayContext) -> bool:
     started = _now()
-    details, ok = read_day(ctx.spark, ctx.base, ctx.day, "agent_details", ctx.multiline)
+    details, ok = _read(ctx, "agent_details")
     if not ok:
         return False
     master = ctx.store.read("roles", S.ROLES_DDL)
@@ -269,7 +282,7 @@ def sync_agent_roles(ctx: DayContext) -> bool:
 
 def sync_budgets(ctx: DayContext) -> bool:
     started = _now()
-    raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "budgets", ctx.multiline)
+    raw, ok = _read(ctx, "budgets")
     if not ok:
         return False
     with _fork(ctx) as hold:
@@ -283,7 +296,7 @@ def sync_budgets(ctx: DayContext) -> bool:
 
 def sync_cards(ctx: DayContext) -> bool:
     started = _now()
-    raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "cards", ctx.multiline)
+    raw, ok = _read(ctx, "cards")
     if not ok:
         return False
     with _fork(ctx) as hold:
@@ -309,7 +322,7 @@ DUPLICATE_KEY = ("DUPLICATE_IDEMPOTENCY_KEY", "idempotency_key already used by a
 
 def sync_transactions(ctx: DayContext) -> bool:
     started = _now()
-    raw, ok = read_day(ctx.spark, ctx.base, ctx.day, "transactions", ctx.multiline)
+    raw, ok = _read(ctx, "transactions")
     if not ok or unwrap(raw, "results").isEmpty():  # A-15: no records -> nothing written
         return False
     with _fork(ctx) as hold:
@@ -375,11 +388,12 @@ def run_day(
     delta_only: bool = False,
     mark_absent: bool = False,
     multiline: bool = True,
+    rebalance: bool = False,
 ) -> dict:
     """M-01: sync every entity of one day; returns per-entity merge counts."""
     ctx = DayContext(
         spark, base, str(day), store, run_ts or _now(), run_id or str(uuid.uuid4()), fx_rates, direction, delta_only,
-        mark_absent, multiline,
+        mark_absent, multiline, rebalance,
     )
     ctx.day_date = _day_date(ctx.day) or ctx.run_ts.date()
     sync_agents(ctx)

@@ -133,3 +133,18 @@ def test_empty_transactions_snapshot_is_skipped(spark, tmp_root):
     ctx = flow.DayContext(spark, base, days[2], store, dt.datetime(2024, 5, 3), "r")
     assert flow.sync_transactions(ctx) is False  # A-15: no records, nothing written
     assert store.delta_count("transactions") == 0
+
+
+def test_rebalanced_records_give_the_same_day(spark, tmp_root):
+    from syncforge.plans import flow
+
+    base = f"{tmp_root}/snap"
+    days = write_days(base)
+    out = {}
+    for rebalance in (False, True):
+        store = TableStore(spark, f"{tmp_root}/t{int(rebalance)}")
+        ctx = flow.DayContext(spark, base, days[0], store, dt.datetime(2024, 5, 1), "r", rebalance=rebalance)
+        for fn in (flow.sync_budgets, flow.sync_cards, flow.sync_transactions):
+            fn(ctx)
+        out[rebalance] = {t: sorted(read_core(store, t).collect()) for t in ("budgets", "cards", "transactions")}
+    assert out[False] == out[True]
