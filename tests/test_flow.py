@@ -148,3 +148,24 @@ def test_rebalanced_records_give_the_same_day(spark, tmp_root):
             fn(ctx)
         out[rebalance] = {t: sorted(read_core(store, t).collect()) for t in ("budgets", "cards", "transactions")}
     assert out[False] == out[True]
+
+
+def test_mark_absent_agents(spark, tmp_root):
+    import os
+
+    from syncforge.plans import flow
+
+    base = f"{tmp_root}/snap"
+    days = write_days(base)
+    os.remove(f"{base}/sync-{days[1]}/agent_details/4.json")  # agent 4 vanishes on day 2
+    status = {}
+    for mark in (False, True):
+        store = TableStore(spark, f"{tmp_root}/t{int(mark)}")
+        for i, d in enumerate(days[:2]):
+            ctx = flow.DayContext(spark, base, d, store, dt.datetime(2024, 5, i + 1), "r", mark_absent=mark)
+            ctx.day_date = dt.date(2024, 5, i + 1)
+            flow.sync_agents(ctx)
+        status[mark] = {r.agent_id: r.status for r in store.read("agents", S.AGENTS_DDL).collect()}
+    assert status[False][4] == "active"  # untouched: the reference's behaviour
+    assert status[True][4] == "inactive"  # present on day 1, missing on day 2
+    assert status[True][1] == status[False][1] == "active"
