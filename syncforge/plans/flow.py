@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from syncforge import schemas as S
 from syncforge.operators.assignments import assignment_counts, assignment_history, merge_assignments
 from syncforge.operators.hierarchy import DESCENDANTS, flag_inactive, groups_with_active_members
-from syncforge.operators.membership import removed_members, replace_members
+from syncforge.operators.membership import replace_members
 from syncforge.operators.merge import ACTION, merge_latest
 from syncforge.operators.envelope import unwrap
 from syncforge.operators.metrics import merge_counts, run_metrics_row
@@ -232,11 +232,13 @@ def sync_groups(ctx: DayContext) -> None:
         staged_members = _stage(ctx, "group_membership", members)
     core = ctx.store.read("groups", S.GROUPS_DDL)
     merged = merge_latest(core, staged, ["group_id"], keep=["created_at", "inactive"])
-    membership = ctx.store.read("group_membership", S.MEMBERSHIP_DDL)
-    deleted = removed_members(membership, staged.select("group_id")).count()
-    new_members = _write_core(
-        ctx, "group_membership", replace_members(membership, staged_members, staged.select("group_id"))
-    )
+    # deleted = stored rows in - stored rows kept, both observed on the write
+    membership, seen_in = _observed(ctx.store.read("group_membership", S.MEMBERSHIP_DDL))
+    replaced = replace_members(membership, staged_members, staged.select("group_id"))
+    kept = Observation()
+    replaced = replaced.observe(kept, F.count_if(F.col(ACTION) == F.lit("keep")).alias("rows"))
+    new_members = _write_core(ctx, "group_membership", replaced)
+    deleted = seen_in.get["rows"] - kept.get["rows"]
     # inactive flag over the merged hierarchy, the new members and merged agents
     merged_groups = _write_core(ctx, "groups_merged", merged)
     active = groups_with_active_members(new_members.drop(ACTION), agents_now)
