@@ -15,6 +15,7 @@ import pyarrow.compute as pc
 
 #: Bytes of text handled at once inside a task (one longer text is handled alone).
 BLOCK_BYTES = 2 << 20
+HASHED_BYTES = 1 << 19
 
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
@@ -104,7 +105,15 @@ def spans(data: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.nda
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
-    """64-bit hash of each byte span (spans in order, not overlapping, not empty)."""
+    """64-bit hash of each byte span (not empty); about ``HASHED_BYTES`` at once, so memory does not follow the input."""
+    total = np.cumsum(ends - starts)
+    if len(total) and total[-1] > 2 * HASHED_BYTES:
+        cut = np.unique(np.append(np.searchsorted(total, np.arange(HASHED_BYTES, int(total[-1]), HASHED_BYTES)), len(total)))
+        return np.concatenate([_span_hashes(data, starts[a:e], ends[a:e], seed) for a, e in zip([0, *cut[:-1]], cut, strict=True)])
+    return _span_hashes(data, starts, ends, seed)
+
+
+def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
     if not len(starts):
         return np.zeros(0, np.uint64)
     size = ends - starts
@@ -115,7 +124,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
         power[:] = np.uint64(6364136223846793005)
         power[0] = 1
         np.multiply.accumulate(power, out=power)
-        v = _BYTE[data if len(inside) == len(data) else data[inside + np.repeat(starts, size)]]
+        v = _BYTE[data[inside + np.repeat(starts, size)]]
         v *= power[inside]
         h = np.add.reduceat(v, head)
         return mix(h + size.astype(np.uint64) * np.uint64(_BASE) + np.uint64(seed))

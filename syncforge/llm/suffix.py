@@ -43,7 +43,7 @@ GRAM = 16
 #: Window starts that are hashed at once.
 STRETCH = 1 << 16
 #: Bytes of text a bucket stands for, and bytes of text whose strings are sent together.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 12 << 20
 BLOCK_BYTES = 4 << 20
 #: Bytes of strings of one transform (the strings of one minimizer stay together).
 INDEX_BYTES = 1 << 19
@@ -130,7 +130,7 @@ _KINDS = ("<u4", "<u2", "<u2", "<u2", "u1", "<i8", "<i8", "<i4")
 
 def _packed(arrays: Iterable[np.ndarray], text: np.ndarray) -> tuple[bytes, bytes]:
     raw = [np.ascontiguousarray(a, k).tobytes() for a, k in zip(arrays, _KINDS, strict=True)]
-    return np.array([len(r) for r in raw], "<i8").tobytes() + zstandard.compress(b"".join(raw), 3), zstandard.compress(text.tobytes(), 3)
+    return np.array([len(r) for r in raw], "<i8").tobytes() + zstandard.compress(b"".join(raw), 3), zstandard.compress(text.tobytes(), 5)
 
 
 def _unpacked(payload: bytes) -> list[np.ndarray]:
@@ -367,33 +367,40 @@ def solve_bucket(payloads: list[tuple[bytes, bytes]], length: int, gram: int) ->
     return removals([low[several], size[several], anchor[several], np.concatenate(text)], places, length, gram)
 
 
-def _bucket_ranges(length: int, gram: int):
-    def solved(held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in solve_bucket(held, length, gram)], names=["key", "row", "from", "to"])
+def _by_document(key: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    """One row for each document of a bucket: its ranges as pairs of 32-bit numbers."""
+    order = np.lexsort((start, row, key))
+    key, row = key[order], row[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
+    pairs = np.stack([start[order], end[order]], axis=1).astype("<u4").view(np.uint8)
+    return pa.RecordBatch.from_arrays([pa.array(key[new]), pa.array(row[new]), B.binary_rows(pairs.reshape(-1), 8 * np.append(np.flatnonzero(new), len(key)))], names=["key", "row", "gone"])
+
 
+def _bucket_ranges(length: int, gram: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for b in batches:
             for bucket, *payload in zip(b.column("bucket").to_pylist(), b.column("payload"), b.column("bytes"), strict=True):
                 if bucket != now and held:
-                    yield solved(held)
+                    yield _by_document(*solve_bucket(held, length, gram))
                     held = []
                 now = bucket
                 held.append(tuple(p.as_py() for p in payload))
         if held:
-            yield solved(held)
+            yield _by_document(*solve_bucket(held, length, gram))
 
     return run
 
 
 def ranges(docs: DataFrame, row: Column, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """Byte ranges to remove: ``key``, ``row`` (as given), ``from``, ``to`` (may overlap)."""
+    """Byte ranges to remove: ``key``, ``row`` (as given) and ``gone``, pairs of 32-bit from and to (may overlap; several rows a document)."""
     narrow = docs.select(F.col(key).cast("long").alias("key"), row.alias("row"), F.col(text).cast("string").alias("text"))
     total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     sent = narrow.mapInArrow(_sent(buckets, length, gram), "bucket long, payload binary, bytes binary")
     dealt = sent.repartition(F.col("bucket")).sortWithinPartitions("bucket")
-    return dealt.mapInArrow(_bucket_ranges(length, gram), "key long, row long, `from` long, `to` long")
+    return dealt.mapInArrow(_bucket_ranges(length, gram), "key long, row long, gone binary")
 
 
 def _row(docs: DataFrame, key: str, text: str) -> Column:
@@ -403,27 +410,53 @@ def _row(docs: DataFrame, key: str, text: str) -> Column:
     return F.xxhash64(F.col(text).cast("string")) if twice > 1 else F.lit(0).cast("long")
 
 
-def _joined(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """``docs`` (with ``key`` and ``row``) with their ranges, a sorted list a row; a document has fewer ranges than bytes."""
-    per_doc = removed.groupBy("key", "row").agg(F.collect_list(F.struct("from", "to")).alias("gone"))
-    per_doc = per_doc.withColumnsRenamed({"key": "__key", "row": "__row"})
-    return docs.join(per_doc, docs["key"].eqNullSafe(per_doc["__key"]) & (docs["row"] == per_doc["__row"]), "left").drop("__key", "__row")
+def _joined(docs: DataFrame, text: str, removed: DataFrame) -> DataFrame:
+    """``docs`` (with ``key`` and ``row``) with their ranges, a list a row; a document has fewer ranges than bytes.
+
+    Texts pass the shuffle compressed one by one.
+    """
+    kinds = [(f.name, "binary" if f.name == text else f.dataType.simpleString()) for f in docs.schema]
+    packed = docs.mapInArrow(_deflated(text), ", ".join(f"`{c}` {k}" for c, k in kinds))
+    per_doc = removed.groupBy("key", "row").agg(F.collect_list("gone").alias("gone")).withColumnsRenamed({"key": "__key", "row": "__row"})
+    return packed.join(per_doc, packed["key"].eqNullSafe(per_doc["__key"]) & (packed["row"] == per_doc["__row"]), "left").drop("__key", "__row")
+
+
+def _deflated(text: str):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            i = b.schema.names.index(text)
+            cols = list(b.columns)
+            cols[i] = pa.array([None if t is None else pack(t) for t in b.column(i).cast(pa.binary()).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
+
+    return run
+
+
+def _inflated(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    for whole in batches:
+        i = whole.schema.names.index(text)
+        for b in B.blocks([whole], text, B.BLOCK_BYTES // 2):  # compressed bytes
+            cols = list(b.columns)
+            cols[i] = pa.array([None if t is None else unpack(t) for t in b.column(i).to_pylist()], pa.large_binary())
+            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
 
 
 def _stay(data: np.ndarray, offs: np.ndarray, gone: pa.Array) -> np.ndarray:
-    """Which bytes stay, by a column of lists of ranges."""
-    stay = np.ones(len(data), bool)
-    parent = pc.list_parent_indices(gone)
-    if len(parent):
-        flat = pc.list_flatten(gone)
-        base = offs[np.asarray(parent)]
-        stay = ~B.covered(len(data), np.asarray(flat.field("from")) + base, np.asarray(flat.field("to")) + base)
-    return stay
+    """Which bytes stay, by a column of lists of packed ranges."""
+    lists = gone.to_pylist()
+    rows = [i for i, g in enumerate(lists) if g]
+    if not rows:
+        return np.ones(len(data), bool)
+    packed = [b"".join(lists[i]) for i in rows]
+    pairs = np.frombuffer(b"".join(packed), "<u4").reshape(-1, 2) + np.repeat(offs[rows], [len(p) // 8 for p in packed])[:, None]
+    return ~B.covered(len(data), pairs[:, 0], pairs[:, 1])
 
 
 def _digests(key: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in B.blocks(batches, "text"):
+        for b in _inflated(batches, "text"):
             data, offs = B.flat(b.column("text"))
             stay = _stay(data, offs, b.column("gone"))
             left = np.concatenate([[0], np.cumsum(stay)])[offs]
@@ -440,7 +473,7 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     """Per document: key, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``kept_sha256`` of the bytes left."""
     row = _row(docs, key, text)
     narrow = docs.select(F.col(key).cast("long").alias("key"), row.alias("row"), F.col(text).cast("string").alias("text"))
-    rows = _joined(narrow, ranges(docs, row, key, text, length)).select("key", "text", "gone")
+    rows = _joined(narrow, "text", ranges(docs, row, key, text, length)).select("key", "text", "gone")
     return rows.mapInArrow(_digests(key), f"`{key}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -457,17 +490,18 @@ def cut(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int =
     k, t = f"c{docs.columns.index(key)}", f"c{at}"
     row = _row(plain, k, t)
     removed = ranges(plain, row, k, t, length)
-    rows = _joined(plain.withColumns({"key": F.col(k).cast("long"), "row": row}), removed).drop("key", "row")
+    rows = _joined(plain.withColumns({"key": F.col(k).cast("long"), "row": row}), t, removed).drop("key", "row")
     schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(kinds))
     return rows.mapInArrow(_cut(at, n_at), schema).select(*(F.col(f"c{i}").alias(f.name) for i, f in enumerate(kinds)))
 
 
 def _cut(at: int, n_at: int | None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in B.blocks(batches, f"c{at}"):
+        for b in _inflated(batches, f"c{at}"):
             data, offs = B.flat(b.column(at))
             stay = _stay(data, offs, b.column("gone"))
-            cols, names = b.columns[:-1], b.schema.names[:-1]
+            cols, names = list(b.columns[:-1]), b.schema.names[:-1]
+            cols[at] = cols[at].cast(pa.large_string())
             if not stay.all():
                 heads = np.flatnonzero((data & 0xC0) != 0x80)
                 size = np.diff(heads, append=len(data))
@@ -475,13 +509,14 @@ def _cut(at: int, n_at: int | None):
                 left = np.concatenate([[0], np.cumsum(stay)])[offs]
                 seen = np.concatenate([[0], np.cumsum(B.VISIBLE[data] & stay)])[offs]
                 touched = pa.array(np.diff(left) < np.diff(offs))
-                texts = B.binary_rows(data[stay], left, pa.string())
-                cols[at] = pc.if_else(touched, texts, b.column(at).cast(pa.string())).cast(b.column(at).type)
+                texts = B.binary_rows(data[stay], left, pa.large_string())
+                cols[at] = pc.if_else(touched, texts, cols[at])
                 if n_at is not None:
                     cols[n_at] = pc.if_else(touched, pc.utf8_length(texts).cast(cols[n_at].type), cols[n_at])
-                out = pa.RecordBatch.from_arrays(cols, names=names)
-                yield out.filter(pc.or_(pc.invert(touched), pa.array(np.diff(seen) > 0)))
+                ok = pc.or_(pc.invert(touched), pa.array(np.diff(seen) > 0))
             else:
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+                ok = pa.array(np.ones(b.num_rows, bool))
+            cols[at] = cols[at].cast(pa.string())
+            yield pa.RecordBatch.from_arrays(cols, names=names).filter(ok)
 
     return run
