@@ -15,8 +15,8 @@ import numpy as np
 
 from . import buffers as B
 
-#: Chunks after which the cache starts anew (with short ids about 100 MB).
-CACHE_CHUNKS = 2_000_000
+#: Chunks after which the cache starts anew (with short ids about 50 MB; several workers share an executor).
+CACHE_CHUNKS = 600_000
 #: Bytes of new chunks that are encoded as one text.
 JOINED_BYTES = 4096
 
@@ -94,7 +94,7 @@ class ChunkEncoder:
             self._clear(1 << 16)
         if 2 * (self.count + len(h)) > len(self.key):
             old = self.key[self.number >= 0], self.number[self.number >= 0]
-            places = 1 << int(4 * (self.count + len(h))).bit_length()
+            places = 1 << int(2 * (self.count + len(h))).bit_length()
             self.mask, self.key, self.number = np.uint64(places - 1), np.zeros(places, np.uint64), np.full(places, -1, np.int32)
             self._insert(*old)
         end = self.count + len(h)

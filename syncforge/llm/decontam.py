@@ -309,9 +309,10 @@ def cut(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str
     schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(kinds))
     found = _phrase_blocks(benchmark, item_key, item_text, width, block_words)
     marks = plain.withColumn("gone", F.array().cast("array<struct<first:long,last:long,start:long,end:long>>"))
-    for p in found:
+    for p in found[:-1]:
         marks = marks.mapInArrow(_marked(p, at), schema + ", gone array<struct<first:long,last:long,start:long,end:long>>")
-    rows = marks.mapInArrow(_cut(at, None if length is None else docs.columns.index(length)), schema)
+    mark, remove = _marked(found[-1], at), _cut(at, None if length is None else docs.columns.index(length))
+    rows = marks.mapInArrow(lambda batches: remove(mark(batches)), schema)
     return rows.select(*(F.col(f"c{i}").alias(f.name) for i, f in enumerate(kinds)))
 
 

@@ -398,6 +398,7 @@ def ranges(docs: DataFrame, row: Column, key: str = "doc_id", text: str = "text"
     narrow = docs.select(F.col(key).cast("long").alias("key"), row.alias("row"), F.col(text).cast("string").alias("text"))
     total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
+    gram = min(gram, length)
     sent = narrow.mapInArrow(_sent(buckets, length, gram), "bucket long, payload binary, bytes binary")
     dealt = sent.repartition(F.col("bucket")).sortWithinPartitions("bucket")
     return dealt.mapInArrow(_bucket_ranges(length, gram), "key long, row long, gone binary")
