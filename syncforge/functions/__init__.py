@@ -10,15 +10,12 @@ from syncforge.functions.casts import (
 from syncforge.functions.columns import as_col, has_path, null_of
 from syncforge.functions.jsonpaths import first_path, parse_json, row_json
 from syncforge.functions.keys import bucket_of, idempotency_key, row_fingerprint
-from syncforge.functions.sizing import broadcast_if_fits, fits
 
 __all__ = [
     "as_col",
-    "broadcast_if_fits",
     "bucket_of",
     "empty_to_null",
     "first_path",
-    "fits",
     "has_path",
     "idempotency_key",
     "null_of",

@@ -39,6 +39,13 @@ def try_timestamp(c, fmt: str | None = None) -> Column:
     return F.try_to_timestamp(col, F.lit(fmt))
 
 
+def unreadable(c, kind: str) -> Column:
+    """Whether a value was sent (not NULL or blank) but does not parse as ``kind``."""
+    text = as_col(c).cast("string")
+    parsed = F.try_to_timestamp(text) if kind == "timestamp" else text.try_cast(kind)
+    return F.coalesce(F.trim(text) != "", F.lit(False)) & parsed.isNull()
+
+
 def try_date(c, fmt: str = "yyyy-MM-dd") -> Column:
     return F.to_date(F.try_to_timestamp(as_col(c).cast("string"), F.lit(fmt)))
 

@@ -24,7 +24,7 @@ from syncforge.operators.merge import ACTION
 
 ASSIGNED, REMOVED = "assigned", "removed"
 INSERT, UPDATE, REASSIGN, REMOVE, KEEP = "insert", "update", "reassign", "remove", "keep"
-_IN_C, _IN_S = "_in_core", "_in_stg"
+_IN_C, _IN_S, _UNREAD = "_in_core", "_in_stg", "_unread"
 
 MAPPING_COLUMNS = ("status", "assigned_at", "removed_at", "updated_at")
 
@@ -41,16 +41,27 @@ def merge_assignments(
     staged: DataFrame,
     run_ts,
     keys: Sequence[str] = ("agent_id", "role_id"),
+    untouched: DataFrame | None = None,
 ) -> DataFrame:
-    """Next mapping table + ``_action``; ``staged`` holds the snapshot's pairs."""
+    """Next mapping table + ``_action``; ``staged`` holds the snapshot's pairs.
+
+    ``untouched`` holds owners (values of the first key) whose list could not
+    be read that day: their stored pairs stay as they are.
+    """
     keys = list(keys)
     ts = F.lit(run_ts).cast("timestamp")
     s = staged.select(*keys).dropna(subset=keys).distinct().withColumn(_IN_S, F.lit(True))
     c = current.select(*keys, *MAPPING_COLUMNS).withColumn(_IN_C, F.lit(True))
     j = c.join(s, keys, "full_outer")
+    unread = F.lit(False)
+    if untouched is not None:
+        ids = untouched.select(keys[0]).dropna().distinct().withColumn(_UNREAD, F.lit(True))
+        j = j.join(ids, keys[0], "left")
+        unread = F.col(_UNREAD).isNotNull()
     in_c, in_s, st = F.col(_IN_C).isNotNull(), F.col(_IN_S).isNotNull(), F.col("status")
     action = (
         F.when(~in_c, F.lit(INSERT))
+        .when(~in_s & unread, F.lit(KEEP))
         .when(~in_s & F.coalesce(st != F.lit(REMOVED), F.lit(False)), F.lit(REMOVE))
         .when(~in_s, F.lit(KEEP))
         .when(F.coalesce(st == F.lit(REMOVED), F.lit(False)), F.lit(REASSIGN))

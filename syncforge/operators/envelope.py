@@ -104,21 +104,24 @@ def nested_or_flat(df: DataFrame, nested: str, flat: str | None = None, dtype: s
     return options[0] if len(options) == 1 else F.coalesce(*options)
 
 
-def explode_ids(df: DataFrame, keep: Sequence[str], ids: str, alias: str, outer: bool = False) -> DataFrame:
+def explode_ids(
+    df: DataFrame, keep: Sequence[str], ids: str, alias: str, outer: bool = False, text: str | None = None
+) -> DataFrame:
     """B-16/B-17: one row per element of an id list (text list parsed per row).
 
     ``ids`` may hold an array or its JSON text; an element that is not a
     whole number becomes NULL. ``outer`` keeps one NULL row for an empty or
-    NULL list.
+    NULL list. ``text`` names a column for the element as it was sent.
     """
     dtype = df.schema[ids].dataType
     if isinstance(dtype, ArrayType):
-        arr = F.transform(F.col(ids), lambda x: x.cast("string").try_cast("bigint"))
+        arr = F.transform(F.col(ids), lambda x: x.cast("string"))
     else:
         arr = F.from_json(F.col(ids).cast("string"), "array<string>")
-        arr = F.transform(arr, lambda x: x.try_cast("bigint"))
     fn = F.explode_outer if outer else F.explode
-    return df.select(*keep, fn(arr).alias(alias))
+    sent = text or "_sent"
+    rows = df.select(*keep, fn(arr).alias(sent)).withColumn(alias, F.col(sent).try_cast("bigint"))
+    return rows if text else rows.drop(sent)
 
 
 def union_drifted(frames: Sequence[DataFrame]) -> DataFrame:

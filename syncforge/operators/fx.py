@@ -7,9 +7,8 @@ the rate carried in the payload (``PAYLOAD``), else none (``MISSING``).
 
 The rates table has one row per (day, currency): its size is bounded by the
 calendar times the currency list, not by the transaction volume. It is
-reduced to one row per pair and broadcast behind a row probe; a larger
-table falls back to a shuffle join where AQE splits a hot (day, currency)
-partition.
+reduced to one row per pair; AQE picks the join from its measured size, and
+splits a hot (day, currency) partition where it shuffles.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from syncforge.functions.columns import as_col
-from syncforge.functions.sizing import broadcast_if_fits
 
 API, PAYLOAD, MISSING = "API", "PAYLOAD", "MISSING"
 BASE_CURRENCY = "USD"
@@ -44,10 +42,9 @@ def convert_to_usd(
     currency_col: str = "original_currency",
     amount_col: str = "original_amount",
     payload_rate_col: str | None = "payload_exchange_rate",
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Adds ``exchange_rate``, ``fx_source`` and ``amount_usd`` (B-13)."""
-    r, _ = broadcast_if_fits(rates_to_usd(rates), max_broadcast_rows)
+    r = rates_to_usd(rates)
     cond = (F.col(date_col) == F.col("_fx_date")) & (F.col(currency_col) == F.col("_fx_cur"))
     j = df.join(r, cond, "left")
     api = F.when(

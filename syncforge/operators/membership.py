@@ -13,16 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from syncforge.functions.sizing import broadcast_if_fits
 from syncforge.operators.merge import ACTION
 
 KEEP, INSERT = "keep", "insert"
 
 
 def _group_ids(snapshot_groups: DataFrame, group_col: str) -> DataFrame:
-    ids = snapshot_groups.select(group_col).filter(F.col(group_col).isNotNull()).distinct()
-    ids, _ = broadcast_if_fits(ids)
-    return ids
+    return snapshot_groups.select(group_col).filter(F.col(group_col).isNotNull()).distinct()
 
 
 def replace_members(
@@ -34,9 +31,8 @@ def replace_members(
 ) -> DataFrame:
     """Next membership table with ``_action`` ('keep' or 'insert').
 
-    The snapshot's group ids (one row per group, bounded by the number of
-    groups) are broadcast when the probe proves them small, so a group holding
-    a third of all members is never gathered into one shuffle partition.
+    No join is hinted; a group that holds a third of all members is split by
+    AQE's skew join where the sides are shuffled.
     """
     groups = _group_ids(snapshot_groups, group_col)
     kept = current.select(group_col, member_col).join(groups, group_col, "left_anti")
@@ -47,9 +43,3 @@ def replace_members(
         .distinct()
     )
     return kept.withColumn(ACTION, F.lit(KEEP)).unionByName(new.withColumn(ACTION, F.lit(INSERT)))
-
-
-def removed_members(current: DataFrame, snapshot_groups: DataFrame, group_col: str = "group_id") -> DataFrame:
-    """Stored rows that the replace deletes (for the deleted count)."""
-    groups = _group_ids(snapshot_groups, group_col)
-    return current.join(groups, group_col, "left_semi")

@@ -13,15 +13,9 @@ join on the key plus a per-row ``_action``:
 
 The result is the whole next version of the core table.
 
-Two physical strategies, same result:
-
-* ``broadcast`` (staging proven small by a bounded probe): one pass over the
-  core with a broadcast hash join -- the core is never shuffled. Inserts are
-  staging rows whose key was not hit: a semi join of the core's key column
-  with the same broadcast, then an anti join with those (few) hit keys.
-* ``shuffle``: ``full_outer`` join on the key. Keys are unique on both sides
-  (core by construction, staging after ``latest_per_key``), so the join has
-  no skew to split.
+It is one ``full_outer`` join: each side is read once, and keys are unique on
+both sides (core by construction, staging after ``latest_per_key``), so no
+key is hot. Nothing is probed or hinted.
 """
 
 from __future__ import annotations
@@ -31,7 +25,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from syncforge.functions.sizing import fits
 from syncforge.operators.dedup import latest_per_key
 
 INSERT, UPDATE, STALE, KEEP = "insert", "update", "stale", "keep"
@@ -77,8 +70,6 @@ def merge_latest(
     keep: Sequence[str] = (),
     greatest: Sequence[str] = (),
     staging_order: Sequence | None = None,
-    strategy: str = "auto",
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Merge ``staging`` into ``core`` on ``keys``; returns core's columns + ``_action``.
 
@@ -99,18 +90,8 @@ def merge_latest(
     s = staging.select(*keys, F.struct(*[F.col(c) for c in nonkeys]).alias(_STG), F.lit(True).alias(_IN_S))
     c = core.select(*keys, *nonkeys, F.lit(True).alias(_IN_C))
 
-    if strategy == "auto":
-        strategy = "broadcast" if fits(staging, max_broadcast_rows) else "shuffle"
-    if strategy == "broadcast":
-        # ``s`` is broadcast once: the semi join reuses the same exchange.
-        left = c.join(F.broadcast(s), keys, "left")
-        hit = core.select(*keys).join(F.broadcast(s), keys, "left_semi")
-        inserts = s.join(F.broadcast(hit), keys, "left_anti")
-        joined = left.unionByName(inserts, allowMissingColumns=True)
-    elif strategy == "shuffle":
-        joined = c.join(s, keys, "full_outer")
-    else:
-        raise ValueError(f"unknown strategy {strategy!r}")
+    # both sides have unique keys: each is read once, and no key is hot
+    joined = c.join(s, keys, "full_outer")
 
     action = (
         F.when(F.col(_IN_C).isNull(), F.lit(INSERT))
@@ -138,8 +119,3 @@ def merge_latest(
 def current_rows(merged: DataFrame) -> DataFrame:
     """The next core version without the bookkeeping column."""
     return merged.drop(ACTION)
-
-
-def changed_rows(merged: DataFrame) -> DataFrame:
-    """Rows the merge wrote (insert/update): what a CDC consumer needs."""
-    return merged.filter(F.col(ACTION).isin(INSERT, UPDATE))

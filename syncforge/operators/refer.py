@@ -3,7 +3,7 @@
 Existence tests are semi/anti joins: Catalyst plans them as hash joins that
 emit each probe row at most once, so a reference side with duplicate keys
 cannot multiply rows. Reference sides are reduced to distinct keys first.
-A side is broadcast only behind a bounded row probe.
+No join is hinted: AQE picks the join from the sizes it has measured.
 """
 
 from __future__ import annotations
@@ -13,20 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from syncforge.functions.sizing import broadcast_if_fits
-
 _FOUND = "_found"
 
 
-def _keys(ref: DataFrame, keys: Sequence[str], probe: bool, max_broadcast_rows: int | None = None) -> DataFrame:
-    """Distinct non-NULL keys; broadcast when ``probe`` proves them small."""
+def _keys(ref: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct non-NULL keys."""
     k = ref.select(*keys)
     for c in keys:
         k = k.filter(F.col(c).isNotNull())
-    k = k.distinct()
-    if probe:
-        k, _ = broadcast_if_fits(k, max_broadcast_rows)
-    return k
+    return k.distinct()
 
 
 def flag_active(
@@ -34,10 +29,9 @@ def flag_active(
     active: DataFrame,
     key: str,
     status_col: str = "status",
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """D-01: ``status`` = 'active' when the key is in the active list, else 'inactive'."""
-    a = _keys(active, [key], max_broadcast_rows is not None, max_broadcast_rows).withColumn(_FOUND, F.lit(True))
+    a = _keys(active, [key]).withColumn(_FOUND, F.lit(True))
     return (
         df.join(a, key, "left")
         .withColumn(
@@ -52,14 +46,13 @@ def split_known(
     df: DataFrame,
     ref: DataFrame,
     keys: Sequence[str],
-    max_broadcast_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """D-02/D-03: (rows whose key exists in ``ref``, rows whose key does not).
 
     Rows with a NULL key are in neither side (nothing to check).
     """
     keys = list(keys)
-    k = _keys(ref, keys, True, max_broadcast_rows)
+    k = _keys(ref, keys)
     notnull = df
     for c in keys:
         notnull = notnull.filter(F.col(c).isNotNull())
@@ -69,24 +62,26 @@ def split_known(
 def flag_known(df: DataFrame, ref: DataFrame, keys: Sequence[str], flag: str = "is_known") -> DataFrame:
     """D-04: one pass, every row kept with a boolean ``flag``."""
     keys = list(keys)
-    k = _keys(ref, keys, False).withColumn(_FOUND, F.lit(True))
+    k = _keys(ref, keys).withColumn(_FOUND, F.lit(True))
     return df.join(k, keys, "left").withColumn(flag, F.coalesce(F.col(_FOUND), F.lit(False))).drop(_FOUND)
 
 
-def absent_from(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """D-05/D-07: rows of ``df`` whose key is not in ``other`` (NOT EXISTS)."""
-    return df.join(other.select(*keys), list(keys), "left_anti")
-
-
-def present_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """D-08/D-10: rows of ``df`` whose key is in ``other`` (IN / EXISTS)."""
-    return df.join(other.select(*keys), list(keys), "left_semi")
-
-
-def deactivate_absent(merged: DataFrame, status_col: str = "status", action_col: str = "_action") -> DataFrame:
+def deactivate_absent(
+    merged: DataFrame,
+    status_col: str = "status",
+    action_col: str = "_action",
+    present: DataFrame | None = None,
+    key: str = "agent_id",
+) -> DataFrame:
     """D-01 option: rows the day's snapshot did not mention (merge action
-    ``keep``) become 'inactive' -- "present on day N, missing on day N+1"."""
-    return merged.withColumn(
-        status_col,
-        F.when(F.col(action_col) == F.lit("keep"), F.lit("inactive")).otherwise(F.col(status_col)),
-    )
+    ``keep``) become 'inactive' -- "present on day N, missing on day N+1".
+
+    ``present`` holds the ids of the whole snapshot: a row whose record was
+    quarantined that day is present, so it keeps its status.
+    """
+    absent = F.col(action_col) == F.lit("keep")
+    if present is not None:
+        merged = merged.join(_keys(present, [key]).withColumn(_FOUND, F.lit(True)), key, "left")
+        absent = absent & F.col(_FOUND).isNull()
+    out = merged.withColumn(status_col, F.when(absent, F.lit("inactive")).otherwise(F.col(status_col)))
+    return out.drop(_FOUND)

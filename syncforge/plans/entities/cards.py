@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from syncforge.functions import try_bool, try_double, try_timestamp
+from syncforge.functions.casts import unreadable
 from syncforge.operators.dedup import latest_per_key
 from syncforge.operators.envelope import RECORD, unwrap
-from syncforge.operators.validate import null_or_non_negative, required, split_valid
+from syncforge.operators.validate import Rule, null_or_non_negative, required, split_valid
 
 ENTITY = "cards"
 SOURCE = "api"
@@ -44,6 +45,13 @@ def normalize(raw: DataFrame, day: str | None, run_ts) -> DataFrame:
         F.lit(SOURCE).alias("source"),
         F.lit(run_ts).cast("timestamp").alias("ingested_at"),
         F.to_json(F.col(RECORD)).alias("_raw"),
+        # sent, but not a number or a time: such a row is no card with a NULL there
+        (
+            unreadable(c("recurringLimit"), "double")
+            | unreadable(c("currentPeriod.limit"), "double")
+            | unreadable(c("currentPeriod.spent"), "double")
+            | unreadable(c("updatedTime"), "timestamp")
+        ).alias("_unreadable"),
     )
 
 
@@ -53,8 +61,9 @@ def transform(
     df = normalize(raw, day, run_ts)
     rules = [
         required(ERROR_TYPE, MESSAGE, "card_id", "status", "type", "created_time"),
+        Rule(ERROR_TYPE, MESSAGE, F.col("_unreadable")),
         null_or_non_negative(ERROR_TYPE, MESSAGE, "current_limit", "current_spent", "recurring_limit"),
     ]
     valid, errors = split_valid(df, rules, ENTITY, F.col("card_id"), F.col("_raw"), day, run_ts, hold=hold)
-    valid = latest_per_key(valid, ["card_id"], ["ingested_at desc_nulls_first"], tie_break=[F.xxhash64("_raw").desc()])
-    return valid.drop("_raw"), errors
+    valid = latest_per_key(valid, ["card_id"], ["updated_time desc_nulls_last", "ingested_at desc_nulls_first"], tie_break=[F.xxhash64("_raw").desc()])
+    return valid.drop("_raw", "_unreadable"), errors

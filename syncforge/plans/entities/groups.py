@@ -17,6 +17,7 @@ MEMBERS = "group_membership"
 MISSING_ID = ("MISSING_GROUP_ID", "group id is null")
 UNKNOWN_AGENT = ("INVALID_AGENT_ID", "agent_id does not exist in agents table")
 BAD_LIST = ("INVALID_AGENT_IDS", "agent_ids is not a list of ids")
+BAD_ELEMENT = ("INVALID_AGENT_IDS", "element of agent_ids is not an id")
 
 GROUP_COLUMNS = ("group_id", "name", "parent_group_id", "created_at", "updated_at")
 
@@ -32,7 +33,9 @@ def transform(
 
     A group without an id is quarantined with its member list; members that
     are not known agents are quarantined one by one; an empty or NULL list
-    is a group without members (it still clears stored members).
+    is a group without members (it still clears stored members). A list that
+    is no list keeps its group out of the snapshot ids; an element that is no
+    id is quarantined.
     """
     d = unwrap(raw, "results").select("rec.*")
     g = d.select(
@@ -51,7 +54,9 @@ def transform(
 
     parsed = F.from_json(F.col("agent_ids"), "array<string>")
     bad_list = groups.filter(F.col("agent_ids").isNotNull() & parsed.isNull())
-    members = explode_ids(groups, ["group_id"], "agent_ids", "agent_id")
+    members = explode_ids(groups, ["group_id"], "agent_ids", "agent_id", text="element")
+    bad_element = members.filter(F.col("element").isNotNull() & F.col("agent_id").isNull())
+    members = members.drop("element")
     ref = agents.select(F.col("agent_id").cast("bigint").alias("agent_id"))
     known, unknown = split_known(members, ref, ["agent_id"])
     errors = (
@@ -65,5 +70,11 @@ def transform(
             )
         )
     )
-    snapshot_groups = groups.select("group_id")
+    errors = errors.unionByName(
+        to_quarantine(
+            bad_element, MEMBERS, F.col("group_id"), F.to_json(F.struct("group_id", "element")), *BAD_ELEMENT, day, run_ts
+        )
+    )
+    # a list that could not be read says nothing about the members: they stay
+    snapshot_groups = groups.filter(F.col("agent_ids").isNull() | parsed.isNotNull()).select("group_id")
     return groups.select(*GROUP_COLUMNS), known.distinct(), snapshot_groups, errors

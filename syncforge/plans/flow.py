@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from syncforge import schemas as S
+from syncforge.functions import try_long
 from syncforge.operators.assignments import assignment_counts, assignment_history, merge_assignments
 from syncforge.operators.hierarchy import DESCENDANTS, flag_inactive, groups_with_active_members
 from syncforge.operators.membership import replace_members
@@ -94,18 +95,17 @@ def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def _quarantine(ctx: DayContext, errors: DataFrame, name: str) -> None:
-    df, obs = _observed(errors.withColumn("sync_day", F.lit(ctx.day)))
-    ctx.store.overwrite_partitions(QUARANTINE, df, ["entity", "sync_day"])
+    df, obs = _observed(errors.drop("sync_day"))
+    ctx.store.overwrite_folder(QUARANTINE, df, step=name, sync_day=ctx.day)
     ctx.results.setdefault("quarantined_rows", {})[name] = obs.get["rows"]
 
 
 def _stage(ctx: DayContext, name: str, valid: DataFrame) -> DataFrame:
     table = f"stg_{name}"
-    df, obs = _observed(valid.withColumn(STG_DAY, F.lit(ctx.day)))
-    ctx.store.overwrite_partitions(table, df, [STG_DAY])
+    df, obs = _observed(valid)
+    staged = ctx.store.overwrite_folder(table, df, **{STG_DAY: ctx.day})
     ctx.results.setdefault("staged_rows", {})[name] = obs.get["rows"]
-    staged = ctx.spark.read.parquet(ctx.store.path(table))
-    return staged.filter(F.col(STG_DAY) == F.lit(ctx.day)).drop(STG_DAY)
+    return staged
 
 
 KEEP_VERSIONS = 3  # previous versions kept for rollback / time travel
@@ -209,7 +209,8 @@ def sync_agents(ctx: DayContext) -> None:
         keep=["created_at"], greatest=["updated_at"],
     )
     if ctx.mark_absent:
-        merged = deactivate_absent(merged)
+        ids = unwrap(details, "results").select(try_long("rec.id").alias("agent_id"))
+        merged = deactivate_absent(merged, present=ids)
     written = _write_core(ctx, "agents", merged)
     # J-03: the snapshot holds one sync date for every agent, so the upsert
     # keyed by (agent_id, sync_date) is exactly an overwrite of that date's
@@ -230,11 +231,12 @@ def sync_groups(ctx: DayContext) -> None:
         _quarantine(ctx, errors, "groups")
         staged = _stage(ctx, "groups", g)
         staged_members = _stage(ctx, "group_membership", members)
+        listed = _stage(ctx, "group_lists", snapshot_groups)
     core = ctx.store.read("groups", S.GROUPS_DDL)
     merged = merge_latest(core, staged, ["group_id"], keep=["created_at", "inactive"])
     # deleted = stored rows in - stored rows kept, both observed on the write
     membership, seen_in = _observed(ctx.store.read("group_membership", S.MEMBERSHIP_DDL))
-    replaced = replace_members(membership, staged_members, staged.select("group_id"))
+    replaced = replace_members(membership, staged_members, listed)
     kept = Observation()
     replaced = replaced.observe(kept, F.count_if(F.col(ACTION) == F.lit("keep")).alias("rows"))
     new_members = _write_core(ctx, "group_membership", replaced)
@@ -272,11 +274,12 @@ def sync_agent_roles(ctx: DayContext) -> bool:
         return False
     master = ctx.store.read("roles", S.ROLES_DDL)
     known_agents = ctx.store.read("agents", S.AGENTS_DDL)
-    pairs, errors = agent_roles.transform(details, master, ctx.day, ctx.run_ts, agents=known_agents)
+    pairs, errors, unread = agent_roles.transform(details, master, ctx.day, ctx.run_ts, agents=known_agents)
     _quarantine(ctx, errors, "agent_roles")
     staged = _stage(ctx, "agent_roles", pairs)
     current = ctx.store.read("agent_role_mapping", S.AGENT_ROLE_MAPPING_DDL)
-    written = _write_core(ctx, "agent_role_mapping", merge_assignments(current, staged, ctx.run_ts))
+    skipped = _stage(ctx, "agent_roles_unread", unread)
+    written = _write_core(ctx, "agent_role_mapping", merge_assignments(current, staged, ctx.run_ts, untouched=skipped))
     ctx.store.append(ROLE_HISTORY, assignment_history(written, ctx.run_ts))
     _metrics(ctx, "agent_roles", "agent_role_mapping", assignment_counts(written), started)
     return True

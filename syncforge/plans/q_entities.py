@@ -59,7 +59,7 @@ SELECT c_custkey AS agent_id,
        c_name AS name,
        c_mktsegment AS job_title,
        c_acctbal > 0 AS available,
-       CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01')
+       CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')
             THEN 'active' ELSE 'inactive' END AS status
 FROM customer
 WHERE NOT (c_mktsegment = 'MACHINERY' AND c_acctbal < 0) AND c_nationkey <> 7""",
@@ -90,7 +90,7 @@ def agents_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     details = c.select(rec.alias("r")).select("r.*")
     active = (
         table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp"))
+        .filter((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT"))
         .select(F.col("o_custkey").cast("string").alias("id"))
     )
     valid, _ = agents.transform(details, active, "sf", F.lit(RUN_TS).cast("timestamp"))
@@ -193,7 +193,7 @@ def agent_roles_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     details = c.select(_record(S.AGENT_DETAIL_RECORD, {"id": F.col("c_custkey").cast("string"), "role_ids": role_ids}).alias("r")).select("r.*")
     roles = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("role_id"))
-    pairs, _ = agent_roles.transform(details, roles, "sf", F.lit(RUN_TS).cast("timestamp"))
+    pairs, _, _ = agent_roles.transform(details, roles, "sf", F.lit(RUN_TS).cast("timestamp"))
     return pairs
 
 

@@ -13,14 +13,12 @@ from syncforge.operators.uniqueness import duplicate_keys
 from syncforge.plans.registry import register
 from syncforge.plans.tables import table
 
-ACTIVE_SINCE = "2001-01-01"
-
 
 @register(
     "status_from_active_list",
     f"""
 SELECT c_custkey AS agent_id, c_name AS name,
-       CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '{ACTIVE_SINCE}')
+       CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')
             THEN 'active' ELSE 'inactive' END AS status
 FROM customer""",
 )
@@ -29,7 +27,7 @@ def status_from_active_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     agents = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("agent_id"), F.col("c_name").alias("name"))
     active = (
         table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderdate") >= F.lit(ACTIVE_SINCE).cast("timestamp"))
+        .filter((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT"))
         .select(F.col("o_custkey").alias("agent_id"))
     )
     return flag_active(agents, active, "agent_id")

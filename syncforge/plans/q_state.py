@@ -161,7 +161,7 @@ def part_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def part_active_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     members = (
         table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_shipdate") >= _ts("2001-10-01"))
+        .filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") == 50))
         .select(F.col("l_partkey").alias("group_id"), F.col("l_suppkey").alias("agent_id"))
     )
     agents = table(spark, sf_dir, "supplier").select(
@@ -181,13 +181,13 @@ WITH RECURSIVE g AS (
 act AS (
   SELECT DISTINCT l.l_partkey AS group_id
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  WHERE l.l_shipdate >= TIMESTAMP '2001-10-01' AND s.s_acctbal > 5000),
-tree(root, node, path) AS (
-  SELECT group_id, group_id, [group_id] FROM g
-  UNION ALL
-  SELECT t.root, p.group_id, list_append(t.path, p.group_id)
-  FROM tree t JOIN g c ON c.group_id = t.node JOIN g p ON p.group_id = c.parent_group_id
-  WHERE NOT list_contains(t.path, p.group_id))"""
+  WHERE l.l_returnflag = 'R' AND l.l_quantity = 50 AND s.s_acctbal > 5000),
+tree(root, node) AS (  -- every (group, itself or a group above it); a set, so cycles end by themselves
+  SELECT group_id, group_id FROM g
+  UNION
+  SELECT below.root, above.group_id
+  FROM tree below, g own, g above
+  WHERE own.group_id = below.node AND above.group_id = own.parent_group_id)"""
 
 GROUP_INACTIVE_DESC_SQL = (
     _TREE_SQL
@@ -222,37 +222,38 @@ FROM g""",
 # ---------------------------------------------------------------------------
 # J-03: per-day activity snapshot, second day replayed
 # ---------------------------------------------------------------------------
-DAY1 = ("2001-01-01", "2001-04-01")
-DAY2 = ("2001-04-01", "2001-08-01")
+DAY1, DAY2 = "2001-04-01", "2001-08-01"
+# what makes a customer active on a day, read over all orders
+ACTIVE = {DAY1: ("F", "1-URGENT"), DAY2: ("O", "5-LOW")}
 
 
-def _active_between(spark, sf_dir, lo, hi) -> DataFrame:
+def _active_on(spark, sf_dir, day) -> DataFrame:
+    status, priority = ACTIVE[day]
     o = table(spark, sf_dir, "orders")
-    return o.filter((F.col("o_orderdate") >= _ts(lo)) & (F.col("o_orderdate") < _ts(hi))).select(
+    return o.filter((F.col("o_orderstatus") == status) & (F.col("o_orderpriority") == priority)).select(
         F.col("o_custkey").alias("agent_id")
     )
 
 
+def _active_sql(day: str) -> str:
+    status, priority = ACTIVE[day]
+    return f"c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = '{status}' AND o_orderpriority = '{priority}')"
+
+
 @register(
     "status_snapshot",
     f"""
-SELECT c_custkey AS agent_id, DATE '{DAY1[1]}' AS sync_date,
-       c_custkey IN (SELECT o_custkey FROM orders
-                     WHERE o_orderdate >= TIMESTAMP '{DAY1[0]}' AND o_orderdate < TIMESTAMP '{DAY1[1]}') AS is_active,
-       'keep' AS _action
+SELECT c_custkey AS agent_id, DATE '{DAY1}' AS sync_date, {_active_sql(DAY1)} AS is_active, 'keep' AS _action
 FROM customer
 UNION ALL
-SELECT c_custkey, DATE '{DAY2[1]}',
-       c_custkey IN (SELECT o_custkey FROM orders
-                     WHERE o_orderdate >= TIMESTAMP '{DAY2[0]}' AND o_orderdate < TIMESTAMP '{DAY2[1]}'),
-       'update'
+SELECT c_custkey, DATE '{DAY2}', {_active_sql(DAY2)}, 'update'
 FROM customer""",
 )
 def status_snapshot_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J-03: (agent, sync date) -> is_active, upserted per day; the replay overwrites in place."""
     agents = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("agent_id"))
-    snap1 = status_snapshot(flag_active(agents, _active_between(spark, sf_dir, *DAY1), "agent_id"), DAY1[1])
-    snap2 = status_snapshot(flag_active(agents, _active_between(spark, sf_dir, *DAY2), "agent_id"), DAY2[1])
+    snap1 = status_snapshot(flag_active(agents, _active_on(spark, sf_dir, DAY1), "agent_id"), DAY1)
+    snap2 = status_snapshot(flag_active(agents, _active_on(spark, sf_dir, DAY2), "agent_id"), DAY2)
     hist = spark.createDataFrame([], AGENT_STATUS_HISTORY_DDL)
     hist = materialize(current_rows(upsert_snapshot(hist, snap1)))
     hist = materialize(current_rows(upsert_snapshot(hist, snap2)))
@@ -264,14 +265,16 @@ def status_snapshot_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 def _watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    state = advance_watermark(empty_state(spark), ev.filter(F.col("ts") < _ts(HALF)), "events", "ts")
-    # an older batch arrives late: the mark must not move back
-    return advance_watermark(state, ev.filter(F.col("ts") < _ts("2024-01-10")), "events", "ts")
+    state = advance_watermark(empty_state(spark), ev.filter(F.col("event_type") == "signup"), "events", "ts")
+    # other batches arrive late: the mark takes the greatest and never moves back
+    for late in ("error", "view"):
+        state = advance_watermark(state, ev.filter(F.col("event_type") == late), "events", "ts")
+    return state
 
 
 @register(
     "watermark_state",
-    f"SELECT 'events' AS pipeline_name, max(ts) AS last_processed_time FROM events WHERE ts < TIMESTAMP '{HALF}'",
+    f"SELECT 'events' AS pipeline_name, max(ts) AS last_processed_time FROM events WHERE event_type IN ('signup', 'error', 'view')",
 )
 def watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _watermark_state(spark, sf_dir)
@@ -281,7 +284,7 @@ def watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     "watermark_delta",
     f"""
 SELECT event_id, user_id, ts FROM events
-WHERE ts IS NULL OR ts >= (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '{HALF}')""",
+WHERE ts IS NULL OR ts >= (SELECT max(ts) FROM events WHERE event_type IN ('signup', 'error', 'view'))""",
 )
 def watermark_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")

@@ -49,10 +49,10 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the context.
 
-    The cluster names it in ``spark.checkpoint.dir``; we read that. Only when
-    it is unset (local tests, ad-hoc sessions) do we fall back to a folder
-    under the session's warehouse directory, which on a cluster is shared
-    storage as well -- never a machine-local temp folder.
+    The cluster names it in ``spark.checkpoint.dir``; we read that. Only on a
+    ``local`` master, where driver and executors are one process, does an
+    unset folder fall back to one under the session's warehouse directory; any
+    other master must name it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
         conf_dir = warehouse.rstrip("/") + "/_checkpoints"
         if conf_dir.startswith("file:"):

@@ -5,9 +5,9 @@
   picks the highest version whose ``_SUCCESS`` marker exists). A plan never
   overwrites the folder it reads, and a failed write leaves the previous
   version current. Older versions can be dropped by ``vacuum``.
-* **Staging, quarantine** are partitioned by ``sync_day`` (quarantine also
-  by ``entity``) and written with dynamic partition overwrite, so re-running
-  a day replaces exactly that day's partitions.
+* **Staging, quarantine** have a folder per day (quarantine also per step)
+  that is replaced as a whole, so re-running a day replaces exactly that
+  day's rows, also when it now has none.
 * **Incremental core tables** (large entities fed by daily deltas) are
   merge-on-read: a base snapshot plus delta layers of changed rows; the
   merge reads only stored rows whose keys are staged and writes only the
@@ -135,16 +135,14 @@ class TableStore:
     def read_current(self, table: str, ddl: str, keys: Sequence[str], touched_keys: DataFrame | None = None) -> DataFrame:
         """Current rows (newest layer per key); only keys in ``touched_keys`` if given.
 
-        With ``touched_keys`` small (a day's staged keys, probed), each layer is
-        semi-joined against their broadcast before any shuffle, so the read
-        scans the key columns but moves only the touched rows.
+        With ``touched_keys`` each layer is semi-joined with them; the scan
+        still reads every stored row's key.
         """
-        from syncforge.functions.sizing import broadcast_if_fits
         from syncforge.operators.dedup import latest_per_key
 
         kf = None
         if touched_keys is not None:
-            kf, _ = broadcast_if_fits(touched_keys.select(*keys).distinct())
+            kf = touched_keys.select(*keys).distinct()
         stacked = self._stacked(table, ddl, kf, keys)
         if stacked is None:
             return self.spark.createDataFrame([], ddl)
@@ -154,9 +152,7 @@ class TableStore:
         self, table: str, ddl: str, id_cols: Sequence[str], column: str, values: DataFrame
     ) -> DataFrame:
         """Distinct ids of stored rows (any layer) whose ``column`` is in ``values``."""
-        from syncforge.functions.sizing import broadcast_if_fits
-
-        v, _ = broadcast_if_fits(values.select(column).distinct())
+        v = values.select(column).distinct()
         stacked = self._stacked(table, ddl, v, [column])
         if stacked is None:
             return self.spark.createDataFrame([], self.spark.createDataFrame([], ddl).select(*id_cols).schema)
@@ -186,6 +182,12 @@ class TableStore:
             .parquet(self.path(table))
         )
 
+    def overwrite_folder(self, table: str, df: DataFrame, **parts: str) -> DataFrame:
+        """Replace one partition folder, also by an empty frame; returns the rows read back."""
+        path = "/".join([self.path(table), *(f"{k}={v}" for k, v in parts.items())])
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def read_partitioned(self, table: str, ddl: str) -> DataFrame:
         if not self._exists(self.path(table)):
             return self.spark.createDataFrame([], ddl)

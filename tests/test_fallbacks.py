@@ -1,4 +1,4 @@
-"""Above the broadcast bound every operator keeps a shuffle path with the same result."""
+"""Joins give the same result whether AQE may broadcast or not."""
 
 from __future__ import annotations
 
@@ -12,7 +12,19 @@ from syncforge.operators.refer import split_known
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def _both(spark, make):
+    """Rows with broadcasts allowed, then without."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    first = _rows(make())
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        return first, _rows(make())
+    finally:
+        spark.conf.set(key, before)
 
 
 def test_fx_shuffle_path_equals_broadcast(spark):
@@ -22,10 +34,9 @@ def test_fx_shuffle_path_equals_broadcast(spark):
         "id int, fx_date date, original_currency string, original_amount double, payload_exchange_rate double",
     )
     rates = spark.createDataFrame([(d, "EUR", 0.8), (d, "eur", 0.8)], "fx_date date, currency string, usd_quote double")
-    small = convert_to_usd(txn, rates)
-    shuffled = convert_to_usd(txn, rates, max_broadcast_rows=0)
-    assert _rows(small) == _rows(shuffled)
-    got = {r.id: (r.exchange_rate, r.fx_source) for r in small.collect()}
+    small, shuffled = _both(spark, lambda: convert_to_usd(txn, rates))
+    assert small == shuffled
+    got = {r.id: (r.exchange_rate, r.fx_source) for r in convert_to_usd(txn, rates).collect()}
     assert got == {1: (1.25, "API"), 2: (1.25, "PAYLOAD"), 3: (None, "MISSING"), 4: (1.0, "API"), 5: (None, "MISSING")}
 
 
@@ -33,10 +44,11 @@ def test_split_known_shuffle_path_equals_broadcast(spark):
     df = spark.range(200).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     df = df.unionByName(spark.createDataFrame([(None, 0)], "k bigint, v bigint"))
     ref = spark.range(0, 200, 3).select(F.col("id").alias("k"))
-    a_known, a_unknown = split_known(df, ref, ["k"])
-    b_known, b_unknown = split_known(df, ref, ["k"], max_broadcast_rows=0)
-    assert _rows(a_known) == _rows(b_known) and _rows(a_unknown) == _rows(b_unknown)
-    assert a_known.count() + a_unknown.count() == 200  # the NULL key is in neither
+    for side in (0, 1):
+        small, shuffled = _both(spark, lambda side=side: split_known(df, ref, ["k"])[side])
+        assert small == shuffled
+    known, unknown = split_known(df, ref, ["k"])
+    assert known.count() + unknown.count() == 200  # the NULL key is in neither
 
 
 def test_merge_paths_equal_on_random_batches(spark):
@@ -46,8 +58,7 @@ def test_merge_paths_equal_on_random_batches(spark):
     stg = spark.range(150, 450).select(
         F.col("id").alias("k"), (F.col("id") % 11).alias("v"), F.expr("timestamp'2024-01-01' + make_interval(0,0,0, id % 9)").alias("u")
     )
-    a = merge_latest(core, stg, ["k"], guard="u", strategy="broadcast")
-    b = merge_latest(core, stg, ["k"], guard="u", strategy="shuffle")
-    assert _rows(a) == _rows(b)
-    acts = {r[ACTION] for r in a.collect()}
+    small, shuffled = _both(spark, lambda: merge_latest(core, stg, ["k"], guard="u"))
+    assert small == shuffled
+    acts = {r[ACTION] for r in merge_latest(core, stg, ["k"], guard="u").collect()}
     assert acts == {"insert", "update", "stale", "keep"}

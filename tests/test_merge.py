@@ -44,10 +44,9 @@ def _frames(spark):
     return core, stg
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
-def test_guard_reject(spark, strategy):
+def test_guard_reject(spark):
     core, stg = _frames(spark)
-    m = merge_latest(core, stg, ["k"], guard="updated_at", null_guard="reject", keep=["created_at"], strategy=strategy)
+    m = merge_latest(core, stg, ["k"], guard="updated_at", null_guard="reject", keep=["created_at"])
     got = {r.k: (r.v, r[ACTION], r.created_at) for r in m.collect()}
     assert {k: a for k, (_, a, _) in got.items()} == {
         1: "stale", 2: "update", 3: "update", 4: "stale", 5: "stale", 6: "keep", 7: "insert"
