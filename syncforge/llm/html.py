@@ -219,8 +219,10 @@ def main_text(page: str | None, weights: Weights) -> str:
 
 def labelled(pages: DataFrame, key: str, html: str, bound: int) -> DataFrame:
     """Pages whose markup names the main element: at most ``bound``, of least hash."""
-    named = pages.where(F.lower(html).rlike(r"<(article|main)[\s>]"))
-    return named.select(F.col(html).alias("html"), F.xxhash64(key, html).alias("h")).orderBy("h", "html").limit(bound)
+    named = pages.where(F.lower(html).rlike(r"<(article|main)[\s>]")).select(F.col(html).alias("html"), F.xxhash64(key, html).alias("h"))
+    # only hashes are ordered; at most ``bound`` of them are broadcast
+    chosen = named.select("h").distinct().orderBy("h").limit(bound)
+    return named.join(F.broadcast(chosen), "h")
 
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
