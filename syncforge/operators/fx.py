@@ -28,11 +28,14 @@ def minor_to_major(amount, exponent) -> Column:
 
 
 def rates_to_usd(rates: DataFrame) -> DataFrame:
-    """One rate per (fx_date, currency); a zero quote yields no rate."""
+    """One rate per (fx_date, currency). A zero quote yields no rate, and so do
+    quotes of one day that differ: such a row falls back to its payload rate
+    or is quarantined, instead of taking one of them silently."""
+    rate = F.try_divide(F.lit(1.0), F.col("usd_quote").cast("double"))
     return rates.groupBy(
         F.col("fx_date").cast("date").alias("_fx_date"),
         F.upper(F.col("currency")).alias("_fx_cur"),
-    ).agg(F.max(F.try_divide(F.lit(1.0), F.col("usd_quote").cast("double"))).alias("_api_rate"))
+    ).agg(F.when(F.min(rate) == F.max(rate), F.max(rate)).alias("_api_rate"))
 
 
 def convert_to_usd(

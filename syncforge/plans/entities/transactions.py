@@ -5,7 +5,9 @@ reader), with the flat layout as fallback for the ``currencyData`` fields.
 The FX rate is a join with the rates table (no driver collect, no UDF).
 Rules run in a fixed order and the first failure names the error. The
 idempotency key is derived for valid rows, which are then deduplicated on
-it, latest ``updated_time`` first.
+it, latest ``updated_time`` first. The transaction id is part of that
+dedup key: two transactions that share an idempotency key both stay, for the
+uniqueness check (J-15) to find.
 """
 
 from __future__ import annotations
@@ -116,7 +118,7 @@ def transform(
         idempotency_key("transaction_id", "transaction_uuid", "occurred_time", "original_amount", "original_currency"),
     )
     valid = latest_per_key(
-        valid, ["idempotency_key"], ["updated_time desc_nulls_last"], tie_break=[F.xxhash64("raw_payload").desc()]
+        valid, ["idempotency_key", "transaction_id"], ["updated_time desc_nulls_last"], tie_break=[F.xxhash64("raw_payload").desc()]
     )
     valid = valid.select(*VALID_COLUMNS, F.lit(run_ts).cast("timestamp").alias("ingested_at"))
     return valid, errors

@@ -92,6 +92,17 @@ ROLE_RECORD = struct(
 GROUP_RECORD = struct(*_strings("id", "name", "parent_group_id", "created_at", "updated_at", "agent_ids"))
 
 
+# Column the JSON reader fills with the text of a document it could not read.
+CORRUPT = "_corrupt_record"
+
+
+def captured(record: StructType) -> StructType:
+    """``record`` with the capture column. A document without a readable record
+    becomes one record that holds only its text, so the required-field rules
+    quarantine it with that text instead of dropping it."""
+    return StructType([*record.fields, StructField(CORRUPT, StringType())])
+
+
 def envelope(record: StructType, name: str = "results") -> StructType:
     """Read schema accepting both ``{"results": [...]}`` and flat records."""
     return StructType([StructField(name, ArrayType(record))] + list(record.fields))

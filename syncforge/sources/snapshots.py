@@ -1,7 +1,8 @@
 """Day snapshot addressing (A-06..A-08): ``<base>/sync-<day>/<entity>/``.
 
 The path is built by string concatenation, so ``s3a://``, ``hdfs://`` and
-local bases all work. Each entity has a declared read schema.
+local bases all work. Each entity has a declared read schema; a document that
+cannot be read arrives as one record holding its text (``schemas.captured``).
 """
 
 from __future__ import annotations
@@ -24,13 +25,13 @@ class Source:
 
 # folder names of the daily export and the schema each is read with
 SOURCES = {
-    "agent_details": Source("agent_details", S.envelope(S.AGENT_DETAIL_RECORD), True),
-    "agents": Source("agents", S.envelope(S.ACTIVE_AGENT_RECORD), True),
-    "groups": Source("admin_groups", S.envelope(S.GROUP_RECORD), True),
-    "roles": Source("roles", S.envelope(S.ROLE_RECORD), False),
-    "budgets": Source("budgets", S.wrapped(S.BUDGET_RECORD, "budget"), False),
-    "cards": Source("cards", S.envelope(S.CARD_RECORD), False),
-    "transactions": Source("transactions", S.envelope(S.TRANSACTION_RECORD), False),
+    "agent_details": Source("agent_details", S.envelope(S.captured(S.AGENT_DETAIL_RECORD)), True),
+    "agents": Source("agents", S.envelope(S.captured(S.ACTIVE_AGENT_RECORD)), True),
+    "groups": Source("admin_groups", S.envelope(S.captured(S.GROUP_RECORD)), True),
+    "roles": Source("roles", S.envelope(S.captured(S.ROLE_RECORD)), False),
+    "budgets": Source("budgets", S.wrapped(S.captured(S.BUDGET_RECORD), "budget"), False),
+    "cards": Source("cards", S.envelope(S.captured(S.CARD_RECORD)), False),
+    "transactions": Source("transactions", S.envelope(S.captured(S.TRANSACTION_RECORD)), False),
 }
 
 

@@ -7,11 +7,13 @@ import os
 
 from syncforge import schemas as S
 from syncforge.operators.assignments import empty_mapping, merge_assignments
+from syncforge.operators.fx import rates_to_usd
 from syncforge.operators.membership import replace_members
 from syncforge.operators.merge import merge_latest
 from syncforge.operators.refer import deactivate_absent
 from syncforge.plans.entities import agent_roles, cards, groups
 from syncforge.sinks.tables import TableStore
+from syncforge.sources.snapshots import read_day
 
 TS = "2024-05-01 00:00:00"
 
@@ -114,3 +116,33 @@ def test_checkpoint_folder_must_be_named_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session())
+
+
+def test_unreadable_documents_are_quarantined_with_their_text(spark, tmp_root):
+    folder = os.path.join(tmp_root, "sync-1", "cards")
+    os.makedirs(folder)
+    card = {"id": "c1", "status": "active", "type": "virtual", "createdTime": "2024-01-01T00:00:00"}
+    texts = {
+        "good.json": json.dumps({"results": [card, {**card, "id": "c2"}]}),
+        "flat.json": json.dumps({**card, "id": "c3"}),
+        "cut.json": json.dumps({"results": [card]})[:-20],
+        "object.json": json.dumps({"results": card}),
+        "empty.json": json.dumps({"results": []}),
+    }
+    for name, text in texts.items():
+        with open(os.path.join(folder, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    raw, _ = read_day(spark, tmp_root, "1", "cards")
+    valid, errors = cards.transform(raw, "1", None)
+    assert sorted(r.card_id for r in valid.collect()) == ["c1", "c2", "c3"]
+    kept = [json.loads(r.raw_record)["_corrupt_record"] for r in errors.collect()]
+    assert sorted(kept) == sorted([texts["cut.json"], texts["object.json"]])
+
+
+def test_quotes_that_differ_are_no_rate(spark):
+    rates = spark.createDataFrame(
+        [("2024-01-01", "EUR", 0.5), ("2024-01-01", "EUR", 0.8), ("2024-01-02", "EUR", 0.5), ("2024-01-02", "eur", 0.5), ("2024-01-03", "EUR", 0.0)],
+        "fx_date string, currency string, usd_quote double",
+    )
+    got = {str(r["_fx_date"]): r["_api_rate"] for r in rates_to_usd(rates).collect()}
+    assert got == {"2024-01-01": None, "2024-01-02": 2.0, "2024-01-03": None}
