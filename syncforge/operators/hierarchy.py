@@ -30,7 +30,7 @@ executor recomputes at most one round.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from syncforge.session import materialize
@@ -55,12 +55,12 @@ def _seeds(groups: DataFrame, active_ids: DataFrame, id_col: str, active_col: st
     return ids.join(act, _NODE, "left_semi").distinct()
 
 
-def _materialize(df: DataFrame, reliable: bool) -> DataFrame:
-    if reliable:
-        return materialize(df)
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    return out
+def _materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """The checkpointed frame and its row count, observed on the same job. A
+    plan that Spark finds empty while running reports no metric: no rows."""
+    obs = Observation()
+    out = materialize(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    return out, obs.get.get("rows", 0)
 
 
 def active_groups(
@@ -101,10 +101,15 @@ def _frontier(groups, seeds, id_col, parent_col, direction, every, max_rounds=No
         step = e.select(F.col("child").alias(_NODE), F.col("parent").alias(_NEXT))
     else:  # activity descends: parent -> child
         step = e.select(F.col("parent").alias(_NODE), F.col("child").alias(_NEXT))
-    # Edges are read by every round: lay them out once, hash-partitioned on
-    # the join key, so each round shuffles only the (small) frontier.
-    step = step.repartition(_NODE).persist(StorageLevel.MEMORY_AND_DISK)
-    frontier = _materialize(seeds, reliable=True)
+    # Edges are read by every round. A child has one parent, so upwards they are
+    # laid out once by the join key and a round shuffles only its frontier.
+    # Downwards one parent may have any number of children: a fixed layout
+    # would keep them in one partition, so there AQE lays out each join and
+    # splits it where it is skewed.
+    if direction == DESCENDANTS:
+        step = step.repartition(_NODE)
+    step = step.persist(StorageLevel.MEMORY_AND_DISK)
+    frontier = materialize(seeds)
     seen_parts = [frontier]
     rounds = 0
     converged = True
@@ -126,17 +131,17 @@ def _frontier(groups, seeds, id_col, parent_col, direction, every, max_rounds=No
         # files instead of embedding this round twice (frontier and seen).
         # Each group sits in exactly one frontier, so all rounds together
         # write each group once.
-        nxt = _materialize(nxt, reliable=True)
-        if nxt.isEmpty():
+        nxt, found = _materialize_counted(nxt)
+        if not found:
             break
         seen_parts.append(nxt)
         frontier = nxt
         if len(seen_parts) >= every:
-            seen_parts = [_materialize(seen.unionByName(nxt), reliable=True)]
+            seen_parts = [materialize(seen.unionByName(nxt))]
     seen = seen_parts[0]
     for p in seen_parts[1:]:
         seen = seen.unionByName(p)
-    result = _materialize(seen, reliable=True) if len(seen_parts) > 1 else seen
+    result = materialize(seen) if len(seen_parts) > 1 else seen
     step.unpersist()
     return result, converged
 
@@ -150,13 +155,19 @@ def _doubling(groups, seeds, id_col, parent_col, direction, every) -> DataFrame:
         .join(seed_flag, _NODE, "left")
         .select(_NODE, _NEXT, F.coalesce(F.col("_seed"), F.lit(False)).alias(_ACT))
     )
-    t = _materialize(t, reliable=True)
+    t = materialize(t)
     n_active = t.filter(F.col(_ACT)).count()
     rounds = 0
     while True:
         rounds += 1
         target = t.select(F.col(_NODE).alias(_NEXT), F.col(_NEXT).alias("_ptr2"), F.col(_ACT).alias("_act2"))
-        jumped = t.join(target, _NEXT, "left")
+        # pointers past a root stay NULL: those rows have nothing to join, and
+        # would otherwise all meet in one partition
+        live = t.filter(F.col(_NEXT).isNotNull()).join(target, _NEXT, "left")
+        ended = t.filter(F.col(_NEXT).isNull()).withColumns(
+            {"_ptr2": F.col(_NEXT), "_act2": F.lit(None).cast("boolean")}
+        )
+        jumped = live.unionByName(ended)
         if direction == ANCESTORS:
             # x is active if x is, or the node 2^k levels above x is.
             nt = jumped.select(
@@ -176,7 +187,7 @@ def _doubling(groups, seeds, id_col, parent_col, direction, every) -> DataFrame:
                 _NODE, _NEXT, (F.col(_ACT) | F.coalesce(F.col("_lift"), F.lit(False))).alias(_ACT)
             )
         # the next round reads this one twice: start it from files
-        nt = _materialize(nt, reliable=True)
+        nt = materialize(nt)
         stats = nt.agg(
             F.count_if(F.col(_ACT)).alias("active"), F.count_if(F.col(_NEXT).isNotNull()).alias("pointers")
         ).first()  # one aggregated row

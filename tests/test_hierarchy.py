@@ -73,3 +73,22 @@ def test_direction_cases(spark):
     anc = {r.group_id: r.inactive for r in flag_inactive(g, a, direction=ANCESTORS).collect()}
     assert desc == {1: False, 2: False, 3: True, 4: False, 5: False}
     assert anc == {1: True, 2: False, 3: True, 4: False, 5: False}
+
+
+@pytest.mark.parametrize("method", ["frontier", "doubling"])
+@pytest.mark.parametrize("direction", [DESCENDANTS, ANCESTORS])
+def test_parent_of_many(spark, direction, method):
+    # one root with 100,000 children, one of them active
+    g = spark.range(100_001).selectExpr("id as group_id", "if(id = 0, null, 0L) as parent_group_id")
+    a = spark.createDataFrame([(0 if direction == ANCESTORS else 5,)], "group_id bigint")
+    n = active_groups(g, a, direction=direction, method=method).count()
+    assert n == (100_001 if direction == ANCESTORS else 2)
+
+
+def test_nothing_active_and_no_groups(spark):
+    g, _ = _frames(spark, {1: None, 2: 1}, set())
+    none = spark.createDataFrame([], "group_id bigint")
+    empty = spark.createDataFrame([], "group_id bigint, parent_group_id bigint")
+    for method in ("frontier", "doubling", "auto"):
+        assert active_groups(g, none, method=method).count() == 0
+        assert active_groups(empty, none, method=method).count() == 0
