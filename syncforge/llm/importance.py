@@ -32,8 +32,6 @@ TARGET_ROWS = 50_000
 SEED = 20_24
 #: Added to each count of a model.
 SMOOTH = 0.5
-#: Log-weights are means a feature times this, so long and short documents draw alike.
-SHARPNESS = 800.0
 
 
 def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,13 +56,13 @@ def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(np.repeat([0, 1], FEATURES), pa.int32()), pa.array(place, pa.int32()), pa.array(total.reshape(-1))], names=["model", "place", "n"])
 
 
-def _weights(ratio: np.ndarray, sharpness: float):
+def _weights(ratio: np.ndarray):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in B.blocks(batches, "text"):
             f, rows = features(*B.flat(b.column("text")))
             n = np.bincount(rows, minlength=b.num_rows)
             total = np.bincount(rows, weights=ratio[f], minlength=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("row"), pa.array(n, pa.int64()), pa.array(total * sharpness / np.maximum(n, 1), pa.float64())], names=["key", "row", "n_features", "log_weight"])
+            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("row"), pa.array(n, pa.int64()), pa.array(total, pa.float64())], names=["key", "row", "n_features", "log_weight"])
 
     return run
 
@@ -75,6 +73,10 @@ def gumbel(key: Column, seed: int) -> Column:
     return -F.log(-F.log(u))
 
 
+def good_label() -> Column:
+    return (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
+
+
 def good_keys(labels: DataFrame, key: str, good: Column, bound: int) -> DataFrame:
     """Keys of good rows, at most ``bound`` of them: those of least hash."""
     k = F.col(key).cast("long")
@@ -84,7 +86,7 @@ def good_keys(labels: DataFrame, key: str, good: Column, bound: int) -> DataFram
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", good: Column | None = None, bound: int = TARGET_ROWS) -> np.ndarray:
     """Log ratio of target to raw model for every feature."""
-    good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) if good is None else good
+    good = good_label() if good is None else good
     target = good_keys(labels, key, good, bound).withColumn("good", F.lit(True))  # at most ``bound`` longs
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     marked = rows.join(F.broadcast(target), "key", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
@@ -96,8 +98,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return np.log(own / own.sum()) - np.log(raw / raw.sum()) if n[1].any() else np.zeros(FEATURES)
 
 
-def label_share(labels: DataFrame, good: Column) -> float:
-    """Share of labelled rows that are good (1 without a good one)."""
+def label_share(labels: DataFrame, good: Column | None = None) -> float:
+    """Share of labelled rows that are good, as the target model means it (1 without a good one)."""
+    good = good_label() if good is None else good
     a, b = labels.agg(F.count_if(good), F.count("*")).first()
     return a / b if a else 1.0
 
@@ -119,17 +122,17 @@ def _kth(rows: DataFrame, k: int) -> tuple[int, int]:
     return top, left
 
 
-def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", share: float | None = None, k: int | None = None, seed: int = SEED, good: Column | None = None, sharpness: float = SHARPNESS) -> DataFrame:
+def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", share: float | None = None, k: int | None = None, seed: int = SEED, good: Column | None = None) -> DataFrame:
     """One row per document: key, ``n_features``, ``log_weight``, ``score`` (with noise) and ``kept`` (one of the k greatest).
 
     ``k``, else ``share`` of the documents (all of them by default): the
     sample size is the feature of this operator.
     """
-    good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) if good is None else good
+    good = good_label() if good is None else good
     ratio = fit(docs, labels, key, text, good)
     t = F.col(text).cast("string")
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.xxhash64(t), F.lit(0)).alias("row"), t.alias("text"))
-    weighed = rows.mapInArrow(_weights(ratio, sharpness), "key long, row long, n_features long, log_weight double")
+    weighed = rows.mapInArrow(_weights(ratio), "key long, row long, n_features long, log_weight double")
     scored = weighed.withColumn("score", F.col("log_weight") + gumbel(F.coalesce("key", F.lit(0)), seed))
     # order of doubles as order of longs: millionths are finer than any noise
     ranked = settled(scored.withColumn("rank", F.round(F.col("score") * 1e6).cast("long")))

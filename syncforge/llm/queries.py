@@ -187,7 +187,7 @@ def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_registered()
 def op9_importance_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels")
-    return importance.sample(_table(spark, sf_dir, "documents"), labels, share=importance.label_share(labels, F.col("quality") == 1))
+    return importance.sample(_table(spark, sf_dir, "documents"), labels, share=importance.label_share(labels))
 
 
 @_registered(

@@ -305,6 +305,17 @@ def test_importance(spark):
     assert sum(r["kept"] for r in importance.sample(df, lab.where("false")).collect()) == len(rows)
 
 
+def test_importance_share_and_weight_of_the_method(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 1), (3, 0, 0), (4, 1, None)], "doc_id long, quality int, toxic int")
+    assert importance.label_share(labels) == 0.5
+    df = spark.createDataFrame([(1, "alpha beta"), (2, "junk spam"), (3, "junk buy"), (4, "alpha"), (5, "alpha beta alpha beta"), (6, "")], "doc_id long, text string")
+    ratio = importance.fit(df, labels)
+    got = {r["doc_id"]: r["log_weight"] for r in importance.sample(df, labels).collect()}
+    for r in df.collect():
+        own, _ = importance.features(*buffers.flat(pa.array([r["text"]])))
+        assert got[r["doc_id"]] == pytest.approx(ratio[own].sum(), abs=1e-6)
+
+
 # decontamination
 
 
