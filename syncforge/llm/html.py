@@ -2,14 +2,17 @@
 
 A page is read as a row of words and tags. Words score by what holds them
 (block element, link, page furniture), tags are negative; the weights are log
-odds of lying in the main text, counted on labelled pages. A linear scan
+odds of lying in the main text, counted on labelled pages. Words of class, id
+and role name furniture only where the element holds at most half of the
+page's words and neither is nor holds its main element (``has-sidebar`` on
+the container of an article is no proof). A linear scan
 finds the contiguous region of greatest sum; of its blocks those whose own
 words score positive are the text.
 
 Labelled pages are the rows of the table whose markup names its main element
 (``article`` or ``main``), at most ``LABELLED_PAGES`` of them (those of least
-hash; a documented bound). That element is used for the labels only, never as
-a feature, so pages without it are read the same way.
+hash; a documented bound). That element is used for the labels, and to
+overrule the names of what holds it; it is never a feature of the weights.
 
 Null, empty and text-free pages give an empty text. Unclosed and truncated
 markup is read to its end. Rows are judged one by one (ties, repeated rows);
@@ -63,6 +66,7 @@ class Block:
 
     tags: list[str] = field(default_factory=list)
     parts: list[tuple[str, str]] = field(default_factory=list)  # (feature, raw text)
+    named: list[tuple[int, ...]] = field(default_factory=list)  # of each part: the elements around it that are named like furniture
     main: bool = False
 
     @property
@@ -76,10 +80,8 @@ class Block:
         return out
 
 
-def _is_furniture(name: str, attrs: str) -> bool:
-    if name in FURNITURE_TAGS:
-        return True
-    return bool(attrs) and name not in ("body", "html") and any(w in FURNITURE_WORDS for m in _ATTR.finditer(attrs) for w in _NAME.findall(m[1].lower()))
+def _named_furniture(name: str, attrs: str) -> bool:
+    return bool(attrs) and name not in ("body", "html", *MAIN) and any(w in FURNITURE_WORDS for m in _ATTR.finditer(attrs) for w in _NAME.findall(m[1].lower()))
 
 
 def blocks_of(page: str | None) -> list[Block]:
@@ -87,7 +89,9 @@ def blocks_of(page: str | None) -> list[Block]:
     page = page or ""
     out: list[Block] = []
     now = Block()
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, furniture, hidden, main: of it or an element around it
+    # name, furniture, hidden, main, elements named like furniture: of it or an element around it
+    stack: list[tuple[str, bool, bool, bool, tuple[int, ...]]] = []
+    holds: list[bool] = []  # of each element named like furniture: whether the main element is in it
     at = 0
 
     def close() -> None:
@@ -97,17 +101,19 @@ def blocks_of(page: str | None) -> list[Block]:
             now = Block()
         else:
             now.parts.clear()
+            now.named.clear()
 
     def text(raw: str) -> None:
         if not raw:
             return
-        _, furniture, hidden, main = stack[-1] if stack else ("", False, False, False)
+        _, furniture, hidden, main, named = stack[-1] if stack else ("", False, False, False, ())
         if hidden:
             return
         kind = next((n for n, *_ in reversed(stack) if n in _BLOCK_KINDS), "body")
         link = any(n == "a" for n, *_ in stack)
         feature = "furniture" if furniture else f"{kind} link" if link else kind
         now.parts.append((feature, entities.unescape(raw)))
+        now.named.append(named)
         now.main = now.main or main
 
     end = len(page)
@@ -146,17 +152,43 @@ def blocks_of(page: str | None) -> list[Block]:
         now.tags.append(name)
         if name in ("br", "hr"):
             now.parts.append(("break", " "))
+            now.named.append(())
         if name in RAW:
             past = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = past.end() if past else end
         elif name not in VOID and not attrs.rstrip().endswith("/"):
-            _, furniture, hidden, main = stack[-1] if stack else ("", False, False, False)
-            stack.append((name, furniture or _is_furniture(name, attrs), hidden or name in HIDDEN, main or name in MAIN))
+            _, furniture, hidden, main, named = stack[-1] if stack else ("", False, False, False, ())
+            furniture, hidden = furniture or name in FURNITURE_TAGS, hidden or name in HIDDEN
+            if name in MAIN and not (furniture or hidden):
+                for i in named:
+                    holds[i] = True
+            if not (furniture or hidden) and _named_furniture(name, attrs):
+                named = (*named, len(holds))
+                holds.append(False)
+            stack.append((name, furniture, hidden, main or name in MAIN, named))
     close()
     out.append(now)
+    if holds:
+        _mark_named(out, holds)
     return out
 
 
+def _mark_named(blocks: list[Block], holds: list[bool]) -> None:
+    """Marks the parts of elements named like furniture that hold neither the main element nor more than half of the words."""
+    words = [0] * len(holds)
+    total = 0
+    for b in blocks:
+        for (f, t), named in zip(b.parts, b.named, strict=True):
+            if f != "furniture":
+                n = len(t.split())
+                total += n
+                for i in named:
+                    words[i] += n
+    gone = {i for i, n in enumerate(words) if not holds[i] and 2 * n <= total}
+    for b in blocks:
+        b.parts = [("furniture" if not gone.isdisjoint(named) and f != "break" else f, t) for (f, t), named in zip(b.parts, b.named, strict=True)]
+
+
 def count(pages: Iterable[str | None]) -> dict[tuple[str, str], list[int]]:
     """Of labelled pages: (word or tag, feature) to counts outside and inside the main text."""
     out: dict[tuple[str, str], list[int]] = {}

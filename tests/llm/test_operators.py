@@ -274,6 +274,14 @@ def test_main_text():
     assert len(html.main_text("<p>" + "word " * 100_000, weights)) == 499_999
 
 
+@pytest.mark.parametrize("opening", ["div class='content has-sidebar'", "main class='with-nav'", "article class='post comments-open'", "div id=search-page role=main", "div class='has-sidebar'><article"])
+def test_names_of_containers_are_no_proof(opening):
+    weights = html.Weights.of(html.count(["<body><nav><ul><li><a>Home</a></ul></nav><article><h1>T</h1><p>some words of text</p></article><div class=ad>ad</div><footer>foot</footer>"] * 5))
+    body = "<h1>Head</h1><p>one paragraph of the text<div class='social share'>tell others</div><p>and another paragraph of it"
+    page = f"<body><div class=ad>buy this</div><{opening}>{body}</{opening.split()[0]}><div class=sidebar><p>see also</p></div><footer>foot</footer>"
+    assert html.main_text(page, weights) == "Head\none paragraph of the text\nand another paragraph of it"
+
+
 def test_extract_table(spark):
     page = "<body><nav><a href=x>menu item</a></nav><article><h1>Head</h1><p>{}</p></article><footer>foot</footer>"
     rows = [(i, f"u{i}", page.format(f"text number {i} of a page"), "x") for i in range(20)] + [(20, None, None, None), (20, "u", "", "y")]
