@@ -5,8 +5,12 @@ is dealt by its minimizer (the least hash of its ``GRAM``-byte substrings, the
 leftmost on a tie): consecutive windows with the same minimizer place form
 one short string of at most ``2 * length - GRAM`` bytes, sent once, to the
 bucket of the minimizer's hash. Equal windows have equal minimizers at equal
-offsets, so they always meet. Equal strings of a block of documents are sent
-once with all their places, and a bucket keeps a string once.
+offsets, so they always meet. Grams of a short period (runs of one byte,
+rules of dashes) rank after all others, so only windows that are periodic
+throughout are dealt by them. Of equal strings of a block of documents only
+the one at the least place is sent: the others are removed where they are
+found, and their ranges pass beside the strings. A bucket that outgrows
+``HELD_BYTES`` is reduced in the same way while it is read.
 
 In a bucket the strings of minimizers that occur in several different
 strings are concatenated and their Burrows-Wheeler transform is built. From
@@ -26,6 +30,7 @@ empty table gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -47,6 +52,8 @@ BUCKET_BYTES = 12 << 20
 BLOCK_BYTES = 4 << 20
 #: Bytes of strings of one transform (the strings of one minimizer stay together).
 INDEX_BYTES = 1 << 19
+#: Bytes of strings of a bucket at which equal ones are reduced to their least place.
+HELD_BYTES = 128 << 20
 
 _PLACE, _PLACE_MASK = np.uint64(17), np.uint64((1 << 17) - 1)
 _K = B.constants(11, 16)
@@ -71,6 +78,14 @@ def _grams(d: np.ndarray, size: int) -> np.ndarray:
             have, k = 2 * have, k + 2
 
 
+def _periodic(d: np.ndarray, size: int) -> np.ndarray:
+    """Whether the ``size`` bytes from each place on have a period of at most half of them."""
+    out = np.zeros(len(d) - size + 1, bool)
+    for p in range(1, size // 2 + 1):
+        out |= _sliding_min(d[p:] == d[:-p], size - p)
+    return out
+
+
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     have = 1
     while 2 * have <= width:
@@ -96,7 +111,7 @@ def runs(data: np.ndarray, offs: np.ndarray, length: int, gram: int, powers) ->
     for p in range(0, len(data) - length + 1, STRETCH):
         d = data[p : p + STRETCH + length - 1]
         n = len(d) - length + 1
-        g = _grams(d, gram)
+        g = _grams(d, gram) >> np.uint64(1) | _periodic(d, gram).astype(np.uint64) << np.uint64(63)
         key = _sliding_min((g >> _PLACE << _PLACE) | np.arange(len(g), dtype=np.uint64), length - gram + 1)[:n]
         ok = np.zeros(n + 1, np.int8)
         a, b = np.clip(lo - p, 0, n), np.clip(hi - p, 0, n)
@@ -123,21 +138,34 @@ def runs(data: np.ndarray, offs: np.ndarray, length: int, gram: int, powers) ->
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-#: Strings of a bucket from one block: minimizer (low and high part), windows, offset of its place;
-#: then of each place: steps to its string, key, text hash, start. The strings' bytes follow in a frame of their own.
-_KINDS = ("<u4", "<u2", "<u2", "<u2", "u1", "<i8", "<i8", "<i4")
+#: Strings of a bucket from one block: minimizer (low and high part), windows, offset of its place; key, text hash
+#: and start of the string's least place. The strings' bytes follow in a frame of their own.
+_KINDS = ("<u4", "<u2", "<u2", "<u2", "<i8", "<i8", "<i4")
+#: Ranges to remove that a block finds by itself: key, text hash, from, to. They pass under bucket numbers below 0.
+_RANGES = ("<i8", "<i8", "<u4", "<u4")
 
 
-def _packed(arrays: Iterable[np.ndarray], text: np.ndarray) -> tuple[bytes, bytes]:
-    raw = [np.ascontiguousarray(a, k).tobytes() for a, k in zip(arrays, _KINDS, strict=True)]
-    return np.array([len(r) for r in raw], "<i8").tobytes() + zstandard.compress(b"".join(raw), 3), zstandard.compress(text.tobytes(), 5)
+def _packed(arrays: Iterable[np.ndarray], kinds: tuple[str, ...] = _KINDS) -> bytes:
+    raw = [np.ascontiguousarray(a, k).tobytes() for a, k in zip(arrays, kinds, strict=True)]
+    return np.array([len(r) for r in raw], "<i8").tobytes() + zstandard.compress(b"".join(raw), 3)
 
 
-def _unpacked(payload: bytes) -> list[np.ndarray]:
-    size = np.frombuffer(payload, "<i8", len(_KINDS))
-    raw = zstandard.decompress(payload[8 * len(_KINDS) :])
+def _unpacked(payload: bytes, kinds: tuple[str, ...] = _KINDS) -> list[np.ndarray]:
+    size = np.frombuffer(payload, "<i8", len(kinds))
+    raw = zstandard.decompress(payload[8 * len(kinds) :])
     at = np.cumsum(size) - size
-    return [np.frombuffer(raw, k, int(n) // np.dtype(k).itemsize, int(a)) for a, n, k in zip(at, size, _KINDS, strict=True)]
+    return [np.frombuffer(raw, k, int(n) // np.dtype(k).itemsize, int(a)) for a, n, k in zip(at, size, kinds, strict=True)]
+
+
+def _least_places(group: np.ndarray, key: np.ndarray, digest: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the least place of each group (0, 1, ... in order), and the places that are greater than their group's."""
+    many = np.flatnonzero(np.bincount(group)[group] > 1)
+    first = np.empty(int(group.max()) + 1, np.int64)
+    first[group] = np.arange(len(group))
+    least = _least(group[many], key[many], digest[many], start[many])
+    first[group[many[least]]] = many[least]
+    own = first[group[many]]
+    return first, many[(key[many] != key[own]) | (digest[many] != digest[own]) | (start[many] != start[own])]
 
 
 def _sent(buckets: int, length: int, gram: int):
@@ -156,15 +184,20 @@ def _sent(buckets: int, length: int, gram: int):
             start, size, low, sid, anchor, doc, bucket = (x[order] for x in (start, size, low, sid, anchor, doc, bucket))
             new = np.ones(len(start), bool)
             new[1:] = (low[1:] != low[:-1]) | (sid[1:] != sid[:-1])
-            one = np.flatnonzero(new)
-            cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-            packed = []
+            key, row, begin, end = keys[doc], digest[doc], start - offs[doc], start - offs[doc] + size + length - 1
+            one, gone = _least_places(np.cumsum(new) - 1, key, row, begin)
+            names, packed = [], []
+            if len(gone):
+                found = _packed(_merged(key[gone], row[gone], begin[gone], end[gone]), _RANGES)
+                names.append(-1 - zlib.crc32(found))
+                packed.append((found, b""))
+            cut = np.flatnonzero(np.concatenate([[True], bucket[one][1:] != bucket[one][:-1], [True]]))
             for a, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                own = one[np.searchsorted(one, a) : np.searchsorted(one, e)]
-                at = slice(a, e)
-                arrays = (low[own] & np.uint64(0xFFFFFFFF), low[own] >> np.uint64(32), size[own], anchor[own], new[at], keys[doc[at]], digest[doc[at]], start[at] - offs[doc[at]])
-                packed.append(_packed(arrays, data[B.ragged(start[own], size[own] + length - 1)]))
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]], pa.int64()), *(pa.array(x, pa.binary()) for x in zip(*packed, strict=True))], names=["bucket", "payload", "bytes"])
+                own = one[a:e]
+                arrays = (low[own] & np.uint64(0xFFFFFFFF), low[own] >> np.uint64(32), size[own], anchor[own], key[own], row[own], begin[own])
+                names.append(int(bucket[own[0]]))
+                packed.append((_packed(arrays), zstandard.compress(data[B.ragged(start[own], size[own] + length - 1)].tobytes(), 5)))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), *(pa.array(x, pa.binary()) for x in zip(*packed, strict=True))], names=["bucket", "payload", "bytes"])
 
     return run
 
@@ -344,57 +377,93 @@ def removals(strings: list[np.ndarray], places: list[np.ndarray], length: int, g
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def solve_bucket(payloads: list[tuple[bytes, bytes]], length: int, gram: int) -> tuple[np.ndarray, ...]:
+def _text(part: tuple[list[np.ndarray], bytes | np.ndarray]) -> np.ndarray:
+    """The bytes of a part's strings (compressed as sent, plain once folded)."""
+    return np.frombuffer(zstandard.decompress(part[1]), np.uint8) if isinstance(part[1], bytes) else part[1]
+
+
+def folded(parts: list[tuple[list[np.ndarray], bytes | np.ndarray]], length: int) -> tuple[tuple, tuple[np.ndarray, ...]]:
+    """The parts as one, each string once at its least place, and the ranges of its other places."""
+    every = [np.concatenate(x) for x in zip(*(p for p, _ in parts), strict=True)]
+    text = np.concatenate([_text(p) for p in parts])
+    size = every[2].astype(np.int64) + length - 1
+    at = np.cumsum(size) - size
+    low = every[1].astype(np.uint64) << np.uint64(32) | every[0]
+    sid = B.span_hashes(text, at, at + size)
+    order = np.lexsort((sid, low))
+    new = np.ones(len(order), bool)
+    new[1:] = (low[order][1:] != low[order][:-1]) | (sid[order][1:] != sid[order][:-1])
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    key, row, start = every[4:]
+    one, gone = _least_places(group, key, row, start)
+    return ([x[one] for x in every], text[B.ragged(at[one], size[one])]), (key[gone], row[gone], start[gone].astype(np.int64), start[gone] + size[gone])
+
+
+def solve_bucket(parts: list[tuple[list[np.ndarray], bytes | np.ndarray]], length: int, gram: int) -> tuple[np.ndarray, ...]:
     """Byte ranges to remove, of all that was sent to one bucket; bytes of strings that cannot repeat are never kept."""
-    parts = [_unpacked(p) for p, _ in payloads]
-    every = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    every = [np.concatenate(x) for x in zip(*(p for p, _ in parts), strict=True)]
     low, size, anchor = every[1].astype(np.uint64) << np.uint64(32) | every[0], every[2].astype(np.int64), every[3].astype(np.int64)
-    shift = np.cumsum([0, *(len(x[0]) for x in parts)])
-    string = np.concatenate([np.cumsum(x[4], dtype=np.int64) - 1 + s for x, s in zip(parts, shift[:-1], strict=True)])
+    shift = np.cumsum([0, *(len(p[0]) for p, _ in parts)])
     _, of, count = np.unique(low, return_inverse=True, return_counts=True)
-    several = (np.bincount(of[string], minlength=len(count)) > 1)[of]
+    several = (count > 1)[of]
     if not several.any():
         z = np.zeros(0, np.int64)
         return z, z, z, z
     text = []
-    for (_, packed), a, e in zip(payloads, shift[:-1].tolist(), shift[1:].tolist(), strict=True):
+    for part, a, e in zip(parts, shift[:-1].tolist(), shift[1:].tolist(), strict=True):
         n = size[a:e] + length - 1
         own = several[a:e]
-        text.append(np.frombuffer(zstandard.decompress(packed), np.uint8)[B.ragged((np.cumsum(n) - n)[own], n[own])])
-    number = np.cumsum(several) - 1
-    keep = several[string]
-    places = [number[string[keep]], *(every[i][keep].astype(np.int64) for i in (5, 6, 7))]
+        text.append(_text(part)[B.ragged((np.cumsum(n) - n)[own], n[own])])
+    places = [np.arange(int(several.sum())), *(x[several].astype(np.int64) for x in every[4:])]
     return removals([low[several], size[several], anchor[several], np.concatenate(text)], places, length, gram)
 
 
-def _by_document(key: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-    """One row for each document of a bucket: its ranges as pairs of 32-bit numbers."""
-    order = np.lexsort((start, row, key))
-    key, row = key[order], row[order]
+def _merged(key: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Ranges ordered by document and start; those that touch the one before are one with it."""
+    order = np.lexsort((end, start, row, key))
+    key, row, start, end = key[order], row[order], start[order], end[order]
     new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
-    pairs = np.stack([start[order], end[order]], axis=1).astype("<u4").view(np.uint8)
-    return pa.RecordBatch.from_arrays([pa.array(key[new]), pa.array(row[new]), B.binary_rows(pairs.reshape(-1), 8 * np.append(np.flatnonzero(new), len(key)))], names=["key", "row", "gone"])
+    new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1]) | (start[1:] > end[:-1])
+    at = np.flatnonzero(new)
+    return key[at], row[at], start[at], np.maximum.reduceat(end, at) if len(at) else end
+
+
+def _rows(key: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    """One row for each range (a row a document and bucket would grow with their product), as a pair of 32-bit numbers."""
+    key, row, start, end = _merged(key, row, start, end)
+    pairs = np.stack([start, end], axis=1).astype("<u4").view(np.uint8)
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(row), B.binary_rows(pairs.reshape(-1), 8 * np.arange(len(key) + 1))], names=["key", "row", "gone"])
 
 
 def _bucket_ranges(length: int, gram: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        now, held, size, limit = None, [], 0, HELD_BYTES
         for b in batches:
-            for bucket, *payload in zip(b.column("bucket").to_pylist(), b.column("payload"), b.column("bytes"), strict=True):
+            for bucket, payload, packed in zip(b.column("bucket").to_pylist(), b.column("payload"), b.column("bytes"), strict=True):
+                if bucket < 0:
+                    yield _rows(*_unpacked(payload.as_py(), _RANGES))
+                    continue
                 if bucket != now and held:
-                    yield _by_document(*solve_bucket(held, length, gram))
-                    held = []
+                    yield _rows(*solve_bucket(held, length, gram))
+                    held, size, limit = [], 0, HELD_BYTES
                 now = bucket
-                held.append(tuple(p.as_py() for p in payload))
+                held.append((_unpacked(payload.as_py()), packed.as_py()))
+                size += int(held[-1][0][2].sum(dtype=np.int64)) + (length - 1) * len(held[-1][0][2])
+                if size > limit:
+                    part, gone = folded(held, length)
+                    held, size = [part], len(part[1])
+                    limit = max(HELD_BYTES, 2 * size)
+                    if len(gone[0]):
+                        yield _rows(*gone)
         if held:
-            yield _by_document(*solve_bucket(held, length, gram))
+            yield _rows(*solve_bucket(held, length, gram))
 
     return run
 
 
 def ranges(docs: DataFrame, row: Column, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """Byte ranges to remove: ``key``, ``row`` (as given) and ``gone``, pairs of 32-bit from and to (may overlap; several rows a document)."""
+    """Byte ranges to remove: ``key``, ``row`` (as given) and ``gone``, a pair of 32-bit from and to (may overlap; a row a range)."""
     narrow = docs.select(F.col(key).cast("long").alias("key"), row.alias("row"), F.col(text).cast("string").alias("text"))
     total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))

@@ -177,6 +177,61 @@ def test_suffix_against_all_windows(spark):
             assert got[k, len(b)] == (int(gone.sum()), int((edge == 1).sum()), hashlib.sha256(kept).hexdigest())
 
 
+def removed_by_windows(docs_, length):
+    """Per key: removed bytes, spans and digest of the rest, over all windows in order of the documents."""
+    seen, out = set(), {}
+    for k, b in docs_:
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - length + 1):
+            if b[i : i + length] in seen:
+                gone[i : i + length] = True
+            seen.add(b[i : i + length])
+        edge = np.diff(np.concatenate([[0], gone.astype(int)]))
+        out[k] = int(gone.sum()), int((edge == 1).sum()), hashlib.sha256(bytes(np.frombuffer(b, np.uint8)[~gone])).hexdigest()
+    return out
+
+
+@pytest.mark.parametrize("held", [suffix.HELD_BYTES, 2000])
+def test_suffix_table_of_one_third_dashes(spark, monkeypatch, held):
+    monkeypatch.setattr(suffix, "BLOCK_BYTES", 20_000)
+    rnd = random.Random(8)
+    words = [f"w{rnd.random():.9f}" for _ in range(3000)]
+    rows = []
+    for i in range(60):
+        prose = [" ".join(rnd.choices(words, k=30)) for _ in range(3)]
+        rule = rnd.choice(["-", "-", " ", "-=", "0"]) * rnd.choice([20, 80, 130, 400, 900])
+        rows.append((i, rule.join(prose) if i % 3 else "-" * 3000))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    if held != suffix.HELD_BYTES:  # the bucket reduced while read, in this process
+        batch = pa.table({"key": [k for k, _ in rows], "row": [0] * len(rows), "text": [t for _, t in rows]}).to_batches()[0]
+        sent = [x for b in suffix._sent(1, 100, 16)([batch]) for x in b.to_pylist()]
+        monkeypatch.setattr(suffix, "HELD_BYTES", held)
+        gone = defaultdict(list)
+        table = pa.Table.from_pylist(sent, pa.schema([("bucket", pa.int64()), ("payload", pa.binary()), ("bytes", pa.binary())])).sort_by("bucket")
+        for b in suffix._bucket_ranges(100, 16)(table.combine_chunks().to_batches()):
+            for r in b.to_pylist():
+                gone[r["key"]].append(np.frombuffer(r["gone"], "<u4").reshape(-1, 2))
+        want = removed_by_windows([(k, t.encode()) for k, t in rows], 100)
+        for k, t in rows:
+            pairs_ = np.concatenate(gone[k]).astype(np.int64) if k in gone else np.zeros((0, 2), np.int64)
+            assert int(buffers.covered(len(t), pairs_[:, 0], pairs_[:, 1]).sum()) == want[k][0]
+        return
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix.digests(df).collect()}
+    assert got == removed_by_windows([(k, t.encode()) for k, t in rows], 100)
+
+
+def test_suffix_run_of_one_byte_is_one_place():
+    batch = pa.table({"key": [1, 2, 3], "row": [0, 0, 0], "text": ["-" * 3000, "-" * 5000, " " * 3000]}).to_batches()[0]
+    sent = [r for b in suffix._sent(1, 100, 16)([batch]) for r in b.to_pylist()]
+    assert sum(len(suffix._unpacked(r["payload"])[0]) for r in sent if r["bucket"] >= 0) == 2
+    # a rule before differing lines does not send all of them to one minimizer
+    rnd = random.Random(2)
+    lines = ["-" * 80 + "".join(rnd.choices("abcdefgh", k=400)) for _ in range(50)]
+    data, offs = buffers.flat(pa.array(lines))
+    start, _, low, _, _ = suffix.runs(data, offs, 100, 16, suffix._powers(suffix.STRETCH + 100))
+    assert np.unique(low, return_counts=True)[1].max() <= 2 * len(lines)
+
+
 def test_suffix_cut_keeps_columns_and_whole_characters(docs):
     out = suffix.cut(docs, length=12)
     assert out.schema == docs.schema
