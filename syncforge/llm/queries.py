@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html, importance, jaccard, licenses, quality, sharding, suffix, tokenfile
+from . import bpe, decontam, html, importance, jaccard, licenses, quality, runs, sharding, suffix, tokenfile, warc, whitening
 from .shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -218,3 +218,30 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.encode(F.array_join("items", ","), "utf-8"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@_registered()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.detect(_table(spark, sf_dir, "documents"), change=runs.period_change, keep=())
+
+
+@_registered(
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+s AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS n, sha1(h) AS x FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY x, n) AS m FROM s)
+SELECT page_id, n AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + ((CAST('0x' || substr(x, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31)]), '') AS payload_digest,
+       CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> m THEN m END AS refers_to
+FROM f
+"""
+)
+def op12_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.fresh_path(spark)
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_registered()
+def op13_spectrum_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
