@@ -11,7 +11,10 @@ attempt of a task counts.
 Texts are dealt by ranges of the document key and sorted, so images in
 (part, seq) order hold the documents in ascending key order. Null and empty
 texts have the end id alone; equal keys stay together, ordered by their text;
-an empty table has no image and no row.
+null keys come first, have a bit in each image, and read as null; an empty
+table has no image and no row. Strings of the tokenizer's added tokens inside
+a text become those tokens, as the tokenizer itself has it; texts that hold
+one are encoded whole, past the chunk cache.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +45,7 @@ PERCENTILE = 0.9
 IMAGE_IDS = 1 << 20
 #: Bytes of text of a part.
 PART_BYTES = 32 << 20
-_MAGIC = b"PFOR\x00\x01\x00\x00"
+_MAGIC = b"PFOR\x00\x02\x00\x00"
 _HEAD = struct.Struct("<8sQQQ")  # magic, documents, ids, blocks
 
 
@@ -75,8 +79,9 @@ def _widths(v: np.ndarray) -> np.ndarray:
     return np.frexp(v.astype(np.float64))[1]
 
 
-def write_image(keys: np.ndarray, counts: np.ndarray, ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
-    """A file image of documents with ``counts[i]`` ids each."""
+def write_image(keys: np.ndarray, counts: np.ndarray, ids: np.ndarray, percentile: float = PERCENTILE, null: np.ndarray | None = None) -> bytes:
+    """A file image of documents with ``counts[i]`` ids each; ``null`` marks documents without a key."""
+    null = np.zeros(len(keys), bool) if null is None else null
     n = -(-len(ids) // BLOCK)
     padded = np.full(n * BLOCK, ids[-1] if len(ids) else 0, np.uint32)
     padded[: len(ids)] = ids
@@ -101,7 +106,7 @@ def write_image(keys: np.ndarray, counts: np.ndarray, ids: np.ndarray, percentil
         blocks.append(struct.pack("<IBxH", low[r], width[r], extra[r]) + body[r] + out_at[own].astype("<u2").tobytes() + v[r][out_at[own]].astype("<u4").tobytes())
     starts = np.cumsum([0, *map(len, blocks)]).astype("<u8")
     head = _HEAD.pack(_MAGIC, len(keys), len(ids), n)
-    return b"".join([head, keys.astype("<i8").tobytes(), np.concatenate([[0], np.cumsum(counts)]).astype("<u8").tobytes(), starts.tobytes(), *blocks])
+    return b"".join([head, keys.astype("<i8").tobytes(), np.packbits(null, bitorder="little").tobytes(), np.concatenate([[0], np.cumsum(counts)]).astype("<u8").tobytes(), starts.tobytes(), *blocks])
 
 
 class Image:
@@ -114,6 +119,8 @@ class Image:
         at = _HEAD.size
         self.keys = np.frombuffer(raw, "<i8", self.n_docs, at)
         at += 8 * self.n_docs
+        self.null = np.unpackbits(np.frombuffer(raw, np.uint8, -(-self.n_docs // 8), at), count=self.n_docs, bitorder="little").astype(bool)
+        at += -(-self.n_docs // 8)
         self.offs = np.frombuffer(raw, "<u8", self.n_docs + 1, at).astype(np.int64)
         at += 8 * (self.n_docs + 1)
         self.starts = np.frombuffer(raw, "<u8", self.n_blocks + 1, at).astype(np.int64)
@@ -143,37 +150,63 @@ class Image:
         return self.ids(int(self.offs[i]), int(self.offs[i + 1]))
 
 
-@functools.lru_cache(maxsize=2)
-def _encoder(vocabulary: str) -> ChunkEncoder:
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_str(vocabulary)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
-    special = {x.content for x in t.get_added_tokens_decoder().values()}
+class TextEncoder:
+    """Ids of blocks of texts as the tokenizer gives them without special tokens around a text."""
+
+    def __init__(self, vocabulary: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(vocabulary)
+        added = {x.content for x in self.tokenizer.get_added_tokens_decoder().values()}
+        size = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            size[i] = len(token) if token in added else len(bytes_of(token))
+        # their strings are matched before the text is cut into words, so chunks would tear them apart
+        self.added = sorted(x.encode() for x in added)
+        self.chunks = ChunkEncoder(self.encode_texts, size)
+
+    def encode_texts(self, texts: list[str]) -> np.ndarray:
+        return np.array(list(chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))), np.uint32)
+
+    def __call__(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        whole = np.zeros(len(offs) - 1, bool)
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                row = int(np.searchsorted(offs, at, "right")) - 1
+                if at + len(token) <= offs[row + 1]:
+                    whole[row] = True
+                    at = raw.find(token, int(offs[row + 1]))
+                else:
+                    at = raw.find(token, at + 1)
+        if not whole.any():
+            return self.chunks(data, offs)
+        size = np.diff(offs)
+        plain = np.where(whole, 0, size)
+        ids, at = self.chunks(data[B.ragged(offs[:-1], plain)], np.concatenate([[0], np.cumsum(plain)]))
+        rows = [self.encode_texts([raw[offs[i] : offs[i + 1]].decode()]) if w else ids[at[i] : at[i + 1]] for i, w in enumerate(whole.tolist())]
+        return np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
 
-    size = np.zeros(max(t.get_vocab().values()) + 1, np.int64)
-    for token, i in t.get_vocab().items():
-        size[i] = len(token) if token in special else len(bytes_of(token))
 
-    def encode(texts: list[str]) -> np.ndarray:
-        return np.array(list(chain.from_iterable(e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False))), np.uint32)
-
-    return ChunkEncoder(encode, size)
+@functools.lru_cache(maxsize=2)
+def _encoder(vocabulary: str) -> TextEncoder:
+    return TextEncoder(vocabulary)
 
 
 def _images(shared, end_id: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(shared.value)
         part, seq, before = TaskContext.get().partitionId(), 0, 0
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
         def close() -> pa.RecordBatch:
-            keys, counts, ids = (np.concatenate(x) for x in zip(*held, strict=True))
-            row = [part, seq, before, len(keys), len(ids), write_image(keys, counts, ids)]
+            keys, null, counts, ids = (np.concatenate(x) for x in zip(*held, strict=True))
+            row = [part, seq, before, len(keys), len(ids), write_image(keys, counts, ids, null=null)]
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=_IMAGE)
 
         for b in B.blocks(batches, "text"):
@@ -183,7 +216,8 @@ def _images(shared, end_id: int):
             inside = np.ones(len(whole), bool)
             inside[np.cumsum(count) - 1] = False
             whole[inside] = ids
-            held.append((np.asarray(b.column("key")).astype(np.int64), count, whole))
+            key = b.column("key")
+            held.append((np.asarray(pc.fill_null(key, 0)), np.asarray(pc.is_null(key)), count, whole))
             size += len(whole)
             if size >= IMAGE_IDS:
                 yield close()
@@ -230,7 +264,7 @@ def _documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = memoryview(image.ids(0, image.n_ids).astype("<u4")).cast("B")
             offs = image.offs
             crc = [zlib.crc32(ids[4 * a : 4 * e]) for a, e in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(image.keys, pa.int64()), pa.array(start + offs[:-1], pa.int64()), pa.array(np.diff(offs), pa.int64()), pa.array(crc, pa.int64())], names=["key", "start", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([pa.array(image.keys, pa.int64(), mask=image.null), pa.array(start + offs[:-1], pa.int64()), pa.array(np.diff(offs), pa.int64()), pa.array(crc, pa.int64())], names=["key", "start", "n_tokens", "ids_crc32"])
 
 
 def read_documents(table: DataFrame, key: str = "doc_id") -> DataFrame:
