@@ -8,12 +8,13 @@ the narrow ledger and never the texts.
 Null, empty and blank texts have no words (all measurements 0) and fail
 ``few_words``. Rows are judged one by one, so ties, repeated rows and an
 empty table need no special case; other columns of the input are ignored.
-Windows and lines are compared by 64-bit hashes within a document.
+Windows and lines are found by 64-bit hashes within a document and compared
+by their bytes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from . import buffers as B
 
 WINDOW = 5
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "line_chars", "dup_line_chars")
 _SYMBOL = B.byte_set(b"#*$%&|<>")
 _UPPER = B.byte_set(range(0x41, 0x5B))
 _LETTER = B.byte_set([*range(0x41, 0x5B), *range(0x61, 0x7B)])
@@ -52,6 +53,7 @@ RULES = (
     Rule(3, "word_length", "n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words)"),
     Rule(4, "repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
     Rule(5, "capitals", "2 * n_upper > n_letters"),
+    Rule(6, "repeated_line_chars", "100 * dup_line_chars > 30 * line_chars"),
 )
 BASE = ("few_words", "repeated_words")
 
@@ -71,8 +73,10 @@ POLICIES = {
     1: Policy(1, BASE),
     2: Policy(2, (*BASE, "symbols", "word_length", "repeated_lines")),
     3: Policy(3, (*BASE, "symbols", "word_length", "repeated_lines", "capitals")),
+    # a short line said twice is no reason to drop a text: lines count by their characters
+    4: Policy(4, (*BASE, "symbols", "word_length", "capitals", "repeated_line_chars")),
 }
-CURRENT = 3
+CURRENT = 4
 
 
 def _per_row(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -81,14 +85,29 @@ def _per_row(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return c[offs[1:]] - c[offs[:-1]]
 
 
-def _repeats(h: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For items of rows: whether an equal item is in the same row, and whether an earlier one is."""
+def _repeats(h: np.ndarray, rows: np.ndarray, equal: Callable[[np.ndarray, np.ndarray], np.ndarray], exact: Callable[[int], object]) -> tuple[np.ndarray, np.ndarray]:
+    """For items of rows: whether an equal item is in the same row, and whether an earlier one is.
+
+    Equal hashes are only candidates: ``equal`` compares items pair by pair;
+    where it finds a collision, items are told apart by ``exact``.
+    """
     order = np.lexsort((h, rows))
     same = (h[order][1:] == h[order][:-1]) & (rows[order][1:] == rows[order][:-1])
+    pair = np.flatnonzero(same)
+    off = pair[~equal(order[pair], order[pair + 1])]
     later = np.concatenate([[False], same])
     any_, earlier = np.zeros(len(h), bool), np.zeros(len(h), bool)
     any_[order] = later | np.concatenate([same, [False]])
     earlier[order] = later  # lexsort is stable: the first of equal items is the first in the text
+    group = np.cumsum(~later) - 1
+    for g in np.unique(group[off + 1]).tolist():
+        seen: dict[object, int] = {}
+        items = np.sort(order[np.searchsorted(group, g) : np.searchsorted(group, g, "right")])
+        any_[items] = earlier[items] = False
+        for i in items.tolist():
+            first = seen.setdefault(exact(i), i)
+            if first != i:
+                earlier[i] = any_[i] = any_[first] = True
     return any_, earlier
 
 
@@ -105,15 +124,24 @@ def measure(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     ):
         out[name] = _per_row(v, offs)
     h, at, rows = B.window_hashes(B.span_hashes(data, starts, ends), first, WINDOW)
-    hit = at[_repeats(h, rows)[0]]
+
+    def same_words(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        x, y = (B.ragged(at[k], np.full(len(k), WINDOW)) for k in (i, j))
+        return B.equal_spans(data, starts[x], ends[x], data, starts[y], ends[y]).reshape(-1, WINDOW).all(axis=1)
+
+    hit = at[_repeats(h, rows, same_words, lambda i: tuple(data[starts[k] : ends[k]].tobytes() for k in range(at[i], at[i] + WINDOW)))[0]]
     out["n_repeat_words"] = _per_row(B.covered(len(starts), hit, hit + WINDOW), first)
     ls, le, lfirst = B.spans(data, offs, _NOT_BREAK)  # empty lines have no word
     c = np.concatenate([[0], np.cumsum(B.VISIBLE[data], dtype=np.int64)])
     worded = c[le] > c[ls]
     rows = np.repeat(np.arange(n), np.diff(lfirst))[worded]
-    _, earlier = _repeats(B.span_hashes(data, ls[worded], le[worded]), rows)
+    ls, le = ls[worded], le[worded]
+    _, earlier = _repeats(B.span_hashes(data, ls, le), rows, lambda i, j: B.equal_spans(data, ls[i], le[i], data, ls[j], le[j]), lambda i: data[ls[i] : le[i]].tobytes())
     out["n_lines"] = np.bincount(rows, minlength=n)
     out["n_dup_lines"] = np.bincount(rows[earlier], minlength=n)
+    heads = np.concatenate([[0], np.cumsum(_HEAD[data], dtype=np.int64)])
+    out["dup_line_chars"] = np.bincount(rows[earlier], (heads[le] - heads[ls])[earlier], minlength=n).astype(np.int64)
+    out["line_chars"] = np.bincount(rows, heads[le] - heads[ls], minlength=n).astype(np.int64)
     return out
 
 

@@ -64,24 +64,28 @@ windows AS (
 many AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM windows) WHERE n > 1),
 repeats AS (SELECT r, count(DISTINCT i + j) AS n FROM many, range(5) AS s(j) GROUP BY r),
 lines AS (SELECT r, l FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^ \\t\\n\\x0B\\f\\r]')),
-line_counts AS (SELECT r, count(*) AS n, count(*) - count(DISTINCT l) AS dups FROM lines GROUP BY r),
+line_counts AS (
+  SELECT r, sum(k) AS n, sum(k - 1) AS dups, sum(k * len(l)) AS chars, sum((k - 1) * len(l)) AS dup_chars
+  FROM (SELECT r, l, count(*) AS k FROM lines GROUP BY r, l) GROUP BY r),
 m AS (
   SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(array_to_string(ws, '')) AS BIGINT) AS word_chars,
          CAST(len(t) - len(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(coalesce(line_counts.dups, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words,
          CAST(coalesce(line_counts.n, 0) AS BIGINT) AS n_lines,
          CAST(len(t) - len(regexp_replace(t, '[A-Z]', '', 'g')) AS BIGINT) AS n_upper,
-         CAST(len(t) - len(regexp_replace(t, '[A-Za-z]', '', 'g')) AS BIGINT) AS n_letters
+         CAST(len(t) - len(regexp_replace(t, '[A-Za-z]', '', 'g')) AS BIGINT) AS n_letters,
+         CAST(coalesce(line_counts.chars, 0) AS BIGINT) AS line_chars, CAST(coalesce(line_counts.dup_chars, 0) AS BIGINT) AS dup_line_chars
   FROM w LEFT JOIN repeats USING (r) LEFT JOIN line_counts USING (r)),
 bits AS (
   SELECT *, CAST((CASE WHEN n_words < 10 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END)
     + (CASE WHEN 2 * n_symbols > n_words THEN 4 ELSE 0 END)
     + (CASE WHEN n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words) THEN 8 ELSE 0 END)
     + (CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 16 ELSE 0 END)
-    + (CASE WHEN 2 * n_upper > n_letters THEN 32 ELSE 0 END) AS BIGINT) AS fail_bits
+    + (CASE WHEN 2 * n_upper > n_letters THEN 32 ELSE 0 END)
+    + (CASE WHEN 100 * dup_line_chars > 30 * line_chars THEN 64 ELSE 0 END) AS BIGINT) AS fail_bits
   FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_upper, n_letters, fail_bits,
-       fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, 3 AS policy
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_upper, n_letters, line_chars, dup_line_chars, fail_bits,
+       fail_bits & 3 <> 0 AS base_failed, fail_bits & 111 = 0 AS kept, 4 AS policy
 FROM bits
 """
 )
