@@ -7,6 +7,7 @@ Hashes are 64-bit, deterministic across processes and executors.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -39,9 +40,6 @@ def constants(seed: int, n: int) -> np.ndarray:
         return mix(x) | np.uint64(1)
 
 
-_BYTE = constants(7, 256)
-
-
 def byte_set(pattern: Iterable[int]) -> np.ndarray:
     t = np.zeros(256, np.bool_)
     t[list(pattern)] = True
@@ -105,7 +103,12 @@ def spans(data: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.nda
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
-    """64-bit hash of each byte span (not empty); about ``HASHED_BYTES`` at once, so memory does not follow the input."""
+    """64-bit hash of each byte span (not empty); about ``HASHED_BYTES`` at once, so memory does not follow the input.
+
+    Each eight bytes are mixed with a key of their place before they are
+    summed, so no two spans are bound to collide by their structure. Where
+    equality decides a result, callers compare the bytes as well.
+    """
     total = np.cumsum(ends - starts)
     if len(total) and total[-1] > 2 * HASHED_BYTES:
         cut = np.unique(np.append(np.searchsorted(total, np.arange(HASHED_BYTES, int(total[-1]), HASHED_BYTES)), len(total)))
@@ -116,20 +119,49 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
 def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
     if not len(starts):
         return np.zeros(0, np.uint64)
+    low, high = int(starts.min()), int(ends.max())
+    near = np.zeros(high - low + 8, np.uint8)
+    near[: high - low] = data[low:high]
+    words = np.ndarray(len(near) - 7, "<u8", near, strides=(1,))  # the eight bytes from each place on
     size = ends - starts
-    head = np.cumsum(size) - size
-    inside = np.arange(int(size.sum()), dtype=np.int32) - np.repeat(head.astype(np.int32), size)
-    power = np.empty(int(size.max()), np.uint64)
+    n = (size + 7) >> 3
+    head = np.cumsum(n) - n
+    nth = np.arange(int(n.sum())) - np.repeat(head, n)
+    v = words[nth * 8 + np.repeat(starts - low, n)]
+    last = head + n - 1
+    v[last] &= np.uint64(0xFFFFFFFFFFFFFFFF) >> ((n * 8 - size).astype(np.uint64) << np.uint64(3))  # no byte after the span
     with np.errstate(over="ignore"):
-        power[:] = np.uint64(6364136223846793005)
-        power[0] = 1
-        np.multiply.accumulate(power, out=power)
-        v = _BYTE[data[inside + np.repeat(starts, size)]]
-        v *= power[inside]
-        h = np.add.reduceat(v, head)
+        v ^= _place_keys(int(n.max()))[nth]
+        h = np.add.reduceat(mix(v), head)
         return mix(h + size.astype(np.uint64) * np.uint64(_BASE) + np.uint64(seed))
 
 
+@functools.lru_cache(maxsize=4)
+def _keys(n: int) -> np.ndarray:
+    return constants(7, n)
+
+
+def _place_keys(n: int) -> np.ndarray:
+    return _keys(1 << max(n - 1, 15).bit_length())
+
+
+def equal_spans(data: np.ndarray, a: np.ndarray, a_end: np.ndarray, other: np.ndarray, b: np.ndarray, b_end: np.ndarray) -> np.ndarray:
+    """Whether span i of ``data`` holds the same bytes as span i of ``other``; about ``HASHED_BYTES`` at once."""
+    size = a_end - a
+    out = size == b_end - b
+    rows = np.flatnonzero(out & (size > 0))
+    done = np.cumsum(size[rows])
+    first = 0
+    while first < len(rows):
+        last = max(int(np.searchsorted(done, (done[first - 1] if first else 0) + HASHED_BYTES, "right")), first + 1)
+        own = rows[first:last]
+        n = size[own]
+        same = data[ragged(a[own], n)] == other[ragged(b[own], n)]
+        out[own] = np.logical_and.reduceat(same, np.cumsum(n) - n)
+        first = last
+    return out
+
+
 def window_hashes(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of each ``width`` consecutive items of a row: hashes, their first item, and the row of each."""
     count = np.maximum(np.diff(first) - (width - 1), 0)

@@ -43,7 +43,8 @@ class ChunkEncoder:
 
     New chunks are joined to longer texts for that; ``token_bytes`` (bytes of
     each token) tells which ids are whose. The cache is an open-addressing table over arrays: hash of a chunk to its
-    number, and the ids of chunk i are ``ids[at[i]:at[i + 1]]``.
+    number, the ids of chunk i are ``ids[at[i]:at[i + 1]]``, and its bytes ``raw[raw_at[i]:raw_at[i + 1]]``. A chunk
+    takes ids from the cache only if its bytes are the same; a chunk that shares its hash with another is encoded alone.
     """
 
     def __init__(self, encode: Callable[[list[str]], np.ndarray], token_bytes: np.ndarray, limit: int = CACHE_CHUNKS):
@@ -54,6 +55,7 @@ class ChunkEncoder:
         self.mask = np.uint64(size - 1)
         self.key, self.number = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
         self.count, self.ids, self.at = 0, np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
+        self.raw, self.raw_at = np.zeros(1 << 16, np.uint8), np.zeros(1 << 16, np.int64)
 
     def _probe(self, h: np.ndarray) -> np.ndarray:
         """Numbers of the chunks, -1 for new ones."""
@@ -89,7 +91,7 @@ class ChunkEncoder:
         raw = joined.tobytes()
         ids = self.encode([raw[a:b].decode() for a, b in zip([0, *cut[:-1]], cut, strict=True)])
         after = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends, "right")
-        size = np.diff(after, prepend=0)
+        own, size = size, np.diff(after, prepend=0)
         if self.count and self.count + len(h) > self.limit:
             self._clear(1 << 16)
         if 2 * (self.count + len(h)) > len(self.key):
@@ -98,12 +100,14 @@ class ChunkEncoder:
             self.mask, self.key, self.number = np.uint64(places - 1), np.zeros(places, np.uint64), np.full(places, -1, np.int32)
             self._insert(*old)
         end = self.count + len(h)
-        for name, least in (("ids", int(self.at[self.count]) + len(ids)), ("at", end + 1)):
+        for name, least in (("ids", int(self.at[self.count]) + len(ids)), ("at", end + 1), ("raw", int(self.raw_at[self.count]) + len(joined)), ("raw_at", end + 1)):
             a = getattr(self, name)
             if least > len(a):
                 setattr(self, name, np.concatenate([a, np.zeros(max(least - len(a), len(a) // 2), a.dtype)]))
         self.at[self.count + 1 : end + 1] = self.at[self.count] + np.cumsum(size)
         self.ids[self.at[self.count] : self.at[end]] = ids
+        self.raw_at[self.count + 1 : end + 1] = self.raw_at[self.count] + np.cumsum(own)
+        self.raw[self.raw_at[self.count] : self.raw_at[end]] = joined
         self._insert(h, np.arange(self.count, end, dtype=np.int32))
         self.count = end
 
@@ -124,4 +128,11 @@ class ChunkEncoder:
             slot = self._probe(h)
         size = self.at[slot + 1] - self.at[slot]
         out = self.ids[B.ragged(self.at[slot], size)]
+        other = np.flatnonzero(~B.equal_spans(data, starts, ends, self.raw, self.raw_at[slot], self.raw_at[slot + 1]))
+        if len(other):
+            own = [self.encode([data[a:e].tobytes().decode()]) for a, e in zip(starts[other].tolist(), ends[other].tolist(), strict=True)]
+            pieces = np.split(out, np.cumsum(size)[:-1])
+            for i, ids in zip(other.tolist(), own, strict=True):
+                pieces[i], size[i] = ids.astype(np.uint32), len(ids)
+            out = np.concatenate(pieces)
         return out, np.concatenate([[0], np.cumsum(size)])[first]

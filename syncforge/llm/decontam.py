@@ -144,9 +144,12 @@ class FmIndex:
 
 @dataclass
 class Phrases:
-    """Phrases of a block of items: words by hash, distinct phrases as id rows, and the items of each."""
+    """Phrases of a block of items: words by hash and bytes, distinct phrases as id rows, and the items of each."""
 
-    vocab: np.ndarray  # sorted hashes; id of vocab[i] is i + 1
+    vocab: np.ndarray  # sorted hashes, no two alike; id of vocab[i] is i + 1
+    seed: int  # of the hashes
+    raw: np.ndarray  # the words' bytes, in order of their ids
+    raw_at: np.ndarray
     rows: np.ndarray  # phrases, right-aligned
     size: np.ndarray
     items: list[np.ndarray]  # item keys by phrase
@@ -160,9 +163,15 @@ class Phrases:
         data, offs = B.flat(pa.array([t for _, t in items], pa.large_string()))
         data = B.FOLD[data]
         starts, ends, first = B.spans(data, offs, B.ALNUM)
-        h = B.span_hashes(data, starts, ends)
-        vocab = np.unique(h)
-        ids = np.searchsorted(vocab, h) + 1
+        words = sorted({data[a:e].tobytes() for a, e in zip(starts.tolist(), ends.tolist(), strict=True)})
+        raw, raw_at = np.frombuffer(b"".join(words), np.uint8), np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
+        seed = 1
+        while len(vocab := np.unique(B.span_hashes(raw, raw_at[:-1], raw_at[1:], seed))) < len(words):
+            seed += 1  # two words of the benchmark share a hash
+        order = np.argsort(B.span_hashes(raw, raw_at[:-1], raw_at[1:], seed))
+        size = np.diff(raw_at)[order]
+        raw, raw_at = raw[B.ragged(raw_at[:-1][order], size)], np.concatenate([[0], np.cumsum(size)])
+        ids = np.searchsorted(vocab, B.span_hashes(data, starts, ends, seed)) + 1
         found: dict[tuple[int, ...], set[str]] = {}
         for i, (key, _) in enumerate(items):
             own = ids[first[i] : first[i + 1]].tolist()
@@ -174,7 +183,7 @@ class Phrases:
         rows = np.zeros((len(found), width), np.int64)
         for i, p in enumerate(found):
             rows[i, width - len(p) :] = p
-        return cls(vocab, rows, size, [np.array(sorted(v)) for v in found.values()], int(size.min()))
+        return cls(vocab, seed, raw, raw_at, rows, size, [np.array(sorted(v)) for v in found.values()], int(size.min()))
 
 
 def known_runs(ids: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -190,9 +199,12 @@ def matches(data: np.ndarray, offs: np.ndarray, phrases: Phrases) -> tuple[np.nd
     data = B.FOLD[data]
     starts, ends, first = B.spans(data, offs, B.ALNUM)
     none = np.zeros(0, np.int64)
-    h = B.span_hashes(data, starts, ends)
+    h = B.span_hashes(data, starts, ends, phrases.seed)
     at = np.minimum(np.searchsorted(phrases.vocab, h), len(phrases.vocab) - 1)
-    ids = np.where(phrases.vocab[at] == h, at + 1, 0) if len(h) else none
+    alike = np.flatnonzero(phrases.vocab[at] == h)
+    alike = alike[B.equal_spans(data, starts[alike], ends[alike], phrases.raw, phrases.raw_at[at[alike]], phrases.raw_at[at[alike] + 1])]
+    ids = np.zeros(len(h), np.int64)
+    ids[alike] = at[alike] + 1
     rs, re_ = known_runs(ids, first, phrases.shortest)
     if not len(rs):
         return starts, ends, first, none, none, none

@@ -16,9 +16,10 @@
 
 Words are runs of visible characters. A text of 1 to ``width - 1`` words is
 one shingle; a text without words (null, empty, blank) has no links and is a
-class of its own. Rows with equal key are told apart by their sets. Ties in
-the choice of a class's name or of the row to keep go to the least key, then
-the least text hash. Other columns are ignored.
+class of its own. Rows with equal key are told apart by their sets. Null keys
+are rows like others and come after all keys; a class of null keys alone has a
+null name. Ties in the choice of a class's name or of the row to keep go to
+the least key, then the least text hash. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -329,11 +330,11 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     narrow = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.xxhash64(t), F.lit(0)).alias("row"), t.alias("text"))
     every = settled(narrow.mapInArrow(_nodes(width), "key long, row long, node long, sig binary"))
     members = every.where("node <> 0").select("key", "row", "node", "sig")
-    nodes = settled(members.groupBy("node").agg(F.min(F.struct("key", "row")).alias("who"), F.count("*").alias("weight"), F.first("sig").alias("sig")))
+    nodes = settled(members.groupBy("node").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row")).alias("who"), F.count("*").alias("weight"), F.first("sig").alias("sig")))
     clusters = settled(_clusters(nodes, threshold, tolerance))
     sized = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
-    chosen = nodes.select("node", "weight", "who.key").join(clusters, "node").join(sized, "cluster")
-    texts = narrow.select("key", "text").join(chosen.select("key", "node", "cluster"), "key")
+    chosen = nodes.select("node", "weight", F.col("who.key").alias("of"), F.col("who.row").alias("its")).join(clusters, "node").join(sized, "cluster")
+    texts = narrow.join(chosen.select("of", "its", "node", "cluster"), F.col("key").eqNullSafe(F.col("of")) & (F.col("row") == F.col("its")))
     sets = texts.mapInArrow(_sets(width), "cluster long, node long, items binary").dropDuplicates(["node"])
     placed = _block_pairs(sets.join(chosen.select("node", "weight", "size"), "node"), "cluster")
     checked = settled(placed.mapInArrow(_verified(threshold), "a long, b long, links long"))

@@ -21,8 +21,10 @@ boundaries never reached separate suffixes with at least ``length`` bytes in
 common: these are the repeated windows. The place that is least by (key,
 text hash, start) stays, all others go.
 
-Null and empty texts, and texts shorter than ``length``, lose nothing. Rows
-with equal key and equal text count as one document and get the same result;
+Equal strings are found by a 64-bit hash and compared by their bytes.
+
+Null and empty texts, and texts shorter than ``length``, lose nothing. Null
+keys come before all others. Rows with equal key and equal text count as one document and get the same result;
 rows with equal key and different texts are ordered by their text's hash. An
 empty table gives an empty result. Other columns are not read.
 """
@@ -168,6 +170,16 @@ def _least_places(group: np.ndarray, key: np.ndarray, digest: np.ndarray, start:
     return first, many[(key[many] != key[own]) | (digest[many] != digest[own]) | (start[many] != start[own])]
 
 
+def _changes(order: np.ndarray, low: np.ndarray, sid: np.ndarray, text: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Where, in this order, another string begins: by minimizer and hash, and by the bytes of those that agree in both."""
+    new = np.ones(len(order), bool)
+    new[1:] = (low[order][1:] != low[order][:-1]) | (sid[order][1:] != sid[order][:-1])
+    i = np.flatnonzero(~new)
+    a, b = order[i - 1], order[i]
+    new[i] = ~B.equal_spans(text, at[a], end[a], text, at[b], end[b])
+    return new
+
+
 def _sent(buckets: int, length: int, gram: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = _powers(STRETCH + length)
@@ -182,8 +194,7 @@ def _sent(buckets: int, length: int, gram: int):
             bucket = (low % np.uint64(buckets)).astype(np.int64)
             order = np.lexsort((sid, low, bucket))
             start, size, low, sid, anchor, doc, bucket = (x[order] for x in (start, size, low, sid, anchor, doc, bucket))
-            new = np.ones(len(start), bool)
-            new[1:] = (low[1:] != low[:-1]) | (sid[1:] != sid[:-1])
+            new = _changes(np.arange(len(start)), low, sid, data, start, start + size + length - 1)
             key, row, begin, end = keys[doc], digest[doc], start - offs[doc], start - offs[doc] + size + length - 1
             one, gone = _least_places(np.cumsum(new) - 1, key, row, begin)
             names, packed = [], []
@@ -335,8 +346,7 @@ def removals(strings: list[np.ndarray], places: list[np.ndarray], length: int, g
     # strings by minimizer and hash, each once
     sid = B.span_hashes(text, at, at + size + length - 1)
     order = np.lexsort((sid, low))
-    new = np.ones(len(order), bool)
-    new[1:] = (low[order][1:] != low[order][:-1]) | (sid[order][1:] != sid[order][:-1])
+    new = _changes(order, low, sid, text, at, at + size + length - 1)
     number = np.empty(len(low), np.int64)
     number[order] = np.cumsum(new) - 1
     one = order[new]
@@ -391,8 +401,7 @@ def folded(parts: list[tuple[list[np.ndarray], bytes | np.ndarray]], length: int
     low = every[1].astype(np.uint64) << np.uint64(32) | every[0]
     sid = B.span_hashes(text, at, at + size)
     order = np.lexsort((sid, low))
-    new = np.ones(len(order), bool)
-    new[1:] = (low[order][1:] != low[order][:-1]) | (sid[order][1:] != sid[order][:-1])
+    new = _changes(order, low, sid, text, at, at + size)
     group = np.empty(len(order), np.int64)
     group[order] = np.cumsum(new) - 1
     key, row, start = every[4:]
@@ -464,7 +473,7 @@ def _bucket_ranges(length: int, gram: int):
 
 def ranges(docs: DataFrame, row: Column, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Byte ranges to remove: ``key``, ``row`` (as given) and ``gone``, a pair of 32-bit from and to (may overlap; a row a range)."""
-    narrow = docs.select(F.col(key).cast("long").alias("key"), row.alias("row"), F.col(text).cast("string").alias("text"))
+    narrow = docs.select(_order(F.col(key)).alias("key"), row.alias("row"), F.col(text).cast("string").alias("text"))
     total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     gram = min(gram, length)
@@ -473,22 +482,27 @@ def ranges(docs: DataFrame, row: Column, key: str = "doc_id", text: str = "text"
     return dealt.mapInArrow(_bucket_ranges(length, gram), "key long, row long, gone binary")
 
 
+def _order(key: Column) -> Column:
+    """The key by which documents follow one another: null keys come first."""
+    return F.coalesce(key.cast("long"), F.lit(-(1 << 63)))
+
+
 def _row(docs: DataFrame, key: str, text: str) -> Column:
     """What tells rows of one key apart: 0 where no key occurs twice (two numbers read the keys alone), else the text's hash."""
-    k = docs.select(F.col(key).cast("long").alias("k"))
+    k = docs.select(_order(F.col(key)).alias("k"))
     twice = k.groupBy("k").count().agg(F.max("count")).first()[0] or 0
     return F.xxhash64(F.col(text).cast("string")) if twice > 1 else F.lit(0).cast("long")
 
 
 def _joined(docs: DataFrame, text: str, removed: DataFrame) -> DataFrame:
-    """``docs`` (with ``key`` and ``row``) with their ranges, a list a row; a document has fewer ranges than bytes.
+    """``docs`` (with ``of``, the ordered key, and ``row``) with their ranges, a list a row; a document has fewer ranges than bytes.
 
     Texts pass the shuffle compressed one by one.
     """
     kinds = [(f.name, "binary" if f.name == text else f.dataType.simpleString()) for f in docs.schema]
     packed = docs.mapInArrow(_deflated(text), ", ".join(f"`{c}` {k}" for c, k in kinds))
     per_doc = removed.groupBy("key", "row").agg(F.collect_list("gone").alias("gone")).withColumnsRenamed({"key": "__key", "row": "__row"})
-    return packed.join(per_doc, packed["key"].eqNullSafe(per_doc["__key"]) & (packed["row"] == per_doc["__row"]), "left").drop("__key", "__row")
+    return packed.join(per_doc, (packed["of"] == per_doc["__key"]) & packed["row"].eqNullSafe(per_doc["__row"]), "left").drop("__key", "__row")
 
 
 def _deflated(text: str):
@@ -542,7 +556,7 @@ def _digests(key: str):
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """Per document: key, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``kept_sha256`` of the bytes left."""
     row = _row(docs, key, text)
-    narrow = docs.select(F.col(key).cast("long").alias("key"), row.alias("row"), F.col(text).cast("string").alias("text"))
+    narrow = docs.select(F.col(key).cast("long").alias("key"), _order(F.col(key)).alias("of"), row.alias("row"), F.col(text).cast("string").alias("text"))
     rows = _joined(narrow, "text", ranges(docs, row, key, text, length)).select("key", "text", "gone")
     return rows.mapInArrow(_digests(key), f"`{key}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
@@ -560,7 +574,7 @@ def cut(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int =
     k, t = f"c{docs.columns.index(key)}", f"c{at}"
     row = _row(plain, k, t)
     removed = ranges(plain, row, k, t, length)
-    rows = _joined(plain.withColumns({"key": F.col(k).cast("long"), "row": row}), t, removed).drop("key", "row")
+    rows = _joined(plain.withColumns({"of": _order(F.col(k)), "row": row}), t, removed).drop("of", "row")
     schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(kinds))
     return rows.mapInArrow(_cut(at, n_at), schema).select(*(F.col(f"c{i}").alias(f.name) for i, f in enumerate(kinds)))
 

@@ -240,6 +240,14 @@ def test_suffix_cut_keeps_columns_and_whole_characters(docs):
     assert sum(t == "The same text twice, with some more words to fill a window of ten." for _, t in left) == 1
 
 
+def test_suffix_null_keys_come_first(spark):
+    rnd = random.Random(8)
+    text = "".join(rnd.choice("abcdefgh ") for _ in range(150))
+    df = spark.createDataFrame([(1, text), (None, "x" + text), (None, "x" + text), (5, "y" + text)], "doc_id long, text string")
+    got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_removed"]) for r in suffix.digests(df).collect())
+    assert got == [(False, 0, 0), (False, 0, 0), (True, 1, 150), (True, 5, 150)]
+
+
 # near duplicates
 
 
@@ -264,15 +272,18 @@ def brute_classes(rows, threshold=0.8):
     least = defaultdict(list)
     for i, (k, _) in enumerate(rows):
         least[find(i)].append(k)
-    return [(k, k if not s else min(x for x in least[find(i)] if x is not None), links[i]) for i, ((k, _), s) in enumerate(zip(rows, sets, strict=True))]
+    return [(k, k if not s else min((x for x in least[find(i)] if x is not None), default=None), links[i]) for i, ((k, _), s) in enumerate(zip(rows, sets, strict=True))]
 
 
 @pytest.mark.parametrize("block", [1024, 5])
-def test_near_duplicates(many, monkeypatch, block):
+def test_near_duplicates(spark, many, monkeypatch, block):
     monkeypatch.setattr(jaccard, "BLOCK", block)
-    rows = pairs(many.where("doc_id is not null"))
-    got = sorted(map(tuple, jaccard.classes(many.where("doc_id is not null")).select("doc_id", "class_id", "n_links").collect()))
-    assert got == sorted(brute_classes(rows))
+    long = " ".join(f"v{i}" for i in range(60))
+    nulls = [(None, long), (7, long), (8, long + " one"), (9, long + " two"), (None, long + " three"), (None, "alone " * 3), (None, "alone " * 3)]
+    df = many.unionByName(spark.createDataFrame(nulls, "doc_id long, text string"))
+    got = sorted(map(tuple, jaccard.classes(df).select("doc_id", "class_id", "n_links").collect()), key=str)
+    assert got == sorted(brute_classes(pairs(df)), key=str)
+    assert [r["doc_id"] for r in jaccard.one_of_each(spark.createDataFrame(nulls[:5], "doc_id long, text string")).collect()] == [7]
 
 
 def test_one_of_each(docs, many):
@@ -292,16 +303,17 @@ def test_token_files(spark, docs, many):
 
     vocabulary = open(P.path("byte_bpe_50k.json"), encoding="utf-8").read()
     hf = Tokenizer.from_str(vocabulary)
-    hf.encode_special_tokens = True
-    for df in (docs.where("doc_id is not null"), many.where("doc_id is not null")):
+    big = [(None, "a"), ((1 << 53) + 1, "b <|endoftext|> c"), ((1 << 53) + 3, "<|endoftext|>"), (-(1 << 63), "d"), (None, "<|endof"), (1 << 62, "text|>")]
+    assert hf.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    for df in (docs, many, spark.createDataFrame(big, "doc_id long, text string")):
         table = tokenfile.write(df, vocabulary, tokenfile.fresh_path(spark), part_bytes=20_000)
-        got = sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in tokenfile.read_documents(table).collect())
+        got = sorted(((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in tokenfile.read_documents(table).collect()), key=str)
         want, at = [], 0
-        for k, t in sorted(pairs(df), key=lambda x: (x[0], x[1] is not None, x[1] or "")):
+        for k, t in sorted(pairs(df), key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or "")):
             ids = [*hf.encode(t or "", add_special_tokens=False).ids, 0]
             want.append((k, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
             at += len(ids)
-        assert got == sorted(want)
+        assert got == sorted(want, key=str)
 
 
 def test_pfor_blocks():
@@ -449,3 +461,51 @@ def test_empty_tables(spark, none):
     ):
         assert df.count() == 0
     assert decontam.find(spark.range(1).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text")), bench.where("false")).first()["n_hit"] == 0
+
+
+# hashes
+
+
+def thue_morse(n):
+    """A word of n letters and its complement: alike for hashes that are polynomials modulo 2^64."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_that_collide_by_their_structure(spark, n):
+    tiktoken = pytest.importorskip("tiktoken")
+    one, two = thue_morse(n)
+    data = np.frombuffer((one + two).encode(), np.uint8)
+    h = buffers.span_hashes(data, np.array([0, n]), np.array([n, 2 * n]))
+    assert h[0] != h[1]
+    texts = [one, two, f"{one}\n{two}", f"w {one} x y z w {two} x y z", f"a b c d {one}", f"a b c d {two}", f"bench {two}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lines = bpe.vocabulary(spark, P.path("byte_bpe_50k.tiktoken"))
+    own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}, special_tokens={})
+    got = {r["doc_id"]: r for r in bpe.encode(df, lines, P.PATTERN, ("ids", "decoded")).collect()}
+    assert all(got[i]["ids"] == own.encode_ordinary(t) and bytes(got[i]["decoded"]).decode() == t for i, t in enumerate(texts))
+    measured = {r["doc_id"]: r for r in quality.ledger(df).collect()}
+    assert measured[2]["n_dup_lines"] == 0 and measured[3]["n_repeat_words"] == 0
+    assert sorted(map(tuple, jaccard.classes(df).select("doc_id", "class_id", "n_links").collect())) == sorted(brute_classes(list(enumerate(texts))))
+    bench = spark.createDataFrame([(1, f"bench {one}")], "item_id long, text string")
+    assert not any(r["n_hit"] for r in decontam.find(df, bench).collect())
+    removed = {r["doc_id"]: r["n_removed"] for r in suffix.digests(df, length=n).collect()}
+    assert removed == {k: v[0] for k, v in removed_by_windows(list(enumerate(t.encode() for t in texts)), n).items()}
+
+
+def test_equal_hashes_are_told_apart(monkeypatch):
+    """Every hash the same: bytes decide."""
+    monkeypatch.setattr(buffers, "_span_hashes", lambda data, starts, ends, seed: np.zeros(len(starts), np.uint64))
+    texts = some_texts(7, 12) + ["x\ny\nx\n", "a a b b a a"]
+    data, offs = buffers.flat(pa.array(texts))
+    got = quality.measure(data, offs)
+    for i, t in enumerate(texts):
+        words = t.split()
+        grams = Counter(tuple(words[j : j + 5]) for j in range(len(words) - 4))
+        assert got["n_repeat_words"][i] == len({j + d for j in range(len(words) - 4) for d in range(5) if grams[tuple(words[j : j + 5])] > 1})
+    assert got["n_dup_lines"].tolist() == [0] * 12 + [1, 0]
+    lines = open(P.path("byte_bpe_50k.tiktoken"), "rb").read().splitlines()
+    codec = bpe.Codec(lines, P.PATTERN)
+    ids, at = codec.encode(data, offs)
+    assert [ids[a:e].tolist() for a, e in zip(at[:-1], at[1:], strict=True)] == [codec.encode_texts([t]).tolist() for t in texts]
