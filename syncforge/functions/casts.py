@@ -27,6 +27,20 @@ def try_double(c) -> Column:
     return F.when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit(None)).otherwise(d)
 
 
+#: Money, from its text to the tables.
+MONEY = "decimal(38,9)"
+
+
+def try_decimal(c) -> Column:
+    """Text or number to money; what is no number, or does not fit, is missing."""
+    return as_col(c).try_cast(MONEY)
+
+
+def money_text(c) -> Column:
+    """Canonical text of money: no zeros after the last digit, no bare point (``10``, ``10.5``)."""
+    return F.regexp_replace(F.regexp_replace(as_col(c).cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+
+
 def try_bool(c) -> Column:
     return as_col(c).try_cast("boolean")
 

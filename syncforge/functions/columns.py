@@ -20,7 +20,3 @@ def has_path(df: DataFrame, path: str) -> bool:
             return False
         dtype = dtype[part].dataType
     return True
-
-
-def null_of(dtype: str) -> Column:
-    return F.lit(None).cast(dtype)

@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
 from syncforge.functions.columns import has_path
+from syncforge.schemas import FILE, FILE_TIME
 
 RECORD = "rec"
+#: Columns of a scan that are no part of a record.
+LINEAGE = (FILE, FILE_TIME)
 
 
 def unwrap(
@@ -26,8 +29,9 @@ def unwrap(
     envelope: str = "results",
     wrapper: str | None = None,
     alias: str = RECORD,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per record, as struct column ``alias``.
+    """One row per record, as struct column ``alias``; ``carry`` names top-level columns that go with each.
 
     * ``envelope`` array present on a row -> one row per element; a NULL or
       empty array gives no rows (B-01).
@@ -36,7 +40,8 @@ def unwrap(
 
     The choice is made per row, so one scan may mix the shapes.
     """
-    cols = df.columns
+    carry = [c for c in carry if c in df.columns]
+    cols = [c for c in df.columns if c not in LINEAGE]
     has_env = envelope in cols and isinstance(df.schema[envelope].dataType, ArrayType)
     elem_type = df.schema[envelope].dataType.elementType if has_env else None
     names = set(elem_type.names) if isinstance(elem_type, StructType) else set()
@@ -54,10 +59,10 @@ def unwrap(
             )
         else:
             arr = F.col(envelope)
-        return df.select(F.explode(arr).alias(alias))
+        return df.select(F.explode(arr).alias(alias), *carry)
     if wrapper and wrapper in cols:
-        return df.select(F.col(wrapper).alias(alias))
-    return df.select(F.struct(*[F.col(c) for c in cols]).alias(alias))
+        return df.select(F.col(wrapper).alias(alias), *carry)
+    return df.select(F.struct(*[F.col(c) for c in cols]).alias(alias), *carry)
 
 
 def _wrapper_present(df: DataFrame, wrapper: str | None) -> Column:

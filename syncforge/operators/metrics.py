@@ -1,18 +1,24 @@
 """Run bookkeeping: action counts and the per-merge metrics row
 (E-03, E-04, E-06, J-14, D-13).
 
-All counts of one merge come from a single aggregate over the ``_action``
-column (partial aggregation, one row out), never from separate jobs.
+All counts of one merge ride on its write as one observation
+(``observed_counts``); ``merge_counts`` takes them from a frame by a single
+aggregate. Neither reads anything back.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from syncforge.operators.assignments import REASSIGN, REMOVE
 from syncforge.operators.merge import ACTION, INSERT, KEEP, STALE, UPDATE
+from syncforge.schemas import PIPELINE_METRICS_DDL
+
+#: Counts of one step, in the order of the metrics record.
+COUNTS = ("rows_inserted", "rows_updated", "rows_deleted", "rows_stale", "rows_kept", "rows_reassigned", "rows_recomputed")
 
 
 def _count(action: str):
@@ -34,8 +40,28 @@ def merge_counts(merged: DataFrame, deleted_action: str | None = None) -> DataFr
     )
 
 
+def action_counts() -> list[Column]:
+    """The counts of a merge, an assignment merge or a replacement, by ``_action``."""
+    named = {"rows_inserted": INSERT, "rows_updated": UPDATE, "rows_deleted": REMOVE, "rows_stale": STALE, "rows_kept": KEEP, "rows_reassigned": REASSIGN}
+    return [_count(a).alias(c) for c, a in named.items()]
+
+
+def observed_counts(merged: DataFrame, *more: Column) -> tuple[DataFrame, Observation]:
+    """``merged`` with its action counts (and ``more`` aggregates) as an observation of the write it goes to."""
+    seen = Observation()
+    return merged.observe(seen, *action_counts(), *more), seen
+
+
+def report_of(counts: dict) -> dict:
+    """All counts of a step; affected rows are those inserted, updated, deleted or assigned again."""
+    out = {c: int(counts.get(c) or 0) for c in COUNTS}
+    out["rows_affected"] = out["rows_inserted"] + out["rows_updated"] + out["rows_deleted"] + out["rows_reassigned"]
+    return out
+
+
 def run_metrics_row(
-    counts: DataFrame,
+    spark: SparkSession,
+    counts: dict,
     pipeline_name: str,
     table_name: str,
     day: str | None,
@@ -45,20 +71,19 @@ def run_metrics_row(
     status: str = "success",
     error_message: str | None = None,
 ) -> DataFrame:
-    """J-14: the metrics record of one merge; counts come from ``merge_counts``."""
-    return counts.select(
-        F.lit(run_id).cast("string").alias("flow_run_id"),
-        F.lit(f"{pipeline_name}_task").alias("task_name"),
-        F.lit(pipeline_name).alias("pipeline_name"),
-        F.lit(table_name).alias("table_name"),
-        F.lit(day).cast("string").alias("day"),
-        "rows_inserted",
-        "rows_updated",
-        "rows_deleted",
-        "rows_affected",
-        F.lit(status).alias("status"),
-        F.lit(error_message).cast("string").alias("error_message"),
-        F.lit(started_at).cast("timestamp").alias("started_at"),
-        F.lit(finished_at).cast("timestamp").alias("finished_at"),
-        F.lit((finished_at - started_at).total_seconds()).cast("double").alias("duration_seconds"),
-    )
+    """J-14: the metrics record of one merge; ``counts`` as ``report_of`` gives them."""
+    row = {
+        "flow_run_id": run_id,
+        "task_name": f"{pipeline_name}_task",
+        "pipeline_name": pipeline_name,
+        "table_name": table_name,
+        "day": day,
+        **counts,
+        "status": status,
+        "error_message": error_message,
+        "started_at": started_at.replace(tzinfo=dt.timezone.utc),
+        "finished_at": finished_at.replace(tzinfo=dt.timezone.utc),
+        "duration_seconds": (finished_at - started_at).total_seconds(),
+    }
+    names = [c.split()[0] for c in PIPELINE_METRICS_DDL.split(", ")]
+    return spark.createDataFrame([tuple(row[c] for c in names)], PIPELINE_METRICS_DDL)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from syncforge.functions import empty_to_null, idempotency_key, try_double, try_int, try_timestamp
+from syncforge.functions import empty_to_null, idempotency_key, money_text, try_double, try_int, try_timestamp
 from syncforge.operators.dedup import latest_per_key
 from syncforge.operators.envelope import RECORD, unwrap
 from syncforge.operators.fx import convert_to_usd, minor_to_major
@@ -52,7 +52,7 @@ def normalize(raw: DataFrame) -> DataFrame:
     r = unwrap(raw, "results")
     amount_text = _cd("originalCurrencyAmount")
     currency = _cd("originalCurrencyCode")
-    amount = minor_to_major(try_double(empty_to_null(amount_text)), try_int(_cd("exponent")))
+    amount = minor_to_major(empty_to_null(amount_text), try_int(_cd("exponent")))
     return r.select(
         F.col(f"{RECORD}.id").alias("transaction_id"),
         F.col(f"{RECORD}.uuid").alias("transaction_uuid"),
@@ -115,7 +115,7 @@ def transform(
     )
     valid = valid.withColumn(
         "idempotency_key",
-        idempotency_key("transaction_id", "transaction_uuid", "occurred_time", "original_amount", "original_currency"),
+        idempotency_key("transaction_id", "transaction_uuid", "occurred_time", money_text("original_amount"), "original_currency"),
     )
     valid = latest_per_key(
         valid, ["idempotency_key", "transaction_id"], ["updated_time desc_nulls_last"], tie_break=[F.xxhash64("raw_payload").desc()]

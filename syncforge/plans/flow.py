@@ -6,41 +6,47 @@ roles); budgets, cards, transactions. Agents and groups are mandatory, the
 rest are skipped when their folder is absent.
 
 Per entity: read the day's snapshot with the declared schema -> transform
-(normalize, validate, dedup, reference checks) -> quarantine partition
-(overwritten, so a re-run replaces it) -> staging partition -> merge into
-the current core version -> write the next version, carrying each row's
-merge ``_action`` -> counts read back from the written version (no second
-evaluation of the plan) -> metrics row. Every stage boundary is a written
-table, so lineage never spans more than one step and a failed step can be
-re-run alone.
+(normalize, validate, dedup, reference checks) -> quarantine folder -> staging
+folder -> merge into the core table. Counts ride on these writes as
+observations. Every stage boundary is a written table, so lineage never spans
+more than one step.
+
+A run of a day has a number. Complete tables get that number as their
+version, merged from the last version below it; bucketed tables are staged
+under it and switched; history and metrics are folders of it; and a step ends
+with its marker in the ledger. So a run that died is taken up where it stopped:
+committed steps are skipped, and a step without a marker is done again from
+the same inputs, with the same result.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from syncforge import schemas as S
 from syncforge.functions import try_long
-from syncforge.operators.assignments import assignment_counts, assignment_history, merge_assignments
+from syncforge.operators.assignments import merge_assignments
+from syncforge.operators.changes import assignment_changes
+from syncforge.operators.envelope import unwrap
 from syncforge.operators.hierarchy import DESCENDANTS, flag_inactive, groups_with_active_members
 from syncforge.operators.membership import replace_members
 from syncforge.operators.merge import ACTION, merge_latest
-from syncforge.operators.envelope import unwrap
-from syncforge.operators.metrics import merge_counts, run_metrics_row
+from syncforge.operators.metrics import observed_counts, report_of, run_metrics_row
 from syncforge.operators.refer import deactivate_absent
 from syncforge.operators.snapshot import status_snapshot
 from syncforge.operators.uniqueness import split_unique
 from syncforge.operators.validate import to_quarantine
 from syncforge.operators.watermark import advance_watermark, since_watermark
 from syncforge.plans.entities import agent_roles, agents, budgets, cards, groups, roles, transactions
-from syncforge.sinks.tables import TableStore
+from syncforge.sinks.keyindex import KeyIndex
+from syncforge.sinks.tables import BUCKET, TableStore
 from syncforge.sources.readers import path_exists, read
 from syncforge.sources.snapshots import read_day
 
@@ -71,8 +77,13 @@ class DayContext:
     multiline: bool = True  # one JSON document per file (API export); False = JSON-lines, splittable
     rebalance: bool = False  # spread records of few huge export files over many tasks (AQE rebalance)
     day_date: dt.date | None = None
+    raw: dict[str, DataFrame] = field(default_factory=dict)  # records handed over instead of read
+    run: int = 0  # number of this run of the day; drawn from the ledger where it is not given
     results: dict = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        self.run = self.run or self.store.run_number(self.day)
+
 
 # ---------------------------------------------------------------------------
 # shared steps
@@ -108,70 +119,65 @@ def _stage(ctx: DayContext, name: str, valid: DataFrame) -> DataFrame:
     return staged
 
 
-KEEP_VERSIONS = 3  # previous versions kept for rollback / time travel
-
+def _write_core(ctx: DayContext, table: str, merged: DataFrame, *more) -> tuple[DataFrame, Observation]:
+    """The table's version of this run, and the counts of its write."""
+    df, seen = observed_counts(merged, *more)
+    ctx.store.write_version(table, df, ctx.run)
+    return ctx.spark.read.schema(df.schema).parquet(f"{ctx.store.path(table)}/v={ctx.run}"), seen
 
-def _write_core(ctx: DayContext, table: str, merged: DataFrame) -> DataFrame:
-    v = ctx.store.write_version(table, merged)
-    ctx.store.vacuum(table, keep=KEEP_VERSIONS)
-    return ctx.spark.read.parquet(f"{ctx.store.path(table)}/v={v}")
 
-
-# Large entities fed by daily deltas: merge-on-read layers (see sinks.tables).
-INCREMENTAL = {
+# Large entities fed by daily deltas: tables bucketed by key (see sinks.tables).
+BUCKETED = {
     "transactions": (S.TRANSACTIONS_DDL, ["transaction_id"]),
     "cards": (S.CARDS_DDL, ["card_id"]),
     "budgets": (S.BUDGETS_DDL, ["budget_id"]),
 }
-COMPACT_AFTER_DELTAS = 30
 
 
 def read_core(store: TableStore, table: str, ddl: str | None = None) -> DataFrame:
     """Current state of a core table, whichever layout it uses."""
-    if table in INCREMENTAL:
-        ddl_i, keys = INCREMENTAL[table]
-        return store.read_current(table, ddl_i, keys)
+    if table in BUCKETED:
+        return store.read_buckets(table, BUCKETED[table][0]).drop(BUCKET)
     return store.read(table, ddl)
 
 
-def _merge_incremental(
-    ctx: DayContext, table: str, staged: DataFrame, current: DataFrame | None = None, **merge_kw
-) -> DataFrame:
-    """Merge against the stored rows of the staged keys only; write them as a delta.
-
-    The written layer holds every staged key's outcome (insert / update /
-    stale, the latter unchanged copies), so counts come from it directly.
-    ``current`` may carry stored rows the caller already read (a superset of
-    the staged keys is fine: only staged keys take part).
-    """
-    ddl, keys = INCREMENTAL[table]
-    # the stored rows of the staged keys (at most one per staged key) are read
-    # twice by the broadcast merge: keep them for the write instead of
-    # scanning every layer twice
-    own = current is None
-    if own:
-        current = ctx.store.read_current(table, ddl, keys, touched_keys=staged).persist(StorageLevel.MEMORY_AND_DISK)
+def key_index(store: TableStore) -> KeyIndex:
+    return KeyIndex(store, "transactions", "idempotency_key", "transaction_id")
+
+
+def merge_buckets(store: TableStore, table: str, staged: DataFrame, **merge_kw) -> DataFrame:
+    """Next state of the buckets that the staged keys fall into: the table's columns, ``_action``, ``bucket``."""
+    ddl, keys = BUCKETED[table]
+    stored = store.read_buckets(table, ddl, store.touched(staged, *keys)).drop(BUCKET)
+    return merge_latest(stored, staged, keys, **merge_kw).withColumn(BUCKET, store.bucket(*keys))
+
+
+def _merge_bucketed(ctx: DayContext, table: str, staged: DataFrame, index: bool = False, **merge_kw) -> dict:
+    """Merge into the touched buckets of a table; returns the counts. What a dead run has staged is used as it is."""
+    store, note = ctx.store, f"_switch/run={ctx.run}/{table}_counts"
+    ddl, keys = BUCKETED[table]
+    if store.staged_buckets(table, ctx.run) is None or store.read_note(note) is None:
+        merged, seen = observed_counts(merge_buckets(store, table, staged, **merge_kw))
+        store.stage_buckets(table, ctx.run, merged.drop(ACTION))
+        store.write_note(note, report_of(seen.get))
+    if index:
+        own = key_index(store)
+        if not own.staged(ctx.run):
+            pair = [*keys, own.key]
+            after = ctx.spark.read.schema(f"{ddl}, {BUCKET} int").parquet(store.staged_buckets(table, ctx.run)).select(*pair)
+            before = store.read_buckets(table, ddl, store.touched(staged, *keys)).select(*pair)
+            own.stage(ctx.run, added=after.exceptAll(before), released=before.exceptAll(after))
+        store.switch_buckets(table, ctx.run)
+        own.switch(ctx.run)
     else:
-        current = current.join(staged.select(*keys), keys, "left_semi")
-    try:
-        merged = merge_latest(current, staged, keys, **merge_kw)
-        n = ctx.store.write_changes(table, merged)
-    finally:
-        if own:
-            current.unpersist()
-    if ctx.store.delta_count(table) >= COMPACT_AFTER_DELTAS:
-        ctx.store.compact(table, ddl, keys)
-    return ctx.spark.read.parquet(f"{ctx.store.path(table)}/delta={n}")
-
-
-def _metrics(ctx: DayContext, name: str, table: str, counts: DataFrame, started: dt.datetime) -> None:
-    row = counts.first().asDict()  # one aggregated row
-    finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    m = run_metrics_row(
-        ctx.spark.createDataFrame([row]), name, table, ctx.day, started, finished, run_id=ctx.run_id
-    )
-    ctx.store.append(METRICS, m)
-    ctx.results[name] = row
+        store.switch_buckets(table, ctx.run)
+    return store.read_note(note)
+
+
+def _metrics(ctx: DayContext, name: str, table: str, counts: dict, started: dt.datetime) -> None:
+    m = run_metrics_row(ctx.spark, counts, name, table, ctx.day, started, _now(), run_id=ctx.run_id)
+    ctx.store.overwrite_folder(METRICS, m.drop("day"), run=ctx.run, step=name, day=ctx.day)
+    ctx.results[name] = counts
 
 
 def _now() -> dt.datetime:
@@ -183,17 +189,20 @@ def _read(ctx: DayContext, name: str) -> tuple[DataFrame, bool]:
     are unwrapped right after the scan and rebalanced by AQE, so a single
     huge (unsplittable) export file does not keep all the parsing,
     validation and FX work in one task. Transforms accept flat records."""
+    if name in ctx.raw:
+        return ctx.raw[name], True
     raw, ok = read_day(ctx.spark, ctx.base, ctx.day, name, ctx.multiline)
     if ok and ctx.rebalance:
         wrapper = "budget" if name == "budgets" else None
-        raw = unwrap(raw, "results", wrapper=wrapper).select("rec.*").hint("rebalance")
+        lineage = [c for c in (S.FILE, S.FILE_TIME) if c in raw.columns]
+        raw = unwrap(raw, "results", wrapper=wrapper, carry=lineage).select("rec.*", *lineage).hint("rebalance")
     return raw, ok
 
 
 # ---------------------------------------------------------------------------
 # entities
 # ---------------------------------------------------------------------------
-def sync_agents(ctx: DayContext) -> None:
+def sync_agents(ctx: DayContext) -> bool:
     started = _now()
     details, ok_d = _read(ctx, "agent_details")
     active, ok_a = _read(ctx, "agents")
@@ -203,7 +212,7 @@ def sync_agents(ctx: DayContext) -> None:
         valid, errors = agents.transform(details, active, ctx.day, ctx.run_ts, hold=hold)
         _quarantine(ctx, errors, "agents")
         staged = _stage(ctx, "agents", valid)
-    core = ctx.store.read("agents", S.AGENTS_DDL)
+    core = ctx.store.read("agents", S.AGENTS_DDL, below=ctx.run)
     merged = merge_latest(
         core, staged, ["agent_id"], guard="updated_at", null_guard="reject",
         keep=["created_at"], greatest=["updated_at"],
@@ -211,16 +220,16 @@ def sync_agents(ctx: DayContext) -> None:
     if ctx.mark_absent:
         ids = unwrap(details, "results").select(try_long("rec.id").alias("agent_id"))
         merged = deactivate_absent(merged, present=ids)
-    written = _write_core(ctx, "agents", merged)
+    written, seen = _write_core(ctx, "agents", merged)
     # J-03: the snapshot holds one sync date for every agent, so the upsert
     # keyed by (agent_id, sync_date) is exactly an overwrite of that date's
     # partition -- the history is never rewritten as a whole.
-    snap = status_snapshot(written, ctx.day_date)
-    ctx.store.overwrite_partitions(STATUS_HISTORY, snap, ["sync_date"])
-    _metrics(ctx, "agents", "agents", merge_counts(written), started)
+    ctx.store.overwrite_partitions(STATUS_HISTORY, status_snapshot(written, ctx.day_date), ["sync_date"])
+    _metrics(ctx, "agents", "agents", report_of(seen.get), started)
+    return True
 
 
-def sync_groups(ctx: DayContext) -> None:
+def sync_groups(ctx: DayContext) -> bool:
     started = _now()
     raw, ok = _read(ctx, "groups")
     if not ok:
@@ -232,24 +241,20 @@ def sync_groups(ctx: DayContext) -> None:
         staged = _stage(ctx, "groups", g)
         staged_members = _stage(ctx, "group_membership", members)
         listed = _stage(ctx, "group_lists", snapshot_groups)
-    core = ctx.store.read("groups", S.GROUPS_DDL)
+    core = ctx.store.read("groups", S.GROUPS_DDL, below=ctx.run)
     merged = merge_latest(core, staged, ["group_id"], keep=["created_at", "inactive"])
     # deleted = stored rows in - stored rows kept, both observed on the write
-    membership, seen_in = _observed(ctx.store.read("group_membership", S.MEMBERSHIP_DDL))
-    replaced = replace_members(membership, staged_members, listed)
-    kept = Observation()
-    replaced = replaced.observe(kept, F.count_if(F.col(ACTION) == F.lit("keep")).alias("rows"))
-    new_members = _write_core(ctx, "group_membership", replaced)
-    deleted = seen_in.get["rows"] - kept.get["rows"]
+    membership, seen_in = _observed(ctx.store.read("group_membership", S.MEMBERSHIP_DDL, below=ctx.run))
+    new_members, kept = _write_core(ctx, "group_membership", replace_members(membership, staged_members, listed))
     # inactive flag over the merged hierarchy, the new members and merged agents
-    merged_groups = _write_core(ctx, "groups_merged", merged)
+    merged_groups, seen = _write_core(ctx, "groups_merged", merged)
     active = groups_with_active_members(new_members.drop(ACTION), agents_now)
     flagged = flag_inactive(merged_groups, active, direction=ctx.direction)
-    written = _write_core(ctx, "groups", flagged)
-    counts = merge_counts(written).withColumn("rows_deleted", F.lit(deleted).cast("bigint")).withColumn(
-        "rows_affected", F.col("rows_inserted") + F.col("rows_updated") + F.col("rows_deleted")
-    )
+    _, flags = _write_core(ctx, "groups", flagged, F.count(F.lit(1)).alias("rows_recomputed"))
+    deleted = seen_in.get["rows"] - kept.get["rows_kept"]
+    counts = report_of({**seen.get, "rows_deleted": deleted, "rows_recomputed": flags.get["rows_recomputed"]})
     _metrics(ctx, "groups", "groups", counts, started)
+    return True
 
 
 def sync_roles(ctx: DayContext) -> bool:
@@ -261,27 +266,28 @@ def sync_roles(ctx: DayContext) -> bool:
         valid, errors = roles.transform(raw, ctx.day, ctx.run_ts, hold=hold)
         _quarantine(ctx, errors, "roles")
         staged = _stage(ctx, "roles", valid)
-    merged = merge_latest(ctx.store.read("roles", S.ROLES_DDL), staged, ["role_id"], keep=["created_at"])
-    written = _write_core(ctx, "roles", merged)
-    _metrics(ctx, "roles", "roles", merge_counts(written), started)
+    merged = merge_latest(ctx.store.read("roles", S.ROLES_DDL, below=ctx.run), staged, ["role_id"], keep=["created_at"])
+    _, seen = _write_core(ctx, "roles", merged)
+    _metrics(ctx, "roles", "roles", report_of(seen.get), started)
     return True
 
 
 def sync_agent_roles(ctx: DayContext) -> bool:
     started = _now()
     details, ok = _read(ctx, "agent_details")
-    if not ok:
+    if not ok or ctx.results.get("roles") == SKIPPED:
         return False
     master = ctx.store.read("roles", S.ROLES_DDL)
     known_agents = ctx.store.read("agents", S.AGENTS_DDL)
     pairs, errors, unread = agent_roles.transform(details, master, ctx.day, ctx.run_ts, agents=known_agents)
     _quarantine(ctx, errors, "agent_roles")
     staged = _stage(ctx, "agent_roles", pairs)
-    current = ctx.store.read("agent_role_mapping", S.AGENT_ROLE_MAPPING_DDL)
+    current = ctx.store.read("agent_role_mapping", S.AGENT_ROLE_MAPPING_DDL, below=ctx.run)
     skipped = _stage(ctx, "agent_roles_unread", unread)
-    written = _write_core(ctx, "agent_role_mapping", merge_assignments(current, staged, ctx.run_ts, untouched=skipped))
-    ctx.store.append(ROLE_HISTORY, assignment_history(written, ctx.run_ts))
-    _metrics(ctx, "agent_roles", "agent_role_mapping", assignment_counts(written), started)
+    written, seen = _write_core(ctx, "agent_role_mapping", merge_assignments(current, staged, ctx.run_ts, untouched=skipped))
+    # J-07: the log is what the two versions differ in, so it can be derived again
+    ctx.store.overwrite_folder(ROLE_HISTORY, assignment_changes(current, written.drop(ACTION)), run=ctx.run)
+    _metrics(ctx, "agent_roles", "agent_role_mapping", report_of(seen.get), started)
     return True
 
 
@@ -294,8 +300,8 @@ def sync_budgets(ctx: DayContext) -> bool:
         valid, errors = budgets.transform(raw, ctx.day, ctx.run_ts, hold=hold)
         _quarantine(ctx, errors, "budgets")
         staged = _stage(ctx, "budgets", valid)
-    written = _merge_incremental(ctx, "budgets", budgets.to_core(staged, ctx.run_ts), keep=["created_at"])
-    _metrics(ctx, "budgets", "budgets", merge_counts(written), started)
+    counts = _merge_bucketed(ctx, "budgets", budgets.to_core(staged, ctx.run_ts), keep=["created_at"])
+    _metrics(ctx, "budgets", "budgets", counts, started)
     return True
 
 
@@ -308,8 +314,7 @@ def sync_cards(ctx: DayContext) -> bool:
         valid, errors = cards.transform(raw, ctx.day, ctx.run_ts, hold=hold)
         _quarantine(ctx, errors, "cards")
         staged = _stage(ctx, "cards", valid)
-    written = _merge_incremental(ctx, "cards", staged)
-    _metrics(ctx, "cards", "cards", merge_counts(written), started)
+    _metrics(ctx, "cards", "cards", _merge_bucketed(ctx, "cards", staged), started)
     return True
 
 
@@ -328,48 +333,48 @@ DUPLICATE_KEY = ("DUPLICATE_IDEMPOTENCY_KEY", "idempotency_key already used by a
 def sync_transactions(ctx: DayContext) -> bool:
     started = _now()
     raw, ok = _read(ctx, "transactions")
-    if not ok or unwrap(raw, "results").isEmpty():  # A-15: no records -> nothing written
+    if not ok:
         return False
+    merge_kw = dict(guard="updated_time", null_guard="accept_if_stored_null", staging_order=["updated_time desc_nulls_last"])
+    state = ctx.store.read(STATE, S.PIPELINE_STATE_DDL, below=ctx.run)
     with _fork(ctx) as hold:
-        valid, errors = transactions.transform(raw, _fx_rates(ctx), ctx.day, ctx.run_ts, hold=hold)
+        seen_raw = Observation()
+        records = unwrap(raw, "results").select("rec.*").observe(seen_raw, F.count(F.lit(1)).alias("rows"))
+        valid, errors = transactions.transform(records, _fx_rates(ctx), ctx.day, ctx.run_ts, hold=hold)
         staged = _stage(ctx, "transactions", valid)
-        state = ctx.store.read(STATE, S.PIPELINE_STATE_DDL)
+        if not seen_raw.get["rows"]:  # A-15: no records -> nothing merged
+            ctx.store.drop_partition("stg_transactions", STG_DAY, ctx.day)
+            return False
         if ctx.delta_only:
             staged = since_watermark(staged, state, "transactions", "updated_time")
-        # J-15: an idempotency key may belong to one transaction only -- within
-        # the batch, and against stored transactions (found through the staged
-        # keys only, never by reading the whole table).
-        staged = staged.filter(F.col("transaction_id").isNotNull())
-        unique, dup = split_unique(staged.select("transaction_id", "idempotency_key").distinct(), ["idempotency_key"])
-        ddl, keys = INCREMENTAL["transactions"]
-        # one read of the stored rows serves both the key check and the merge:
-        # staged ids plus the ids that own any staged idempotency key
-        owners = ctx.store.ids_matching("transactions", ddl, keys, "idempotency_key", staged)
-        touched = staged.select(*keys).unionByName(owners).distinct()
-        current = ctx.store.read_current("transactions", ddl, keys, touched_keys=touched).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
-        hold.append(current)
-        taken = current.select(F.col("idempotency_key"), F.col("transaction_id").alias("_owner")).join(
-            staged.select("idempotency_key").distinct(), "idempotency_key", "left_semi"
-        )
-        clash = staged.join(taken, "idempotency_key").filter(F.col("_owner") != F.col("transaction_id")).drop("_owner")
-        bad = staged.join(dup, ["transaction_id", "idempotency_key"], "left_semi").unionByName(clash)
-        good = staged.join(bad.select("transaction_id").distinct(), "transaction_id", "left_anti")
-        errors = errors.unionByName(
-            to_quarantine(bad, "transactions", F.col("transaction_id"), F.col("raw_payload"), *DUPLICATE_KEY, ctx.day, ctx.run_ts)
-        )
-        _quarantine(ctx, errors, "transactions")
-        written = _merge_incremental(
-            ctx, "transactions", good, current=current, guard="updated_time", null_guard="accept_if_stored_null",
-            staging_order=["updated_time desc_nulls_last"],
-        )
-        ctx.store.write_version(STATE, advance_watermark(state, good, "transactions", "updated_time"))
-    ctx.store.drop_partition("stg_transactions", STG_DAY, ctx.day)  # A-16
-    _metrics(ctx, "transactions", "transactions", merge_counts(written), started)
+        good = staged
+        if ctx.store.staged_buckets("transactions", ctx.run) is None:
+            good, bad = split_clashes(staged, key_index(ctx.store))
+            good = _stage(ctx, "transactions_unique", good)
+            errors = errors.unionByName(
+                to_quarantine(bad, "transactions", F.col("transaction_id"), F.col("raw_payload"), *DUPLICATE_KEY, ctx.day, ctx.run_ts)
+            )
+            _quarantine(ctx, errors, "transactions")
+        else:  # a dead run has come this far: what it found still holds
+            good = ctx.spark.read.schema(staged.schema).parquet(f"{ctx.store.path('stg_transactions_unique')}/{STG_DAY}={ctx.day}")
+        counts = _merge_bucketed(ctx, "transactions", good, index=True, **merge_kw)
+        ctx.store.write_version(STATE, advance_watermark(state, good, "transactions", "updated_time"), ctx.run)
+    _metrics(ctx, "transactions", "transactions", counts, started)
     return True
 
 
+def split_clashes(staged: DataFrame, index: KeyIndex) -> tuple[DataFrame, DataFrame]:
+    """J-15: (rows to merge, rows whose key belongs to another row), within the batch and against the stored keys."""
+    staged = staged.filter(F.col(index.owner).isNotNull())
+    pair = [index.owner, index.key]
+    _, dup = split_unique(staged.select(*pair).distinct(), [index.key])
+    owners = index.owners(staged).withColumnRenamed(index.owner, "_owner")
+    clash = staged.join(owners, index.key).filter(F.col("_owner") != F.col(index.owner)).drop("_owner")
+    bad = staged.join(dup, pair, "left_semi").unionByName(clash).dropDuplicates(pair)
+    good = staged.join(bad.select(index.owner).distinct(), index.owner, "left_anti")
+    return good, bad
+
+
 def _day_date(day: str):
     """``'2024-05-01'`` -> that date; other day labels (``day1``) -> NULL."""
     try:
@@ -381,6 +386,31 @@ def _day_date(day: str):
 # ---------------------------------------------------------------------------
 # flows
 # ---------------------------------------------------------------------------
+SKIPPED = "skipped"
+STEPS: dict[str, Callable[[DayContext], bool]] = {
+    "agents": sync_agents,
+    "groups": sync_groups,
+    "roles": sync_roles,
+    "agent_roles": sync_agent_roles,
+    "budgets": sync_budgets,
+    "cards": sync_cards,
+    "transactions": sync_transactions,
+}
+
+
+def run_step(ctx: DayContext, name: str) -> None:
+    """One step, unless this run has committed it; its report is what the ledger holds."""
+    if not ctx.store.committed(ctx.run, name):
+        if not STEPS[name](ctx):
+            ctx.results[name] = SKIPPED
+        rows = {k: ctx.results.get(k, {}) for k in ("staged_rows", "quarantined_rows")}
+        ctx.store.commit(ctx.run, name, {"result": ctx.results[name], **rows})
+    report = ctx.store.report(ctx.run, name)
+    ctx.results[name] = report["result"]
+    for k in ("staged_rows", "quarantined_rows"):
+        ctx.results[k] = {**report[k], **ctx.results.get(k, {})}
+
+
 def run_day(
     spark: SparkSession,
     base: str,
@@ -394,25 +424,35 @@ def run_day(
     mark_absent: bool = False,
     multiline: bool = True,
     rebalance: bool = False,
+    only: Sequence[str] | None = None,
 ) -> dict:
-    """M-01: sync every entity of one day; returns per-entity merge counts."""
+    """M-01: sync every entity of one day (or the steps in ``only``); returns per-entity merge counts.
+
+    An unfinished run of the day is taken up; a finished day is run again.
+    """
     ctx = DayContext(
         spark, base, str(day), store, run_ts or _now(), run_id or str(uuid.uuid4()), fx_rates, direction, delta_only,
         mark_absent, multiline, rebalance,
     )
     ctx.day_date = _day_date(ctx.day) or ctx.run_ts.date()
-    sync_agents(ctx)
-    sync_groups(ctx)
-    if sync_roles(ctx):
-        sync_agent_roles(ctx)
-    else:
-        ctx.results["roles"] = ctx.results["agent_roles"] = "skipped"
-    for name, fn in (("budgets", sync_budgets), ("cards", sync_cards), ("transactions", sync_transactions)):
-        if not fn(ctx):
-            ctx.results[name] = "skipped"
+    for name in STEPS:
+        if only is None or name in only:
+            run_step(ctx, name)
+    finish(ctx)
     return ctx.results
 
 
-def backfill(spark: SparkSession, base: str, days, store: TableStore, **kw) -> dict:
-    """M-02: days in order; each day reads the versions the previous one wrote."""
-    return {str(d): run_day(spark, base, d, store, **kw) for d in days}
+def finish(ctx: DayContext) -> None:
+    ctx.store.commit(ctx.run, "_finished", ctx.results)
+    for table in ("stg_transactions", "stg_transactions_unique"):  # A-16
+        ctx.store.drop_partition(table, STG_DAY, ctx.day)
+    ctx.store.drop_staged(ctx.run)
+
+
+def backfill(spark: SparkSession, base: str, days, store: TableStore, restart: bool = False, **kw) -> dict:
+    """M-02: days in order; each day reads what the previous one wrote. ``restart`` skips days that a run has finished."""
+    out = {}
+    for d in map(str, days):
+        done = store.finished_run(d) if restart else None
+        out[d] = store.report(done, "_finished") if done is not None else run_day(spark, base, d, store, **kw)
+    return out

@@ -144,7 +144,8 @@ def cards_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = cards_input(spark, sf_dir)
     valid, _ = cards.transform(raw, "sf", F.lit(RUN_TS).cast("timestamp"))
     return valid.select(
-        "card_id", "current_limit", "current_spent", "share_budget_funds", "recurring", "created_time", "last_synced_day"
+        "card_id", F.col("current_limit").cast("double"), F.col("current_spent").cast("double"), "share_budget_funds", "recurring", "created_time",
+        "last_synced_day",
     )
 
 
@@ -183,7 +184,7 @@ def budgets_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C-03 / B-01 / B-02 through the budgets transform (negative limits pass)."""
     raw = budgets_input(spark, sf_dir)
     valid, _ = budgets.transform(raw, "sf", F.lit(RUN_TS).cast("timestamp"))
-    return valid.select("budget_id", "name", "limit_amount", "start_date", "retired", "sync_day")
+    return valid.select("budget_id", "name", F.col("limit_amount").cast("double"), "start_date", "retired", "sync_day")
 
 
 # ---------------------------------------------------------------------------

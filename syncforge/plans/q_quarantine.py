@@ -200,7 +200,7 @@ def cards_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     raw = o.select(*Q.raw_rows(S.envelope(S.CARD_RECORD), rec, F.col("o_orderstatus") == "F"))
     valid, _ = cards.transform(raw, DAY, _run_ts())
-    return valid.select("card_id", "current_limit", "updated_time")
+    return valid.select("card_id", F.col("current_limit").cast("double"), "updated_time")
 
 
 @register(
@@ -230,4 +230,4 @@ def transactions_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = li.select(*Q.raw_rows(S.envelope(S.TRANSACTION_RECORD), rec, F.col("l_linenumber") % 2 == 1))
     no_rates = spark.createDataFrame([], S.FX_RATES_DDL)
     valid, _ = transactions.transform(raw, no_rates, DAY, _run_ts())
-    return valid.select("transaction_id", "original_amount", "amount_usd", "fx_source", "merchant_name", "updated_time")
+    return valid.select("transaction_id", F.col("original_amount").cast("double"), F.col("amount_usd").cast("double"), "fx_source", "merchant_name", "updated_time")

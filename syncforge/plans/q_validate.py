@@ -300,7 +300,7 @@ def minor_unit_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
     API -> PAYLOAD -> MISSING precedence, USD amount."""
     valid, _ = _txn_frames(spark, sf_dir)
     return valid.select(
-        "transaction_id", "original_amount", "original_currency", "exchange_rate", "fx_source", "amount_usd"
+        "transaction_id", F.col("original_amount").cast("double"), "original_currency", "exchange_rate", "fx_source", F.col("amount_usd").cast("double")
     )
 
 

@@ -14,18 +14,20 @@ from pyspark.sql.types import ArrayType, StructField, StructType, StringType
 # ---------------------------------------------------------------------------
 # Accepted ISO-4217 currency codes (163 codes, alphabetical).
 # ---------------------------------------------------------------------------
-CURRENCY_CODES_TEXT = """
-AED AFN ALL AMD ANG AOA ARS AUD AWG AZN BAM BBD BDT BGN BHD BIF BMD BND BOB BRL
-BSD BTN BWP BYN BZD CAD CDF CHF CLP CNY COP CRC CUC CUP CVE CZK DJF DKK DOP DZD
-EGP ERN ETB EUR FJD FKP GBP GEL GGP GHS GIP GMD GNF GTQ GYD HKD HNL HRK HTG HUF
-IDR ILS IMP INR IQD IRR ISK JEP JMD JOD JPY KES KGS KHR KMF KPW KRW KWD KYD KZT
-LAK LBP LKR LRD LSL LYD MAD MDL MGA MKD MMK MNT MOP MRU MUR MVR MWK MXN MYR MZN
-NAD NGN NIO NOK NPR NZD OMR PAB PEN PGK PHP PKR PLN PYG QAR RON RSD RUB RWF SAR
-SBD SCR SDG SEK SGD SHP SLL SOS SPL SRD STN SVC SYP SZL THB TJS TMT TND TOP TRY
-TTD TVD TWD TZS UAH UGX USD UYU UZS VEF VES VND VUV WST XAF XCD XDR XOF XPF YER
-ZAR ZMW ZWD
-"""
-CURRENCY_CODES = tuple(CURRENCY_CODES_TEXT.split())
+CURRENCY_CODES = (
+    "AED", "AFN", "ALL", "AMD", "ANG", "AOA", "ARS", "AUD", "AWG", "AZN", "BAM", "BBD", "BDT", "BGN",
+    "BHD", "BIF", "BMD", "BND", "BOB", "BRL", "BSD", "BTN", "BWP", "BYN", "BZD", "CAD", "CDF", "CHF",
+    "CLP", "CNY", "COP", "CRC", "CUC", "CUP", "CVE", "CZK", "DJF", "DKK", "DOP", "DZD", "EGP", "ERN",
+    "ETB", "EUR", "FJD", "FKP", "GBP", "GEL", "GGP", "GHS", "GIP", "GMD", "GNF", "GTQ", "GYD", "HKD",
+    "HNL", "HRK", "HTG", "HUF", "IDR", "ILS", "IMP", "INR", "IQD", "IRR", "ISK", "JEP", "JMD", "JOD",
+    "JPY", "KES", "KGS", "KHR", "KMF", "KPW", "KRW", "KWD", "KYD", "KZT", "LAK", "LBP", "LKR", "LRD",
+    "LSL", "LYD", "MAD", "MDL", "MGA", "MKD", "MMK", "MNT", "MOP", "MRU", "MUR", "MVR", "MWK", "MXN",
+    "MYR", "MZN", "NAD", "NGN", "NIO", "NOK", "NPR", "NZD", "OMR", "PAB", "PEN", "PGK", "PHP", "PKR",
+    "PLN", "PYG", "QAR", "RON", "RSD", "RUB", "RWF", "SAR", "SBD", "SCR", "SDG", "SEK", "SGD", "SHP",
+    "SLL", "SOS", "SPL", "SRD", "STN", "SVC", "SYP", "SZL", "THB", "TJS", "TMT", "TND", "TOP", "TRY",
+    "TTD", "TVD", "TWD", "TZS", "UAH", "UGX", "USD", "UYU", "UZS", "VEF", "VES", "VND", "VUV", "WST",
+    "XAF", "XCD", "XDR", "XOF", "XPF", "YER", "ZAR", "ZMW", "ZWD",
+)
 
 
 def _strings(*names: str) -> list[StructField]:
@@ -121,22 +123,22 @@ def wrapped(record: StructType, wrapper: str) -> StructType:
 TRANSACTIONS_DDL = (
     "transaction_id string, transaction_uuid string, occurred_time timestamp, updated_time timestamp, "
     "user_id string, user_uuid string, user_name string, merchant_name string, raw_merchant_name string, "
-    "card_id string, card_uuid string, budget_id string, budget_uuid string, original_amount double, "
-    "original_currency string, amount_usd double, exchange_rate double, fx_source string, "
+    "card_id string, card_uuid string, budget_id string, budget_uuid string, original_amount decimal(38,9), "
+    "original_currency string, amount_usd decimal(38,9), exchange_rate double, fx_source string, "
     "idempotency_key string, raw_payload string, ingested_at timestamp"
 )
 CARDS_DDL = (
     "card_id string, card_uuid string, name string, user_id string, user_uuid string, budget_id string, "
     "budget_uuid string, last_four string, valid_thru string, status string, type string, "
-    "share_budget_funds boolean, recurring boolean, recurring_limit double, current_limit double, "
-    "current_spent double, created_time timestamp, updated_time timestamp, last_synced_day string, "
+    "share_budget_funds boolean, recurring boolean, recurring_limit decimal(38,9), current_limit decimal(38,9), "
+    "current_spent decimal(38,9), created_time timestamp, updated_time timestamp, last_synced_day string, "
     "source string, ingested_at timestamp"
 )
 BUDGETS_DDL = (
     "budget_id string, budget_uuid string, name string, description string, retired boolean, "
-    "start_date date, recurring_interval string, timezone string, limit_amount double, "
-    "overspend_buffer double, assigned_amount double, spent_cleared double, spent_pending double, "
-    "spent_total double, sync_day string, created_at timestamp, updated_at timestamp, source string"
+    "start_date date, recurring_interval string, timezone string, limit_amount decimal(38,9), "
+    "overspend_buffer decimal(38,9), assigned_amount decimal(38,9), spent_cleared decimal(38,9), spent_pending decimal(38,9), "
+    "spent_total decimal(38,9), sync_day string, created_at timestamp, updated_at timestamp, source string"
 )
 AGENTS_DDL = (
     "agent_id bigint, email string, name string, job_title string, language string, mobile string, "
@@ -164,10 +166,13 @@ QUARANTINE_DDL = (
     "entity string, record_key string, error_type string, error_message string, raw_record string, "
     "sync_day string, created_at timestamp"
 )
+#: Columns that a scan adds to each record: the file it came from, and when that was written.
+FILE, FILE_TIME = "_file", "_file_time"
 PIPELINE_STATE_DDL = "pipeline_name string, last_processed_time timestamp"
 PIPELINE_METRICS_DDL = (
     "flow_run_id string, task_name string, pipeline_name string, table_name string, day string, "
-    "rows_inserted bigint, rows_updated bigint, rows_deleted bigint, rows_affected bigint, status string, "
+    "rows_inserted bigint, rows_updated bigint, rows_deleted bigint, rows_stale bigint, rows_kept bigint, "
+    "rows_reassigned bigint, rows_recomputed bigint, rows_affected bigint, status string, "
     "error_message string, started_at timestamp, finished_at timestamp, duration_seconds double"
 )
 FX_RATES_DDL = "fx_date date, currency string, usd_quote double"

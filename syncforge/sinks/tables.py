@@ -1,18 +1,19 @@
-"""Table store on shared storage (A-11..A-13, A-16, K-03).
-
-* **Core tables** are versioned: each merge writes a complete new version
-  folder ``<root>/<table>/v=<n>`` and only then becomes current (the reader
-  picks the highest version whose ``_SUCCESS`` marker exists). A plan never
-  overwrites the folder it reads, and a failed write leaves the previous
-  version current. Older versions can be dropped by ``vacuum``.
-* **Staging, quarantine** have a folder per day (quarantine also per step)
-  that is replaced as a whole, so re-running a day replaces exactly that
-  day's rows, also when it now has none.
-* **Incremental core tables** (large entities fed by daily deltas) are
-  merge-on-read: a base snapshot plus delta layers of changed rows; the
-  merge reads only stored rows whose keys are staged and writes only the
-  rows it changed; ``compact`` folds the layers into a new base.
-* **Logs** (history, metrics) are appended.
+"""Table store on shared storage (A-11..A-13, A-16, J-10..J-12, K-03).
+
+* **Complete tables** (agents, groups, roles: daily snapshots touch every row)
+  are versioned: each merge writes a new folder ``<table>/v=<n>``; the reader
+  takes the highest one with a ``_SUCCESS`` marker. A plan never overwrites
+  the folder it reads. Older versions stay unless ``keep_versions`` is given.
+* **Bucketed tables** (transactions, cards, budgets: daily deltas) are
+  partitioned by the hash of their key. A merge reads the buckets that the
+  staged keys fall into (dynamic partition pruning), writes their next state
+  to a staging folder, and only when that is complete switches the folders of
+  these buckets. A switch that died half way is repeated from the staging
+  folder, so its cost and its effect are those of the day's keys alone.
+* **Staging, quarantine, logs** have a folder per day and step that is replaced
+  as a whole, also by no rows.
+* **Ledger**: one marker per run of a day and step, written after all of the
+  step's tables; what it holds is what the step reported.
 
 Paths go through the Hadoop FileSystem API, so the same code runs on local
 disk, HDFS or an object store.
@@ -20,16 +21,31 @@ disk, HDFS or an object store.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from syncforge.functions.keys import bucket_of
+
+BUCKET = "bucket"
+LEDGER = "_ledger"
+SWITCH = "_switch"
+
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, keep_versions: int | None = None):
+        """``buckets``: folders of each bucketed table, fixed for the life of the store."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep_versions = keep_versions
+        known = self.read_note("_buckets")
+        if known is not None and known != buckets:
+            raise ValueError(f"this store has {known} buckets a table, not {buckets}")
+        self.buckets = buckets
+        if known is None:
+            self.write_note("_buckets", buckets)
 
     # -- filesystem helpers -------------------------------------------------
     def _fs(self, path: str):
@@ -41,170 +57,164 @@ class TableStore:
         p, fs = self._fs(path)
         return fs.exists(p)
 
+    def _names(self, path: str) -> list[str]:
+        p, fs = self._fs(path)
+        return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+    def _delete(self, path: str) -> None:
+        p, fs = self._fs(path)
+        if fs.exists(p):
+            fs.delete(p, True)
+
+    def _numbers(self, path: str, prefix: str) -> list[int]:
+        return sorted(int(n[len(prefix):]) for n in self._names(path) if n.startswith(prefix) and n[len(prefix):].isdigit())
+
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    # -- versioned core tables ----------------------------------------------
+    # -- notes: single values beside the tables -----------------------------
+    def write_note(self, name: str, value) -> None:
+        p, fs = self._fs(f"{self.root}/{name}.json")
+        out = fs.create(p, True)
+        out.write(json.dumps(value).encode())
+        out.close()
+
+    def read_note(self, name: str):
+        path = f"{self.root}/{name}.json"
+        if not self._exists(path):
+            return None
+        p, fs = self._fs(path)
+        source = fs.open(p)
+        try:
+            return json.loads(bytes(source.readAllBytes()))
+        finally:
+            source.close()
+
+    # -- ledger -------------------------------------------------------------
+    def run_number(self, day: str) -> int:
+        """The unfinished run of this day, else the next number."""
+        known = self._numbers(self.path(LEDGER), "run=")
+        for n in reversed(known):
+            if self.read_note(f"{LEDGER}/run={n}/_day") == day and not self.committed(n, "_finished"):
+                return n
+        n = max(known, default=0) + 1
+        self.write_note(f"{LEDGER}/run={n}/_day", day)
+        return n
+
+    def finished_run(self, day: str) -> int | None:
+        """The last finished run of this day."""
+        for n in reversed(self._numbers(self.path(LEDGER), "run=")):
+            if self.read_note(f"{LEDGER}/run={n}/_day") == day and self.committed(n, "_finished"):
+                return n
+        return None
+
+    def committed(self, run: int, step: str) -> bool:
+        return self._exists(f"{self.path(LEDGER)}/run={run}/{step}.json")
+
+    def commit(self, run: int, step: str, report=None) -> None:
+        self.write_note(f"{LEDGER}/run={run}/{step}", report)
+
+    def report(self, run: int, step: str):
+        return self.read_note(f"{LEDGER}/run={run}/{step}")
+
+    # -- versioned tables ---------------------------------------------------
     def versions(self, table: str) -> list[int]:
-        p, fs = self._fs(self.path(table))
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-                try:
-                    out.append(int(name[2:]))
-                except ValueError:
-                    pass
-        return sorted(out)
-
-    def current_version(self, table: str) -> int | None:
-        v = self.versions(table)
+        return [v for v in self._numbers(self.path(table), "v=") if self._exists(f"{self.path(table)}/v={v}/_SUCCESS")]
+
+    def current_version(self, table: str, below: int | None = None) -> int | None:
+        v = [x for x in self.versions(table) if below is None or x < below]
         return v[-1] if v else None
 
-    def read(self, table: str, ddl: str) -> DataFrame:
-        """Current version, or an empty frame of ``ddl`` before the first write."""
-        v = self.current_version(table)
+    def read(self, table: str, ddl: str, below: int | None = None) -> DataFrame:
+        """Current version (with ``below``, the last one before that), or an empty frame of ``ddl``."""
+        v = self.current_version(table, below)
         if v is None:
             return self.spark.createDataFrame([], ddl)
-        df = self.spark.read.parquet(f"{self.path(table)}/v={v}")
-        want = self.spark.createDataFrame([], ddl).schema
-        return df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in want.fields])
+        return self.spark.read.schema(ddl).parquet(f"{self.path(table)}/v={v}")
 
-    def write_version(self, table: str, df: DataFrame) -> int:
-        """Write ``df`` as the next version; returns its number."""
-        v = (self.current_version(table) or 0) + 1
+    def write_version(self, table: str, df: DataFrame, version: int | None = None) -> int:
+        """Write ``df`` as the next version, or as the given one (replacing what an uncommitted run left there)."""
+        v = version if version is not None else (self.current_version(table) or 0) + 1
         df.write.mode("overwrite").parquet(f"{self.path(table)}/v={v}")
+        if self.keep_versions:
+            self.vacuum(table, self.keep_versions)
         return v
 
     def vacuum(self, table: str, keep: int = 2) -> None:
         for v in self.versions(table)[:-keep]:
-            p, fs = self._fs(f"{self.path(table)}/v={v}")
-            fs.delete(p, True)
+            self._delete(f"{self.path(table)}/v={v}")
 
-    # -- incremental (merge-on-read) core tables ----------------------------
-    # Layout: <table>/base=<n>/ full snapshots and <table>/delta=<n>/ changed
-    # rows, numbered on one counter. The current state is the latest base plus
-    # every later delta, newest row per key winning. A day's merge writes only
-    # its inserted/updated rows, so its cost follows the delta, not the table.
-    def _numbered(self, table: str, prefix: str) -> list[int]:
-        p, fs = self._fs(self.path(table))
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith(prefix + "=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-                try:
-                    out.append(int(name[len(prefix) + 1:]))
-                except ValueError:
-                    pass
-        return sorted(out)
-
-    def _layers(self, table: str) -> list[tuple[int, str]]:
-        bases = self._numbered(table, "base")
-        b = bases[-1] if bases else 0
-        layers = [(b, f"{self.path(table)}/base={b}")] if bases else []
-        layers += [(d, f"{self.path(table)}/delta={d}") for d in self._numbered(table, "delta") if d > b]
-        return layers
-
-    def _next_number(self, table: str) -> int:
-        nums = self._numbered(table, "base") + self._numbered(table, "delta")
-        return (max(nums) if nums else 0) + 1
-
-    def _stacked(self, table: str, ddl: str, key_filter: DataFrame | None, keys: Sequence[str]) -> DataFrame | None:
-        want = self.spark.createDataFrame([], ddl).schema
-        frames = []
-        for n, path in self._layers(table):
-            df = self.spark.read.parquet(path)
-            df = df.select(
-                *[F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in want.fields],
-                F.lit(n).alias("_layer"),
-            )
-            if key_filter is not None:
-                df = df.join(key_filter, list(keys), "left_semi")
-            frames.append(df)
-        if not frames:
-            return None
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out
+    # -- bucketed tables ----------------------------------------------------
+    def bucket(self, *keys):
+        return bucket_of(self.buckets, *keys).alias(BUCKET)
 
-    def read_current(self, table: str, ddl: str, keys: Sequence[str], touched_keys: DataFrame | None = None) -> DataFrame:
-        """Current rows (newest layer per key); only keys in ``touched_keys`` if given.
+    def touched(self, keys: DataFrame, *names: str) -> DataFrame:
+        """The buckets these keys fall into: at most ``buckets`` rows, whatever the size of ``keys``."""
+        return keys.select(self.bucket(*names)).where(F.col(BUCKET) >= 0).distinct()
 
-        With ``touched_keys`` each layer is semi-joined with them; the scan
-        still reads every stored row's key.
-        """
-        from syncforge.operators.dedup import latest_per_key
+    def read_buckets(self, table: str, ddl: str, touched: DataFrame | None = None) -> DataFrame:
+        """Stored rows with their ``bucket``; with ``touched`` only of those buckets, found at run time.
 
-        kf = None
-        if touched_keys is not None:
-            kf = touched_keys.select(*keys).distinct()
-        stacked = self._stacked(table, ddl, kf, keys)
-        if stacked is None:
-            return self.spark.createDataFrame([], ddl)
-        return latest_per_key(stacked, list(keys), ["_layer desc"], tie_break=[]).drop("_layer")
-
-    def ids_matching(
-        self, table: str, ddl: str, id_cols: Sequence[str], column: str, values: DataFrame
-    ) -> DataFrame:
-        """Distinct ids of stored rows (any layer) whose ``column`` is in ``values``."""
-        v = values.select(column).distinct()
-        stacked = self._stacked(table, ddl, v, [column])
-        if stacked is None:
-            return self.spark.createDataFrame([], self.spark.createDataFrame([], ddl).select(*id_cols).schema)
-        return stacked.select(*id_cols).distinct()
-
-    def delta_count(self, table: str) -> int:
-        return max(0, len(self._layers(table)) - (1 if self._numbered(table, "base") else 0))
-
-    def write_changes(self, table: str, changed: DataFrame) -> int:
-        """Append one delta layer (the rows a merge inserted or updated)."""
-        n = self._next_number(table)
-        changed.write.mode("overwrite").parquet(f"{self.path(table)}/delta={n}")
-        return n
-
-    def compact(self, table: str, ddl: str, keys: Sequence[str]) -> int:
-        """Fold base + deltas into a new base (a full rewrite, run periodically)."""
-        n = self._next_number(table)
-        self.read_current(table, ddl, keys).write.mode("overwrite").parquet(f"{self.path(table)}/base={n}")
-        return n
-
-    # -- partitioned staging / quarantine -----------------------------------
+        The broadcast holds a number a bucket, and Spark prunes the folders by it.
+        """
+        path = f"{self.path(table)}/current"
+        schema = f"{ddl}, {BUCKET} int"
+        if not any(n.startswith(f"{BUCKET}=") for n in self._names(path)):
+            return self.spark.createDataFrame([], schema)
+        df = self.spark.read.schema(schema).parquet(path)
+        return df if touched is None else df.join(F.broadcast(touched), BUCKET, "left_semi")
+
+    def staged_buckets(self, table: str, run: int) -> str | None:
+        """The complete staging folder of a run, if there is one."""
+        path = f"{self.root}/{SWITCH}/run={run}/{table}"
+        return path if self._exists(f"{path}/_SUCCESS") else None
+
+    def stage_buckets(self, table: str, run: int, rows: DataFrame) -> str:
+        """Write the next state of the buckets of ``rows`` (with their ``bucket``) beside the table."""
+        path = f"{self.root}/{SWITCH}/run={run}/{table}"
+        # one task a bucket where buckets are small, several where they are not
+        rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        return path
+
+    def has_staged(self, table: str, run: int, bucket: int) -> bool:
+        return self._exists(f"{self.root}/{SWITCH}/run={run}/{table}/{BUCKET}={bucket}")
+
+    def switch_buckets(self, table: str, run: int, emptied: Sequence[int] = ()) -> None:
+        """Put the staged buckets in the place of the stored ones; may be repeated until it went through."""
+        path = f"{self.root}/{SWITCH}/run={run}/{table}"
+        current = f"{self.path(table)}/current"
+        p, fs = self._fs(current)
+        fs.mkdirs(p)
+        for b in emptied:
+            self._delete(f"{current}/{BUCKET}={b}")
+        for name in self._names(path):
+            if name.startswith(f"{BUCKET}="):
+                self._delete(f"{current}/{name}")
+                to, fs = self._fs(f"{current}/{name}")
+                if not fs.rename(self._fs(f"{path}/{name}")[0], to):
+                    raise OSError(f"cannot move {path}/{name}")
+
+    def drop_staged(self, run: int) -> None:
+        self._delete(f"{self.root}/{SWITCH}/run={run}")
+
+    # -- staging, quarantine, logs: a folder per day and step ----------------
     def overwrite_partitions(self, table: str, df: DataFrame, partition_by: Sequence[str]) -> None:
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partition_by)
-            .parquet(self.path(table))
-        )
-
-    def overwrite_folder(self, table: str, df: DataFrame, **parts: str) -> DataFrame:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(self.path(table))
+
+    def overwrite_folder(self, table: str, df: DataFrame, **parts) -> DataFrame:
         """Replace one partition folder, also by an empty frame; returns the rows read back."""
         path = "/".join([self.path(table), *(f"{k}={v}" for k, v in parts.items())])
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def read_partitioned(self, table: str, ddl: str) -> DataFrame:
-        if not self._exists(self.path(table)):
+        """All rows of a partitioned table, in the declared types; names of folders that ``ddl`` lacks come last."""
+        if not self._names(self.path(table)):
             return self.spark.createDataFrame([], ddl)
-        return self.spark.read.parquet(self.path(table))
+        return self.spark.read.schema(ddl).parquet(self.path(table))
+
+    read_log = read_partitioned
 
     def drop_partition(self, table: str, column: str, value: str) -> None:
         """A-16: remove a processed staging partition."""
-        p, fs = self._fs(f"{self.path(table)}/{column}={value}")
-        if fs.exists(p):
-            fs.delete(p, True)
-
-    # -- append-only logs ---------------------------------------------------
-    def append(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        w = df.write.mode("append")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(self.path(table))
-
-    def read_log(self, table: str, ddl: str) -> DataFrame:
-        return self.read_partitioned(table, ddl)
+        self._delete(f"{self.path(table)}/{column}={value}")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from syncforge import schemas as S
+from syncforge.sources.lineage import with_lineage
 from syncforge.sources.readers import read_optional
 
 
@@ -44,4 +45,5 @@ def day_path(base: str, day: str, folder: str) -> str:
 def read_day(spark: SparkSession, base: str, day: str, name: str, multiline: bool = True) -> tuple[DataFrame, bool]:
     """(raw frame, present) for one entity of one day."""
     src = SOURCES[name]
-    return read_optional(spark, day_path(base, day, src.folder), "json", src.schema, multiline)
+    raw, present = read_optional(spark, day_path(base, day, src.folder), "json", src.schema, multiline)
+    return (with_lineage(raw) if present else raw), present

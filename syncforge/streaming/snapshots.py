@@ -1,11 +1,15 @@
 """Structured Streaming driver for the envelope entities (K, optional).
 
 New snapshot files under ``<base>/sync-*/<folder>/`` are picked up by a file
-stream with the entity's declared schema; each micro-batch runs the same
-transform and merge as the batch flow (``foreachBatch``). The stream's
-checkpoint records which files were processed, so a restart continues where
-it stopped; a replayed micro-batch re-applies the same merge, which is
-idempotent (merging a batch twice equals merging it once).
+stream with the entity's declared schema. A micro-batch is a day of the flow:
+``foreachBatch`` runs the entity's step on its records, with its own run in
+the store's ledger, so quarantine, key check, watermark, history and metrics
+are those of the batch flow, in the same tables and the same layout. The
+day of a record, and which record of a key came last, follow from the file it
+came from, so one micro-batch may hold many days.
+
+The stream's checkpoint records which files were processed; a replayed
+micro-batch finds its run finished in the ledger and changes nothing.
 
 ``trigger(availableNow=True)`` turns this into an incremental batch job:
 process what arrived since the last run, then stop.
@@ -17,45 +21,24 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from syncforge import schemas as S
-from syncforge.operators.merge import merge_latest
-from syncforge.plans.entities import budgets, cards, transactions
-from syncforge.plans.flow import INCREMENTAL
+from syncforge.plans.flow import BUCKETED, DayContext, finish, run_step
 from syncforge.sinks.tables import TableStore
+from syncforge.sources.lineage import with_lineage
 from syncforge.sources.snapshots import SOURCES
 
-QUARANTINE = "quarantine"
-
-
-def _apply(name: str, store: TableStore, fx_rates: DataFrame | None):
-    ddl, keys = INCREMENTAL[name]
-
-    def run(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        day = f"stream-{epoch_id}"
-        merge_kw: dict = {}
-        if name == "transactions":
-            rates = fx_rates if fx_rates is not None else spark.createDataFrame([], S.FX_RATES_DDL)
-            valid, errors = transactions.transform(batch, rates, day, run_ts)
-            merge_kw = dict(
-                guard="updated_time", null_guard="accept_if_stored_null", staging_order=["updated_time desc_nulls_last"]
-            )
-        elif name == "cards":
-            valid, errors = cards.transform(batch, day, run_ts)
-        elif name == "budgets":
-            valid, errors = budgets.transform(batch, day, run_ts)
-            valid = budgets.to_core(valid, run_ts)
-            merge_kw = dict(keep=["created_at"])
-        else:
-            raise ValueError(f"streaming supports budgets, cards, transactions, not {name!r}")
-        store.overwrite_partitions(QUARANTINE, errors, ["entity", "sync_day"])
-        # same merge-on-read layout as the batch flow: read only the stored
-        # rows of the batch's keys, append their outcomes as one layer
-        current = store.read_current(name, ddl, keys, touched_keys=valid)
-        store.write_changes(name, merge_latest(current, valid, keys, **merge_kw))
 
-    return run
+def apply_batch(name: str, store: TableStore, batch: DataFrame, epoch_id: int, fx_rates: DataFrame | None = None) -> bool:
+    """Run one micro-batch, once; False if it was applied before."""
+    if name not in BUCKETED:
+        raise ValueError(f"streaming supports {', '.join(sorted(BUCKETED))}, not {name!r}")
+    day = f"stream-{name}-{epoch_id}"
+    if store.finished_run(day) is not None:
+        return False
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    ctx = DayContext(batch.sparkSession, "", day, store, now, day, fx_rates, raw={name: batch})
+    run_step(ctx, name)
+    finish(ctx)
+    return True
 
 
 def sync_stream(
@@ -69,12 +52,14 @@ def sync_stream(
     max_files_per_trigger: int | None = None,
 ):
     """Start the stream for one entity; returns the StreamingQuery."""
+    if name not in BUCKETED:
+        raise ValueError(f"streaming supports {', '.join(sorted(BUCKETED))}, not {name!r}")
     src = SOURCES[name]
     reader = spark.readStream.schema(src.schema).option("multiLine", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(f"{base.rstrip('/')}/sync-*/{src.folder}/")
-    writer = stream.writeStream.foreachBatch(_apply(name, store, fx_rates)).option(
+    stream = with_lineage(reader.json(f"{base.rstrip('/')}/sync-*/{src.folder}/"))
+    writer = stream.writeStream.foreachBatch(lambda batch, epoch: apply_batch(name, store, batch, epoch, fx_rates) and None).option(
         "checkpointLocation", checkpoint_location
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
