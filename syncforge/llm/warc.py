@@ -44,7 +44,7 @@ from pyspark.sql.window import Window
 from syncforge.session import checkpoint_dir
 
 from . import buffers as B
-from .staging import settled
+from .staging import settled, written
 
 # The version line and the profile of the WARC 1.1 standard.
 VERSION = b"WARC/1.1\r\n"
@@ -62,7 +62,7 @@ _FIELD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)")
 def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import zstandard
 
-    squeeze = zstandard.ZstdCompressor(level=3).compress
+    squeeze = zstandard.ZstdCompressor(level=12).compress
     for b in B.blocks(batches, "html"):
         raw = [x or b"" for x in b.column("html").cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays(
@@ -124,11 +124,11 @@ def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", h
     """Writes the archive files of ``pages`` under ``path``."""
     base = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"))
     text = F.coalesce("html", F.lit(""))
-    narrow = settled(_keyed(base.select("page_id", "url", F.unhex(F.sha1(text)).alias("digest"), F.octet_length(text).cast("long").alias("bytes"))).groupBy(*_ROW).agg(F.count("*").alias("copies")))
+    narrow = written(_keyed(base.select("page_id", "url", F.unhex(F.sha1(text)).alias("digest"), F.octet_length(text).cast("long").alias("bytes"))).groupBy(*_ROW).agg(F.count("*").alias("copies")))
     small = F.col("bytes") < least_bytes
     own = F.struct("no_k", "k", "no_u", "u")
     grouped = narrow.where(~small).groupBy("digest", "bytes").agg(F.min(own).alias("f"), F.sum("copies").alias("total"))
-    firsts = settled(grouped.select("digest", "bytes", "total", "f.*"))
+    firsts = written(grouped.select("digest", "bytes", "total", "f.*"))
     named = [F.col("no_k").alias("no_fk"), F.col("k").alias("fk"), F.col("no_u").alias("no_fu"), F.col("u").alias("fu")]
     # equal rows meet in their task first; the aggregate and the join share one exchange
     schema = "page_id long, url string, digest binary, bytes long, packed binary"
@@ -287,7 +287,7 @@ def _entries(links: DataFrame, bases: DataFrame, most: int) -> DataFrame:
     nodes = nodes.select("file", "block", "rel", (F.col("base") + F.col("rel")).alias("at"), F.when(F.col("leaves") >= 0, F.col("base") + F.col("leaves")).alias("next"))
     # only starts of files and places where some chain enters a split
     targets = nodes.where("next IS NOT NULL").select("file", F.col("next").alias("at")).unionByName(nodes.select("file").distinct().select("file", F.lit(0).cast("long").alias("at"))).distinct()
-    nodes = settled(nodes.join(targets, ["file", "at"], "left_semi"))
+    nodes = written(nodes.join(targets, ["file", "at"], "left_semi"))
     reached = nodes.where("at = 0").select("file", "at")
     jumps = nodes.where("next IS NOT NULL").select("file", "at", "next")
     hop = 1
@@ -346,7 +346,7 @@ def read(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
 
     With ``payload`` also the bytes (null for revisits), which then cross the network once.
     """
-    links = settled(_pieces(spark, path).mapInArrow(_links, _LINKS_DDL))
+    links = written(_pieces(spark, path).mapInArrow(_links, _LINKS_DDL))
     totals = links.groupBy("file", "block").agg(F.max(F.col("rel") + F.col("size")).alias("total"))
     by_file = Window.partitionBy("file").orderBy("block")  # a row a split
     bases = settled(totals.select("file", "block", "total", (F.sum("total").over(by_file) - F.col("total")).alias("base"), F.count("*").over(Window.partitionBy("file")).alias("splits")))
@@ -354,7 +354,7 @@ def read(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
     entries = _entries(links, bases, most)
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in links.schema if f.name != "leaves"]
     marked = links.join(entries, ["file", "block"]).groupBy("file", "block").applyInPandas(_mark, ", ".join(kinds))
-    marked = settled(marked.join(bases.select("file", "block", "base"), ["file", "block"]).withColumn("offset", F.col("base") + F.col("rel")))
+    marked = written(marked.join(bases.select("file", "block", "base"), ["file", "block"]).withColumn("offset", F.col("base") + F.col("rel")))
     whole = F.col("record_type").isNotNull()
     done = marked.where(whole).select("file", "offset", *_PARSED, "block", "rel")
     n_broken = marked.where(~whole).count()
