@@ -62,7 +62,7 @@ _FIELD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)")
 def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import zstandard
 
-    squeeze = zstandard.ZstdCompressor(level=12).compress
+    squeeze = zstandard.ZstdCompressor(level=5).compress
     for b in B.blocks(batches, "html"):
         raw = [x or b"" for x in b.column("html").cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays(
