@@ -449,10 +449,14 @@ def finish(ctx: DayContext) -> None:
     ctx.store.drop_staged(ctx.run)
 
 
-def backfill(spark: SparkSession, base: str, days, store: TableStore, restart: bool = False, **kw) -> dict:
-    """M-02: days in order; each day reads what the previous one wrote. ``restart`` skips days that a run has finished."""
+def backfill(spark: SparkSession, base: str, days, store: TableStore, restart: bool = False, run_ts=None, **kw) -> dict:
+    """M-02: days in order; each day reads what the previous one wrote.
+
+    ``restart`` skips days that a run has finished. ``run_ts``: the run time
+    of all days, or a function of the day.
+    """
     out = {}
     for d in map(str, days):
         done = store.finished_run(d) if restart else None
-        out[d] = store.report(done, "_finished") if done is not None else run_day(spark, base, d, store, **kw)
+        out[d] = store.report(done, "_finished") if done is not None else run_day(spark, base, d, store, run_ts=run_ts(d) if callable(run_ts) else run_ts, **kw)
     return out
