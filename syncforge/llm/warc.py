@@ -52,6 +52,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
 RESPONSE, REVISIT = "response", "revisit"
 DATE = "2020-01-01T00:00:00Z"
+#: Pages, and characters of each, whose text is the dictionary of the packed payloads (it changes their size alone).
+SAMPLE_PAGES, SAMPLE_CHARS = 64, 4096
 _UNSAFE = re.compile(r"[^\x21-\x7e]+")
 _FIELD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)")
 
@@ -59,22 +61,31 @@ _FIELD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)")
 # writing
 
 
-def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _dictionary(raw: bytes):
     import zstandard
 
-    squeeze = zstandard.ZstdCompressor(level=5).compress
-    for b in B.blocks(batches, "html"):
-        raw = [x or b"" for x in b.column("html").cast(pa.binary()).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [
-                b.column("page_id"),
-                b.column("url"),
-                pa.array([hashlib.sha1(x).digest() for x in raw], pa.binary()),
-                pa.array([len(x) for x in raw], pa.int64()),
-                pa.array([squeeze(x) for x in raw], pa.binary()),
-            ],
-            names=["page_id", "url", "digest", "bytes", "packed"],
-        )
+    return zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if raw else None
+
+
+def _packed(shared: bytes):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        squeeze = zstandard.ZstdCompressor(level=5, dict_data=_dictionary(shared)).compress
+        for b in B.blocks(batches, "html"):
+            raw = [x or b"" for x in b.column("html").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column("page_id"),
+                    b.column("url"),
+                    pa.array([hashlib.sha1(x).digest() for x in raw], pa.binary()),
+                    pa.array([len(x) for x in raw], pa.int64()),
+                    pa.array([squeeze(x) for x in raw], pa.binary()),
+                ],
+                names=["page_id", "url", "digest", "bytes", "packed"],
+            )
+
+    return run
 
 
 def _keyed(rows: DataFrame) -> DataFrame:
@@ -106,18 +117,21 @@ def record(kind: str, page: int | None, url: str | None, digest: bytes, payload:
     return VERSION + "\r\n".join(lines).encode() + END.encode() + block
 
 
-def _records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import zstandard
+def _records(shared: bytes):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
 
-    opened = zstandard.ZstdDecompressor()
-    for b in batches:
-        out = []
-        for r in b.to_pylist():
-            page, url = None if r["no_k"] else r["k"], None if r["no_u"] else r["u"]
-            first = (None if r["no_fk"] else r["fk"], None if r["no_fu"] else r["fu"])
-            payload = None if r["packed"] is None else opened.decompress(r["packed"], max_output_size=r["bytes"]) if r["bytes"] else b""
-            out.append(record(r["kind"], page, url, r["digest"], payload, r["bytes"], r["copy"], first if r["kind"] == REVISIT else None))
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string())], names=["value"])
+        opened = zstandard.ZstdDecompressor(dict_data=_dictionary(shared))
+        for b in batches:
+            out = []
+            for r in b.to_pylist():
+                page, url = None if r["no_k"] else r["k"], None if r["no_u"] else r["u"]
+                first = (None if r["no_fk"] else r["fk"], None if r["no_fu"] else r["fu"])
+                payload = None if r["packed"] is None else opened.decompress(r["packed"], max_output_size=r["bytes"]) if r["bytes"] else b""
+                out.append(record(r["kind"], page, url, r["digest"], payload, r["bytes"], r["copy"], first if r["kind"] == REVISIT else None))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string())], names=["value"])
+
+    return run
 
 
 def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = 0) -> None:
@@ -130,9 +144,12 @@ def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", h
     grouped = narrow.where(~small).groupBy("digest", "bytes").agg(F.min(own).alias("f"), F.sum("copies").alias("total"))
     firsts = written(grouped.select("digest", "bytes", "total", "f.*"))
     named = [F.col("no_k").alias("no_fk"), F.col("k").alias("fk"), F.col("no_u").alias("no_fu"), F.col("u").alias("fu")]
+    # pages have much markup in common: a bounded sample of it is what the packed payloads refer to
+    sample = base.where(F.octet_length("html") > 0).select(F.substring("html", 1, SAMPLE_CHARS)).limit(SAMPLE_PAGES).collect()
+    shared = "".join(r[0] for r in sample).encode()
     # equal rows meet in their task first; the aggregate and the join share one exchange
     schema = "page_id long, url string, digest binary, bytes long, packed binary"
-    unique = _keyed(base.mapInArrow(_packed, schema)).groupBy(*_ROW).agg(F.first("packed").alias("packed"), F.count("*").alias("copies"))
+    unique = _keyed(base.mapInArrow(_packed(shared), schema)).groupBy(*_ROW).agg(F.first("packed").alias("packed"), F.count("*").alias("copies"))
     wanted = firsts.select(*_ROW).unionByName(narrow.where(small).select(*_ROW)) if least_bytes > 0 else firsts.select(*_ROW)
     copies = F.when(small, F.col("copies")).otherwise(1) if least_bytes > 0 else F.lit(1)
     responses = unique.join(wanted, _ROW).withColumn("copy", F.explode(F.sequence(F.lit(0), copies.cast("int") - 1)))
@@ -142,7 +159,7 @@ def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", h
     from_ = F.when(is_first, 1).otherwise(0)
     again = again.where(F.col("copies") > from_).withColumn("copy", F.explode(F.sequence(from_, F.col("copies").cast("int") - 1)))
     revisits = again.select(F.lit(REVISIT).alias("kind"), *_ROW, "copy", "no_fk", "fk", "no_fu", "fu", F.lit(None).cast("binary").alias("packed"))
-    rows = responses.unionByName(revisits).mapInArrow(_records, "value string")
+    rows = responses.unionByName(revisits).mapInArrow(_records(shared), "value string")
     rows.write.option("lineSep", END).option("compression", "none").text(path)
 
 
