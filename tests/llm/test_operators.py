@@ -349,6 +349,52 @@ def test_names_of_containers_are_no_proof(opening):
     assert html.main_text(page, weights) == "Head\none paragraph of the text\nand another paragraph of it"
 
 
+LABELLED = ["<body><nav><ul><li><a>Home</a></ul></nav><article><h1>T</h1><p>some words of text and more of them</p></article><div class=ad>ad</div><footer>foot</footer>"] * 5
+LONG = "comment " * 60
+ARTICLE = "<article><h1>Head</h1><p>one paragraph of the text</p><p>and another paragraph of it</p></article>"
+TEXT = "Head\none paragraph of the text\nand another paragraph of it"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"{ARTICLE}<section id=comments><h2>Comments</h2><p>{LONG}</p></section>", TEXT),
+        (f"<main>{ARTICLE}<div class=comments><p>{LONG}</p><article class=comment><p>{LONG}</p></article></div></main>", TEXT),
+        (f"<div class=post>{ARTICLE}<div class='reader-comments'><article><p>{LONG}</p></article></div></div>", TEXT),
+        (f"{ARTICLE}<div class=related><h3>More</h3><p>{LONG}</p></div>", TEXT),
+        (f"{ARTICLE}<div class=ad>buy this</div>{ARTICLE}", f"{TEXT}\n{TEXT}"),
+        (f"<div class=notice><p>{LONG}</p></div>{ARTICLE}", TEXT),
+        (ARTICLE.replace("<h1>", "<h1 class=alert>").replace("</p><p>", "</p><h2 class=alert>Mind this</h2><p>"), TEXT.replace("\nand", "\nMind this\nand")),
+        (f"<form id=page action=x><div class='sidebar-left'>{ARTICLE}</div><input></form>", TEXT),
+    ],
+)
+def test_layouts(page, text):
+    assert html.main_text(f"<body><nav><a>menu</a></nav>{page}<footer>foot</footer>", html.Weights.of(html.count(LABELLED))) == text
+
+
+def test_region_is_the_best_of_all():
+    rnd = random.Random(6)
+    for _ in range(400):
+        n = rnd.randint(0, 9)
+        scores, gaps = [rnd.choice([-3, -1, 1, 2, 5]) for _ in range(n)], [-rnd.choice([0.25, 1, 4]) for _ in range(n)]
+        sums = {(a, e): sum(scores[a:e]) + sum(gaps[a + 1 : e]) for a in range(n) for e in range(a + 1, n + 1)}
+        best = max(sums.values(), default=0)
+        want = min((r for r, x in sums.items() if x == best), key=lambda r: (r[1], -r[0]), default=(0, 0)) if best > 0 else (0, 0)
+        assert html.best_region(scores, gaps) == want
+
+
+def test_the_scan_decides():
+    """Links before the article score below zero and go; links inside it are bridged and stay."""
+    weights = html.Weights.of(html.count(LABELLED))
+    links = "<ul><li><a>one</a></li><li><a>two</a></li></ul>"
+    page = f"<body>{links}<p>{'word ' * 80}</p>{links}<p>{'text ' * 80}</p>{links}</body>"
+    blocks = html.blocks_of(page)
+    scores = [weights.of_block(b) for b in blocks]
+    got = html.main_text(page, weights).split("\n")
+    assert [b.text for b in blocks[2:6]] == got and len(blocks) == 8
+    assert [b.text for b, s in zip(blocks, scores, strict=True) if s > 0] != got  # a filter on blocks gives other text
+
+
 def test_extract_table(spark):
     page = "<body><nav><a href=x>menu item</a></nav><article><h1>Head</h1><p>{}</p></article><footer>foot</footer>"
     rows = [(i, f"u{i}", page.format(f"text number {i} of a page"), "x") for i in range(20)] + [(20, None, None, None), (20, "u", "", "y")]
