@@ -106,7 +106,9 @@ def test_keep_leaves_rows_as_they_are(docs):
 
 def test_licences(spark, docs):
     texts = ["Released under the MIT License.", "x Under-the MIT/license, CC BY-NC 4.0 cc by nc", "Apache License, Version 2.0; apache license version two", "under the mit", "All Rights Reserved", "under the mit license " * 3]
-    df = docs.select("doc_id", "text").unionByName(spark.createDataFrame(list(enumerate(texts, 100)), "doc_id long, text string"))
+    texts += ["cc by nc sa 4.0 and again CC-BY-NC-SA 4.0", "GNU Lesser General Public License, version 3", "version 3 of the gnu general public license", "nc by cc", " ".join(t.text for t in licenses.TEMPLATES)]
+    df = docs.unionByName(spark.createDataFrame(list(enumerate(texts, 100)), "doc_id long, text string"), allowMissingColumns=True)
+    df = df.withColumns({"words": df["text"], "found": df["text"]})  # clashing names
     got = sorted(map(tuple, licenses.scan(df).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels").collect()), key=str)
     want = []
     for k, t in pairs(df):
@@ -115,6 +117,12 @@ def test_licences(spark, docs):
         want.append((k, len(w), len(at), min((i for i, _ in at), default=None), max((i for i, _ in at), default=None), ",".join(sorted({x for _, x in at}))))
     assert got == sorted(want, key=str)
     score = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(df).where("doc_id >= 100").collect()}
+    for i, t in enumerate(texts, 100):  # all labels, over all templates and places
+        w = code_words(t)
+        own = [(x, j - x.key_at) for x in licenses.TEMPLATES for j in range(len(w)) if w[j : j + len(x.key_words)] == x.key_words]
+        best = max((sum(0 <= s + j < len(w) and w[s + j] == y for j, y in enumerate(x.words)) / len(x.words) for x, s in own), default=0.0)
+        assert score[i] == (",".join(sorted({x.label for x, _ in own})), pytest.approx(best))
+    assert len(licenses.TEMPLATES) > 130
     assert score[100] == ("mit", 1.0) and score[104] == ("all-rights-reserved", 1.0) and score[103] == ("", 0.0)
 
 
