@@ -11,7 +11,7 @@ from syncforge.functions.casts import (
     try_timestamp,
 )
 from syncforge.functions.columns import as_col, has_path
-from syncforge.functions.jsonpaths import first_path, parse_json, row_json
+from syncforge.functions.jsonpaths import parse_json, row_json
 from syncforge.functions.keys import bucket_of, idempotency_key, row_fingerprint
 
 __all__ = [
@@ -19,7 +19,6 @@ __all__ = [
     "as_col",
     "bucket_of",
     "empty_to_null",
-    "first_path",
     "has_path",
     "idempotency_key",
     "money_text",

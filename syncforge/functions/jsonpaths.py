@@ -8,12 +8,6 @@ from pyspark.sql import functions as F
 from syncforge.functions.columns import as_col
 
 
-def first_path(json_col, *paths: str) -> Column:
-    """Text at the first JSON path that is present (``$.a.b`` then ``$.b`` ...)."""
-    j = as_col(json_col)
-    return F.coalesce(*[F.get_json_object(j, p) for p in paths])
-
-
 def parse_json(json_col, schema) -> Column:
     """Parse a JSON text column once into a declared struct (B-07).
 

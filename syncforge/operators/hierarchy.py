@@ -11,7 +11,7 @@ Each group has at most one parent, so the hierarchy is a functional graph
 groups themselves are ignored, as are active ids that are not groups.
 
 Two distributed methods, same result (``auto``, the default, runs the
-first for up to 16 rounds and finishes with the second):
+first for up to ``switch_rounds`` rounds and finishes with the second):
 
 * ``frontier`` (default): breadth-first rounds. Each round joins only the
   newly activated groups with the edge table and removes groups already
@@ -72,6 +72,7 @@ def active_groups(
     direction: str = DESCENDANTS,
     method: str = "auto",
     checkpoint_every: int = 8,
+    switch_rounds: int = AUTO_SWITCH_ROUNDS,
 ) -> DataFrame:
     """Distinct ids (column ``id_col``) of the groups that count as active."""
     if direction not in (DESCENDANTS, ANCESTORS):
@@ -84,7 +85,7 @@ def active_groups(
         # Shallow hierarchies finish in a few cheap frontier rounds; a deep
         # one switches to pointer doubling, seeded with everything seen so
         # far (the same closure), so rounds stay <= switch + log2(depth).
-        out, done = _frontier(groups, seeds, id_col, parent_col, direction, checkpoint_every, AUTO_SWITCH_ROUNDS)
+        out, done = _frontier(groups, seeds, id_col, parent_col, direction, checkpoint_every, switch_rounds)
         if not done:
             out = _doubling(groups, out, id_col, parent_col, direction, checkpoint_every)
     elif method == "doubling":
@@ -220,6 +221,55 @@ def flag_inactive(
     )
 
 
+def _flow(groups: DataFrame, id_col: str, parent_col: str, direction: str) -> DataFrame:
+    """Edges (src, dst) along which activity spreads."""
+    e = _edges(groups, id_col, parent_col)
+    src, dst = ("child", "parent") if direction == DESCENDANTS else ("parent", "child")
+    return e.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
+
+
+def update_inactive(
+    groups: DataFrame,
+    stored: DataFrame,
+    own_before: DataFrame,
+    own_now: DataFrame,
+    id_col: str = "group_id",
+    parent_col: str = "parent_group_id",
+    direction: str = DESCENDANTS,
+    method: str = "auto",
+    flag_col: str = "inactive",
+    touched_col: str = "_recomputed",
+) -> DataFrame:
+    """``groups`` with the flag brought up to date after a change, and whether a group was looked at again.
+
+    ``stored`` holds the groups and their flags as they were with the active
+    members ``own_before`` (ids of groups); ``own_now`` are those of today.
+    A flag can only change where activity spreads to from a group that is new,
+    whose own members changed, or that gained or lost an edge. These groups
+    are closed along the edges; inside, activity starts at own members and at
+    unchanged active groups on the border; all other flags are taken over.
+    """
+    ids = groups.select(F.col(id_col).alias(_NODE)).where(F.col(_NODE).isNotNull()).distinct()
+    old_ids = stored.select(F.col(id_col).alias(_NODE))
+    before, now = (x.select(F.col(id_col).alias(_NODE)).distinct() for x in (own_before, own_now))
+    old_flow, flow = (_flow(x, id_col, parent_col, direction) for x in (stored, groups))
+    both = old_flow.withColumn("n", F.lit(-1)).unionByName(flow.withColumn("n", F.lit(1)))
+    edges = both.groupBy("src", "dst").agg(F.sum("n").alias("n")).where("n <> 0").select(F.col("dst").alias(_NODE))
+    members = before.withColumn("n", F.lit(-1)).unionByName(now.withColumn("n", F.lit(1))).groupBy(_NODE).agg(F.sum("n").alias("n")).where("n <> 0").select(_NODE)
+    changed = ids.join(old_ids, _NODE, "left_anti").unionByName(edges).unionByName(members).distinct()
+    touched = materialize(active_groups(groups, changed.select(F.col(_NODE).alias(id_col)), id_col, parent_col, None, direction, method))
+    alive = stored.where(~F.col(flag_col)).select(F.col(id_col).alias("src"))
+    border = flow.join(touched.select(F.col(id_col).alias("src")), "src", "left_anti").join(alive, "src", "left_semi")
+    inside = groups.join(touched, id_col, "left_semi")
+    seeds = now.unionByName(border.select(F.col("dst").alias(_NODE))).select(F.col(_NODE).alias(id_col))
+    act = active_groups(inside, seeds, id_col, parent_col, None, direction, method).withColumn("_is_act", F.lit(True))
+    flags = touched.join(act, id_col, "left").select(id_col, F.col("_is_act").isNull().alias("_new"), F.lit(True).alias(touched_col))
+    old = stored.select(id_col, F.col(flag_col).alias("_old"))
+    base = groups.drop(flag_col)
+    out = base.join(flags, id_col, "left").join(old, id_col, "left")
+    return out.select(*base.columns, F.coalesce("_new", "_old", F.lit(True)).alias(flag_col), F.coalesce(touched_col, F.lit(False)).alias(touched_col))
+
+
 def groups_with_active_members(
     membership: DataFrame,
     agents: DataFrame,

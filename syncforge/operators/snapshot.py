@@ -1,6 +1,7 @@
 """Per-day status snapshot keyed by (entity key, date) (J-03).
 
-The snapshot date is a parameter (the sync date), so a status flip without
+The upsert is a partition overwrite: a snapshot holds one date for every
+entity, so it replaces that date's folder and nothing else. The date is a parameter (the sync date), so a status flip without
 a new ``updated_at`` is recorded on the day it is seen; the reference's
 ``date(updated_at)`` keying is available as ``date_from``.
 """
@@ -10,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from syncforge.operators.merge import merge_latest
-
 
 def status_snapshot(
     entities: DataFrame,
@@ -31,8 +30,3 @@ def status_snapshot(
         day.alias("sync_date"),
         F.coalesce(F.col(status_col) == F.lit("active"), F.lit(False)).alias("is_active"),
     )
-
-
-def upsert_snapshot(history: DataFrame, snap: DataFrame, key: str = "agent_id") -> DataFrame:
-    """ON CONFLICT (key, sync_date) DO UPDATE is_active; returns history + ``_action``."""
-    return merge_latest(history, snap, keys=[key, "sync_date"])

@@ -10,14 +10,16 @@ from syncforge.functions import row_json, try_bool, try_long, try_timestamp
 from syncforge.operators.dedup import latest_per_key
 from syncforge.operators.envelope import nested_or_flat, unwrap
 from syncforge.operators.refer import flag_active
-from syncforge.operators.validate import required, split_valid
-from syncforge.schemas import AGENTS_DDL
+from syncforge.operators.validate import required, split_valid, to_quarantine
+from syncforge.schemas import AGENTS_DDL, CORRUPT
 
 ENTITY = "agents"
 # Quarantine type and message.
 ERROR_TYPE = "MISSING_REQUIRED_FIELD"
 MESSAGE = "agent_id, email, and name are required"
 
+UNREAD_LIST = ("UNREADABLE_ACTIVE_LIST", "active agents list could not be read")
+
 CONTACT_FIELDS = ("email", "name", "job_title", "language", "mobile", "phone", "time_zone")
 TARGET_COLUMNS = [c.split()[0] for c in AGENTS_DDL.split(", ")]
 
@@ -60,3 +62,18 @@ def transform(
     act = unwrap(active, "results").select(try_long("rec.id").alias("agent_id"))
     valid = flag_active(valid, act, "agent_id")
     return valid.select(*TARGET_COLUMNS), errors
+
+
+def unread_lists(active: DataFrame, day: str | None = None, run_ts=None) -> DataFrame:
+    """A-07: quarantine rows of the parts of the active list that could not be read."""
+    rec = unwrap(active, "results").select("rec.*")
+    if CORRUPT not in rec.columns:
+        rec = rec.withColumn(CORRUPT, F.lit(None).cast("string"))
+    return to_quarantine(rec.where(F.col(CORRUPT).isNotNull()), ENTITY, F.lit(None), F.col(CORRUPT), *UNREAD_LIST, day, run_ts)
+
+
+def keep_status(valid: DataFrame, stored: DataFrame) -> DataFrame:
+    """Agents that the list does not name keep the status they have."""
+    known = stored.select("agent_id", F.col("status").alias("_stored"))
+    status = F.when(F.col("status") == "inactive", F.coalesce("_stored", "status")).otherwise(F.col("status"))
+    return valid.join(known, "agent_id", "left").withColumn("status", status).drop("_stored")

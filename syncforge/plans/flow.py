@@ -34,8 +34,9 @@ from syncforge import schemas as S
 from syncforge.functions import try_long
 from syncforge.operators.assignments import merge_assignments
 from syncforge.operators.changes import assignment_changes
+from syncforge.operators.dedup import drop_null_keys
 from syncforge.operators.envelope import unwrap
-from syncforge.operators.hierarchy import DESCENDANTS, flag_inactive, groups_with_active_members
+from syncforge.operators.hierarchy import DESCENDANTS, groups_with_active_members, update_inactive
 from syncforge.operators.membership import replace_members
 from syncforge.operators.merge import ACTION, merge_latest
 from syncforge.operators.metrics import observed_counts, report_of, run_metrics_row
@@ -56,6 +57,7 @@ STATE = "pipeline_state"
 ROLE_HISTORY = "agent_role_history"
 STATUS_HISTORY = "agent_status_history"
 STG_DAY = "stg_day"
+OWN_ACTIVE = "groups_own_active"  # groups with an active member of their own, as of each run
 
 
 class MissingMandatoryEntity(RuntimeError):
@@ -210,9 +212,12 @@ def sync_agents(ctx: DayContext) -> bool:
         raise MissingMandatoryEntity(f"agents snapshot missing for {ctx.day}")
     with _fork(ctx) as hold:
         valid, errors = agents.transform(details, active, ctx.day, ctx.run_ts, hold=hold)
-        _quarantine(ctx, errors, "agents")
+        unread = agents.unread_lists(active, ctx.day, ctx.run_ts)
+        _quarantine(ctx, errors.unionByName(unread), "agents")
+        core = ctx.store.read("agents", S.AGENTS_DDL, below=ctx.run)
+        if not unread.isEmpty():  # part of the list is missing: nobody becomes inactive by it
+            valid = agents.keep_status(valid, core)
         staged = _stage(ctx, "agents", valid)
-    core = ctx.store.read("agents", S.AGENTS_DDL, below=ctx.run)
     merged = merge_latest(
         core, staged, ["agent_id"], guard="updated_at", null_guard="reject",
         keep=["created_at"], greatest=["updated_at"],
@@ -248,9 +253,11 @@ def sync_groups(ctx: DayContext) -> bool:
     new_members, kept = _write_core(ctx, "group_membership", replace_members(membership, staged_members, listed))
     # inactive flag over the merged hierarchy, the new members and merged agents
     merged_groups, seen = _write_core(ctx, "groups_merged", merged)
-    active = groups_with_active_members(new_members.drop(ACTION), agents_now)
-    flagged = flag_inactive(merged_groups, active, direction=ctx.direction)
-    _, flags = _write_core(ctx, "groups", flagged, F.count(F.lit(1)).alias("rows_recomputed"))
+    own = groups_with_active_members(new_members.drop(ACTION), agents_now)
+    own_now, _ = _write_core(ctx, OWN_ACTIVE, own.withColumn(ACTION, F.lit(None).cast("string")))
+    own_before = ctx.store.read(OWN_ACTIVE, "group_id bigint", below=ctx.run)
+    flagged = update_inactive(merged_groups, core, own_before, own_now, direction=ctx.direction)
+    _, flags = _write_core(ctx, "groups", flagged, F.count_if(F.col("_recomputed")).alias("rows_recomputed"))
     deleted = seen_in.get["rows"] - kept.get["rows_kept"]
     counts = report_of({**seen.get, "rows_deleted": deleted, "rows_recomputed": flags.get["rows_recomputed"]})
     _metrics(ctx, "groups", "groups", counts, started)
@@ -365,7 +372,7 @@ def sync_transactions(ctx: DayContext) -> bool:
 
 def split_clashes(staged: DataFrame, index: KeyIndex) -> tuple[DataFrame, DataFrame]:
     """J-15: (rows to merge, rows whose key belongs to another row), within the batch and against the stored keys."""
-    staged = staged.filter(F.col(index.owner).isNotNull())
+    staged = drop_null_keys(staged, [index.owner])
     pair = [index.owner, index.key]
     _, dup = split_unique(staged.select(*pair).distinct(), [index.key])
     owners = index.owners(staged).withColumnRenamed(index.owner, "_owner")

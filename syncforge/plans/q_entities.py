@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from syncforge import schemas as S
+from syncforge.operators.envelope import explode_ids
 from syncforge.plans.entities import agent_roles, agents, budgets, cards, groups
 from syncforge.plans.registry import register
 from syncforge.plans.tables import table
@@ -257,3 +258,17 @@ def groups_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, agents_df = groups_input(spark, sf_dir)
     _, members, _, _ = groups.transform(raw, agents_df, "sf", F.lit(RUN_TS).cast("timestamp"))
     return members
+
+
+@register(
+    "group_members_outer",
+    """
+SELECT p_partkey AS group_id, unnest(CASE WHEN p_type IN ('PROMO', 'LARGE', 'STANDARD') THEN [NULL]
+         ELSE [CAST(p_size AS BIGINT), CAST(p_size + 100000 AS BIGINT)] END) AS agent_id
+FROM part""",
+)
+def group_members_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B-17: a group without members (NULL, empty or unreadable list) keeps one row, with a NULL member."""
+    raw, _ = groups_input(spark, sf_dir)
+    rows = raw.select(F.col("id").cast("bigint").alias("group_id"), "agent_ids")
+    return explode_ids(rows, ["group_id"], "agent_ids", "agent_id", outer=True)

@@ -2,8 +2,8 @@
 
 The quarantine queries run the same driver-table records as the ``*_sync``
 queries and return the rejected side: key, error type, message and the raw
-record (whole for member and role pairs; its id for entities whose raw
-capture holds every field). The ``*_latest`` queries feed records whose keys
+record (whole for member and role pairs and for budgets; its id and some
+fields for the others). The ``*_latest`` queries feed records whose keys
 really repeat.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from syncforge import schemas as S
 from syncforge.plans import q_entities as Q
 from syncforge.plans.entities import agent_roles, agents, budgets, cards, groups, roles, transactions
+from syncforge.plans.q_validate import _TXN_BASE_SQL, orders_as_transactions, orders_fx_rates
 from syncforge.plans.registry import register
 from syncforge.plans.tables import table
 
@@ -25,10 +26,10 @@ def _run_ts():
     return F.lit(Q.RUN_TS).cast("timestamp")
 
 
-def _entity_rows(errors: DataFrame) -> DataFrame:
+def _entity_rows(errors: DataFrame, *more: str) -> DataFrame:
     return errors.select(
         "entity", "record_key", "error_type", "error_message", "sync_day", "created_at",
-        F.get_json_object("raw_record", "$.id").alias("raw_id"),
+        F.get_json_object("raw_record", "$.id").alias("raw_id"), *more,
     )
 
 
@@ -73,13 +74,14 @@ def cards_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     "budgets_quarantine",
     f"""
 SELECT 'budgets' AS entity, 'b' || s_suppkey AS record_key, 'VALIDATION_ERROR' AS error_type,
-       'budget_id or limit_amount is null' AS error_message, 'b' || s_suppkey AS raw_id, {_STAMP}
+       'budget_id or limit_amount is null' AS error_message, 'b' || s_suppkey AS raw_id, {_STAMP},
+       '{{"id":"b' || s_suppkey || '","name":"' || s_name || '","retired":"false","startDate":"2024-05-15","currentPeriod":{{}}}}' AS raw_record
 FROM supplier WHERE s_nationkey = 3""",
 )
 def budgets_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C-03 / C-10: budgets without a limit."""
     _, errors = budgets.transform(Q.budgets_input(spark, sf_dir), DAY, _run_ts())
-    return _entity_rows(errors)
+    return _entity_rows(errors, "raw_record")
 
 
 @register(
@@ -231,3 +233,21 @@ def transactions_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     no_rates = spark.createDataFrame([], S.FX_RATES_DDL)
     valid, _ = transactions.transform(raw, no_rates, DAY, _run_ts())
     return valid.select("transaction_id", F.col("original_amount").cast("double"), F.col("amount_usd").cast("double"), "fx_source", "merchant_name", "updated_time")
+
+
+@register(
+    "transactions_quarantine",
+    _TXN_BASE_SQL
+    + f"""
+SELECT 'transactions' AS entity, transaction_id AS record_key, 'VALIDATION_ERROR' AS error_type, error_message, {_STAMP},
+       transaction_id AS raw_id, CASE WHEN NOT no_uuid THEN 't-' || o_orderkey END AS raw_uuid, original_currency AS raw_currency
+FROM z WHERE error_message IS NOT NULL""",
+)
+def transactions_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C-05..C-07, C-10: each bad record once, with its first failure and its raw payload."""
+    _, errors = transactions.transform(orders_as_transactions(spark, sf_dir), orders_fx_rates(spark, sf_dir), DAY, _run_ts())
+    raw = lambda path: F.get_json_object("raw_record", path)
+    errors = errors.withColumns(
+        {"raw_uuid": raw("$.uuid"), "raw_currency": F.coalesce(raw("$.currencyData.originalCurrencyCode"), raw("$.originalCurrencyCode"))}
+    )
+    return _entity_rows(errors, "raw_uuid", "raw_currency")

@@ -4,20 +4,23 @@ backfill (J-03, J-05..J-09, J-13, K-01..K-03, M-02, D-09..D-12, H-01)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from syncforge.operators.assignments import assignment_history, merge_assignments
-from syncforge.operators.hierarchy import ANCESTORS, DESCENDANTS, flag_inactive, groups_with_active_members
+from syncforge.operators.hierarchy import ANCESTORS, DESCENDANTS, flag_inactive, groups_with_active_members, update_inactive
 from syncforge.operators.membership import replace_members
 from syncforge.operators.merge import current_rows, merge_latest
 from syncforge.operators.refer import flag_active, split_known
-from syncforge.operators.snapshot import status_snapshot, upsert_snapshot
+from syncforge.operators.snapshot import status_snapshot
 from syncforge.operators.watermark import advance_watermark, empty_state, since_watermark
 from syncforge.plans.registry import register
 from syncforge.plans.tables import table
 from syncforge.schemas import AGENT_STATUS_HISTORY_DDL
-from syncforge.session import materialize
+from syncforge.session import checkpoint_dir, materialize
+from syncforge.sinks.tables import TableStore
 
 HALF = "2024-01-16"
 RUN_TS = "2024-02-01 00:00:00"
@@ -209,6 +212,26 @@ def _group_query(direction: str, method: str):
 
 register("group_inactive_desc", GROUP_INACTIVE_DESC_SQL)(_group_query(DESCENDANTS, "auto"))
 register("group_inactive_desc_doubling", GROUP_INACTIVE_DESC_SQL)(_group_query(DESCENDANTS, "doubling"))
+def _stored_groups(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """An earlier state: other parents for a part of the groups, some groups missing, other active members."""
+    now = part_groups(spark, sf_dir)
+    before = now.where("group_id % 13 <> 5").withColumn("parent_group_id", F.when(F.col("group_id") % 7 == 3, F.expr("group_id div 5")).otherwise(F.col("parent_group_id")))
+    own = part_active_groups(spark, sf_dir).where("group_id % 4 <> 1").unionByName(now.where("group_id % 97 = 1").select("group_id"))
+    return materialize(flag_inactive(before, own)), materialize(own)
+
+
+def _incremental(direction: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stored, own = _stored_groups(spark, sf_dir)
+        if direction == ANCESTORS:
+            stored = materialize(flag_inactive(stored, own, direction=ANCESTORS))
+        now = update_inactive(part_groups(spark, sf_dir), stored, own, part_active_groups(spark, sf_dir), direction=direction)
+        return now.select("group_id", "parent_group_id", "inactive")
+
+    return run
+
+
+register("group_inactive_incremental", GROUP_INACTIVE_DESC_SQL)(_incremental(DESCENDANTS))
 register(
     "group_inactive_anc",
     _TREE_SQL
@@ -243,21 +266,21 @@ def _active_sql(day: str) -> str:
 @register(
     "status_snapshot",
     f"""
-SELECT c_custkey AS agent_id, DATE '{DAY1}' AS sync_date, {_active_sql(DAY1)} AS is_active, 'keep' AS _action
+SELECT c_custkey AS agent_id, DATE '{DAY1}' AS sync_date, {_active_sql(DAY1)} AS is_active
 FROM customer
 UNION ALL
-SELECT c_custkey, DATE '{DAY2}', {_active_sql(DAY2)}, 'update'
+SELECT c_custkey, DATE '{DAY2}', {_active_sql(DAY2)}
 FROM customer""",
 )
 def status_snapshot_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J-03: (agent, sync date) -> is_active, upserted per day; the replay overwrites in place."""
+    """J-03, as the flow does it: a day's snapshot replaces that day's partition, also when the day is run again."""
     agents = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("agent_id"))
-    snap1 = status_snapshot(flag_active(agents, _active_on(spark, sf_dir, DAY1), "agent_id"), DAY1)
-    snap2 = status_snapshot(flag_active(agents, _active_on(spark, sf_dir, DAY2), "agent_id"), DAY2)
-    hist = spark.createDataFrame([], AGENT_STATUS_HISTORY_DDL)
-    hist = materialize(current_rows(upsert_snapshot(hist, snap1)))
-    hist = materialize(current_rows(upsert_snapshot(hist, snap2)))
-    return upsert_snapshot(hist, snap2)
+    store = TableStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/status-{uuid.uuid4().hex}")
+    wrong = status_snapshot(flag_active(agents, _active_on(spark, sf_dir, DAY1), "agent_id"), DAY2)
+    first, second = (status_snapshot(flag_active(agents, _active_on(spark, sf_dir, d), "agent_id"), d) for d in (DAY1, DAY2))
+    for snap in (first, wrong, second):  # the second day was first run with the first day's list
+        store.overwrite_partitions("agent_status_history", snap, ["sync_date"])
+    return store.read_partitioned("agent_status_history", AGENT_STATUS_HISTORY_DDL)
 
 
 # ---------------------------------------------------------------------------
@@ -265,16 +288,16 @@ def status_snapshot_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 def _watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    state = advance_watermark(empty_state(spark), ev.filter(F.col("event_type") == "signup"), "events", "ts")
-    # other batches arrive late: the mark takes the greatest and never moves back
-    for late in ("error", "view"):
-        state = advance_watermark(state, ev.filter(F.col("event_type") == late), "events", "ts")
+    state = empty_state(spark)
+    # each batch brings its own latest time: the mark takes the greatest and never moves back
+    for rest in range(5):
+        state = advance_watermark(state, ev.filter(F.pmod("event_id", F.lit(5)) == rest), "events", "ts")
     return state
 
 
 @register(
     "watermark_state",
-    f"SELECT 'events' AS pipeline_name, max(ts) AS last_processed_time FROM events WHERE event_type IN ('signup', 'error', 'view')",
+    f"SELECT 'events' AS pipeline_name, max(ts) AS last_processed_time FROM events",
 )
 def watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _watermark_state(spark, sf_dir)
@@ -284,7 +307,7 @@ def watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     "watermark_delta",
     f"""
 SELECT event_id, user_id, ts FROM events
-WHERE ts IS NULL OR ts >= (SELECT max(ts) FROM events WHERE event_type IN ('signup', 'error', 'view'))""",
+WHERE ts IS NULL OR ts >= (SELECT max(ts) FROM events)""",
 )
 def watermark_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")

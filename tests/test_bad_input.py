@@ -146,3 +146,46 @@ def test_quotes_that_differ_are_no_rate(spark):
     )
     got = {str(r["_fx_date"]): r["_api_rate"] for r in rates_to_usd(rates).collect()}
     assert got == {"2024-01-01": None, "2024-01-02": 2.0, "2024-01-03": None}
+
+
+def test_corrupt_active_list_deactivates_nobody(spark, tmp_root):
+    """A-07: what the list still says counts, and nobody becomes inactive by what it lost."""
+    from fixtures import write_days
+    from syncforge.plans.flow import QUARANTINE, run_day
+
+    base = f"{tmp_root}/snap"
+    days = write_days(base)
+    store = TableStore(spark, f"{tmp_root}/t")
+    run_day(spark, base, days[0], store, only=["agents"])
+    before = {r.agent_id: r.status for r in store.read("agents", S.AGENTS_DDL).collect()}
+    folder = f"{base}/sync-{days[1]}/agents"
+    for name in os.listdir(folder):
+        with open(f"{folder}/{name}", "w", encoding="utf-8") as f:
+            f.write('[{"id": 1}, {"id": 2')
+    run_day(spark, base, days[1], store, only=["agents"])
+    assert {r.agent_id: r.status for r in store.read("agents", S.AGENTS_DDL).collect()} == before
+    bad = store.read_partitioned(QUARANTINE, S.QUARANTINE_DDL).where("error_type = 'UNREADABLE_ACTIVE_LIST'").collect()
+    assert len(bad) == 1 and bad[0].raw_record.startswith('[{"id": 1}')
+
+
+def test_hot_day_and_currency_is_not_shuffled(spark):
+    """All rows on one (day, currency): the rate comes from a broadcast day, beyond the bound from salted ones."""
+    from syncforge.operators import fx
+
+    rows = spark.range(2000).selectExpr("id", "DATE'2024-05-01' AS fx_date", "IF(id = 7, 'USD', 'EUR') AS original_currency", "CAST(id AS DECIMAL(38,9)) AS original_amount", "CAST(NULL AS DOUBLE) AS payload_exchange_rate")
+    kind = "fx_date date, currency string, usd_quote double"
+    import datetime as dt
+
+    rates = spark.createDataFrame([(dt.date(2024, 5, 1), "eur", 2.0), (dt.date(2024, 5, 1), "JPY", 0.0), (dt.date(2024, 5, 2), "EUR", 4.0)], kind)
+    out = fx.convert_to_usd(rows, rates)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    want = {i: (i, "API") if i == 7 else (i / 2, "API") for i in range(2000)}
+    assert {r.id: (float(r.amount_usd), r.fx_source) for r in out.collect()} == want
+    bound = fx.BROADCAST_DAYS
+    fx.BROADCAST_DAYS = 1
+    try:
+        salted = fx.convert_to_usd(rows, rates)
+        assert {r.id: (float(r.amount_usd), r.fx_source) for r in salted.collect()} == want
+    finally:
+        fx.BROADCAST_DAYS = bound

@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from syncforge.operators.hierarchy import ANCESTORS, DESCENDANTS, active_groups, flag_inactive
+from syncforge.operators.hierarchy import ANCESTORS, DESCENDANTS, active_groups, flag_inactive, update_inactive
 
 
 def brute(parent: dict, active: set, direction: str) -> set:
@@ -85,6 +85,38 @@ def test_parent_of_many(spark, direction, method):
     assert n == (100_001 if direction == ANCESTORS else 2)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+@pytest.mark.parametrize("direction", [DESCENDANTS, ANCESTORS])
+def test_update_equals_full_recompute(spark, seed, direction):
+    """Random forests with cycles; groups come, go and move, members change."""
+    rnd = random.Random(100 + seed)
+    parent, active = random_graph(seed, 60)
+    before = flag_inactive(*_frames(spark, parent, active), direction=direction)
+    later, own = dict(parent), set(active)
+    for x in rnd.sample(sorted(parent), 6):
+        later[x] = rnd.choice([None, x, *parent, 999])
+    for x in rnd.sample(sorted(parent), 4):
+        later.pop(x)
+    later.update({1000 + i: rnd.choice([None, *parent, 1000]) for i in range(3)})
+    own ^= set(rnd.sample(range(70), 5)) | {1001}
+    g, a = _frames(spark, later, own)
+    _, was = _frames(spark, parent, active)
+    got = {r.group_id: r.inactive for r in update_inactive(g, before, was, a, direction=direction).collect()}
+    live = brute(later, own, direction)
+    assert got == {x: x not in live for x in later}
+
+
+def test_update_touches_what_changed(spark):
+    """10,000 chains of three: one changed member touches one chain, no change touches nothing."""
+    g = spark.range(30_000).selectExpr("id as group_id", "if(id % 3 = 0, null, id - 1) as parent_group_id")
+    was = spark.createDataFrame([(2,), (300,)], "group_id bigint")
+    stored = flag_inactive(g, was)
+    now = spark.createDataFrame([(2,), (301,), (300,)], "group_id bigint")
+    rows = update_inactive(g, stored, was, now).where("_recomputed").collect()
+    assert {r.group_id: r.inactive for r in rows} == {301: False, 300: False}
+    assert update_inactive(g, stored, was, was).where("_recomputed").count() == 0
+
+
 def test_nothing_active_and_no_groups(spark):
     g, _ = _frames(spark, {1: None, 2: 1}, set())
     none = spark.createDataFrame([], "group_id bigint")
