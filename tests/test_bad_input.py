@@ -172,14 +172,14 @@ def test_hot_day_and_currency_is_not_shuffled(spark):
     """All rows on one (day, currency): the rate comes from a broadcast day, beyond the bound from salted ones."""
     from syncforge.operators import fx
 
-    rows = spark.range(2000).selectExpr("id", "DATE'2024-05-01' AS fx_date", "IF(id = 7, 'USD', 'EUR') AS original_currency", "CAST(id AS DECIMAL(38,9)) AS original_amount", "CAST(NULL AS DOUBLE) AS payload_exchange_rate")
+    rows = spark.range(2000).selectExpr("id", "IF(id < 0, DATE'2024-05-02', DATE'2024-05-01') AS fx_date", "IF(id = 7, 'USD', 'EUR') AS original_currency", "CAST(id AS DECIMAL(38,9)) AS original_amount", "CAST(NULL AS DOUBLE) AS payload_exchange_rate")
     kind = "fx_date date, currency string, usd_quote double"
     import datetime as dt
 
     rates = spark.createDataFrame([(dt.date(2024, 5, 1), "eur", 2.0), (dt.date(2024, 5, 1), "JPY", 0.0), (dt.date(2024, 5, 2), "EUR", 4.0)], kind)
     out = fx.convert_to_usd(rows, rates)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan, plan
     want = {i: (i, "API") if i == 7 else (i / 2, "API") for i in range(2000)}
     assert {r.id: (float(r.amount_usd), r.fx_source) for r in out.collect()} == want
     bound = fx.BROADCAST_DAYS
