@@ -126,7 +126,9 @@ def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     """One row per document: key, ``n_features``, ``log_weight``, ``score`` (with noise) and ``kept`` (one of the k greatest).
 
     ``k``, else ``share`` of the documents (all of them by default): the
-    sample size is the feature of this operator.
+    sample size is the feature of this operator. Rows equal in key and text
+    are kept or dropped together, so more than k are kept where such rows
+    stand across the k-th place. A null key has the noise of key 0.
     """
     good = good_label() if good is None else good
     ratio = fit(docs, labels, key, text, good)

@@ -63,6 +63,46 @@ def test_shards_keep_groups_and_balance(docs, many):
     assert again == crc
 
 
+def plain_shards(sizes, groups, shards, buckets):
+    """The law by hand: in each bucket the largest group goes to the emptiest bin; then bins to shards by the same rule."""
+    bins = {}
+    for b in range(buckets):
+        own = sorted((g for g in groups if groups[g] == b), key=lambda g: (-sizes[g], g))
+        loads = [0] * shards
+        for g in own:
+            s = loads.index(min(loads))
+            loads[s] += sizes[g]
+            bins.setdefault((b, s), []).append(g)
+    order = sorted(bins, key=lambda x: (-sum(sizes[g] for g in bins[x]), x))
+    loads, out = [0] * shards, {}
+    for x in order:
+        s = loads.index(min(loads))
+        loads[s] += sum(sizes[g] for g in bins[x])
+        out |= {g: s for g in bins[x]}
+    return out, loads
+
+
+def test_shards_by_the_law(many):
+    """Every group where the plain computation puts it; loads apart by no more than the largest group."""
+    keyed = many.select("text", sharding.text_key(F.col("text")).alias("g")).withColumn("b", F.pmod(F.xxhash64("g"), F.lit(3)).cast("int")).collect()
+    sizes = Counter()
+    for r in keyed:
+        sizes[bytes(r["g"])] += len((r["text"] or "").encode()) + 1
+    want, loads = plain_shards(sizes, {bytes(r["g"]): r["b"] for r in keyed}, 4, 3)
+    got = sharding.shard(many, shards=4, buckets=3, salts=5).collect()
+    by_crc = {zlib.crc32((r["text"] or "").encode()): want[bytes(r["g"])] for r in keyed if r["text"]}
+    assert all(r["shard"] == by_crc[r["text_crc32"]] for r in got if r["text_crc32"])
+    own = Counter()
+    for r in got:
+        own[r["shard"]] += r["size"]
+    assert sorted(own.values()) == sorted(x for x in loads if x)
+    small = many.where("length(text) < 1000")
+    even = Counter()
+    for r in sharding.shard(small, shards=4, buckets=1).collect():
+        even[r["shard"]] += r["size"]
+    assert max(even.values()) - min(even.values()) <= max(len((t or "").encode()) + 1 for _, t in pairs(small))
+
+
 def test_lpt_rule():
     assert list(sharding.lpt([7, 6, 5, 4, 3], 2)) == [0, 1, 1, 0, 0]
 
@@ -445,6 +485,34 @@ def test_importance_share_and_weight_of_the_method(spark):
         assert got[r["doc_id"]] == pytest.approx(ratio[own].sum(), abs=1e-6)
 
 
+def test_importance_against_a_plain_model(spark):
+    """Counts, smoothed models, log ratios and the k greatest by hand; ties over the k-th place, null and repeated keys, clashing names."""
+    rows = [(1, "alpha beta gamma"), (2, "junk spam"), (3, "junk buy now"), (4, "alpha beta"), (None, "alpha beta gamma"), (7, "alpha beta"), (7, "alpha beta"), (8, None), (9, "")]
+    df = spark.createDataFrame([(k, t, 0, "x") for k, t in rows], "doc_id long, text string, row long, rank string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (4, 1, 0), (3, 1, 1)], "doc_id long, quality int, toxic int")
+    feats = {t: importance.features(*buffers.flat(pa.array([t])))[0].tolist() for _, t in rows if t}
+    raw, target = Counter(), Counter()
+    for _, t in rows:
+        raw.update(feats.get(t, []))
+    for k, t in rows:
+        if k in (1, 4):
+            target.update(feats.get(t, []))
+
+    def log_share(c, f):
+        return np.log((c[f] + importance.SMOOTH) / (sum(c.values()) + importance.FEATURES * importance.SMOOTH))
+
+    for k in range(len(rows) + 1):  # the k greatest; equal rows share their fate
+        got = importance.sample(df, labels, k=k).collect()
+        kept, gone = ([r["score"] for r in got if r["kept"] is x] for x in (True, False))
+        assert len(got) == len(rows) and k <= len(kept) <= k + 1 and min(kept, default=9e9) >= max(gone, default=-9e9)
+        assert len({r["kept"] for r in got if r["doc_id"] == 7}) == 1
+        assert len(kept) == k or any(r["kept"] for r in got if r["doc_id"] == 7)
+    want = sorted((str(k), round(float(sum(log_share(target, f) - log_share(raw, f) for f in feats.get(t, []))), 5)) for k, t in rows)
+    assert sorted((str(r["doc_id"]), round(r["log_weight"], 5)) for r in got) == want
+    weight = {r["doc_id"]: r["log_weight"] for r in got}
+    assert weight[4] > weight[2] and weight[None] == weight[1] and weight[8] == weight[9] == 0
+
+
 # decontamination
 
 

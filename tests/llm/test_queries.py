@@ -124,3 +124,21 @@ def test_pipeline_against_plain_stages(spark, con):
     assert [g[0] for g in got] == [w[0] for w in want]
     assert got == want
     assert Counter(n for n, _ in corpus_pipeline.STAGES).total() == 5
+
+
+def test_pipeline_on_odd_rows_and_an_empty_table(spark, tmp_path):
+    """Null, empty and repeated rows, null keys, a very long text: every stage runs, clean documents come through whole."""
+    clean = " ".join(f"clean{i} words{i * i}" for i in range(60))
+    other = " ".join(f"other{i} text{i * 7}" for i in range(60))
+    rows = [(1, clean, "en", "a", len(clean)), (1, clean, "en", "a", len(clean)), (None, other, None, None, None), (2, None, "en", "a", 0), (3, "", "en", "a", 0), (4, "spam " * 5000, "en", "a", 25_000)]
+    rows += [(5, " ".join(f"long{i}" for i in range(30_000)), "en", "b", 0)]
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, kind).write.parquet(str(tmp_path / "odd" / "documents.parquet"))
+    spark.createDataFrame([], kind).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    for d in ("odd", "none"):
+        spark.createDataFrame([(1, "no such words anywhere")], "item_id long, text string").write.parquet(str(tmp_path / d / "benchmark.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path / "odd")).collect()
+    texts = {1: clean, None: other, 5: rows[-1][1]}
+    assert sorted((r["doc_id"] for r in got), key=str) == sorted(texts, key=str)
+    assert {r["doc_id"]: r["decoded_sha256"] for r in got} == {k: hashlib.sha256(t.encode()).hexdigest() for k, t in texts.items()}
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).collect() == []
