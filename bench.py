@@ -35,8 +35,8 @@ def main() -> None:
     }
     spark = build_session("syncforge-bench", master=f"local[{cpus}]", shuffle_partitions=cpus * 2, extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="syncforge-ckpt-"))
+    if spark.sparkContext.master.startswith("local[") and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="syncforge-ckpt-"))  # one machine; a cluster names its own
 
     # warm-up: JVM JIT and codegen caches, on the smallest tables (untimed)
     spark.read.parquet(f"{sf_dir}/region.parquet").write.format("noop").mode("overwrite").save()
