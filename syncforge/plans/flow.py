@@ -110,14 +110,14 @@ def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
 def _quarantine(ctx: DayContext, errors: DataFrame, name: str) -> None:
     df, obs = _observed(errors.drop("sync_day"))
     ctx.store.overwrite_folder(QUARANTINE, df, step=name, sync_day=ctx.day)
-    ctx.results.setdefault("quarantined_rows", {})[name] = obs.get["rows"]
+    ctx.results.setdefault("quarantined_rows", {})[name] = obs.get.get("rows", 0)
 
 
 def _stage(ctx: DayContext, name: str, valid: DataFrame) -> DataFrame:
     table = f"stg_{name}"
     df, obs = _observed(valid)
     staged = ctx.store.overwrite_folder(table, df, **{STG_DAY: ctx.day})
-    ctx.results.setdefault("staged_rows", {})[name] = obs.get["rows"]
+    ctx.results.setdefault("staged_rows", {})[name] = obs.get.get("rows", 0)
     return staged
 
 
@@ -258,8 +258,8 @@ def sync_groups(ctx: DayContext) -> bool:
     own_before = ctx.store.read(OWN_ACTIVE, "group_id bigint", below=ctx.run)
     flagged = update_inactive(merged_groups, core, own_before, own_now, direction=ctx.direction)
     _, flags = _write_core(ctx, "groups", flagged, F.count_if(F.col("_recomputed")).alias("rows_recomputed"))
-    deleted = seen_in.get["rows"] - kept.get["rows_kept"]
-    counts = report_of({**seen.get, "rows_deleted": deleted, "rows_recomputed": flags.get["rows_recomputed"]})
+    deleted = seen_in.get.get("rows", 0) - kept.get.get("rows_kept", 0)
+    counts = report_of({**seen.get, "rows_deleted": deleted, "rows_recomputed": flags.get.get("rows_recomputed", 0)})
     _metrics(ctx, "groups", "groups", counts, started)
     return True
 
@@ -349,7 +349,7 @@ def sync_transactions(ctx: DayContext) -> bool:
         records = unwrap(raw, "results").select("rec.*").observe(seen_raw, F.count(F.lit(1)).alias("rows"))
         valid, errors = transactions.transform(records, _fx_rates(ctx), ctx.day, ctx.run_ts, hold=hold)
         staged = _stage(ctx, "transactions", valid)
-        if not seen_raw.get["rows"]:  # A-15: no records -> nothing merged
+        if not seen_raw.get.get("rows", 0):  # A-15: no records -> nothing merged
             ctx.store.drop_partition("stg_transactions", STG_DAY, ctx.day)
             return False
         if ctx.delta_only:
