@@ -43,8 +43,9 @@ BLOCK = 1024
 PERCENTILE = 0.9
 #: Ids of a file image at which it is closed (with the document that reaches it).
 IMAGE_IDS = 1 << 20
-#: Bytes of text of a part.
+#: Bytes of text of a part, and parts at most (beyond 320 GB of text parts grow; images do not).
 PART_BYTES = 32 << 20
+PARTS = 10_000
 _MAGIC = b"PFOR\x00\x02\x00\x00"
 _HEAD = struct.Struct("<8sQQQ")  # magic, documents, ids, blocks
 
@@ -235,12 +236,13 @@ def write(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, key: str
     """Writes the token files of ``docs`` under ``path`` and returns the table of images read back from there.
 
     ``vocabulary``: the tokenizer's JSON. Documents are dealt by key ranges
-    of about ``part_bytes`` of text; a part is one task's sorted stream.
+    of about ``part_bytes`` of text, at most ``PARTS``; a part is one task's
+    sorted stream, and its images are closed at ``IMAGE_IDS`` whatever its size.
     """
     spark = docs.sparkSession
     narrow = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-total // part_bytes))
+    parts = min(max(1, -(-total // part_bytes)), PARTS)
     shared = spark.sparkContext.broadcast(vocabulary)
     ordered = narrow.repartitionByRange(parts, "key").sortWithinPartitions("key", "text")
     rows = ordered.mapInArrow(_images(shared, end_id), "part int, seq int, before long, n_docs long, n_ids long, image binary")
@@ -270,8 +272,8 @@ def _documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_documents(table: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per document of the images: key, ``start`` (ids of all documents before it), ``n_tokens``, ``ids_crc32``.
 
-    The ids before each part come from one row a part (a few hundred bytes a
-    terabyte of text), joined by broadcast.
+    The ids before each part come from one row a part, at most ``PARTS`` of
+    them, joined by broadcast.
     """
     from pyspark.sql import Window
 
