@@ -25,7 +25,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from syncforge import schemas as S  # noqa: E402
 from syncforge.plans import flow  # noqa: E402
-from syncforge.plans.q_entities import _record  # noqa: E402
+from syncforge.plans.q_entities import record as _record  # noqa: E402
 from syncforge.plans.q_validate import orders_as_transactions, orders_fx_rates  # noqa: E402
 from syncforge.plans.tables import table  # noqa: E402
 from syncforge.session import build_session  # noqa: E402
@@ -124,6 +124,7 @@ def main() -> None:
             fn(ctx)
             r = ctx.results.get(name, {})
             out[name] = {"s": round(time.time() - t, 2), **({k: r[k] for k in ("rows_inserted", "rows_updated", "rows_deleted")} if isinstance(r, dict) else {})}
+        flow.finish(ctx)
         print(json.dumps(out), flush=True)
     inactive = flow.read_core(store, "groups", S.GROUPS_DDL).filter("inactive").count()
     print(json.dumps({"groups_inactive": inactive, "transactions": flow.read_core(store, "transactions").count()}))
