@@ -177,8 +177,13 @@ def encode(docs: DataFrame, lines: Sequence[bytes], pattern: str, columns: Seque
     """Per document: key, the columns ``also``, and the asked of ``n_tokens``, ``ids``, ``ids_sha256``, ``decoded`` (bytes), ``decoded_sha256``.
 
     The vocabulary is the only thing broadcast (its size does not depend on
-    the documents). One pass, no shuffle.
+    the documents). One pass, no shuffle. Texts are cut into chunks before a
+    space or line break that a visible character follows; ``pattern`` must
+    never match across such a place, as the patterns of byte-level
+    vocabularies do not. Asked and carried columns must have different names.
     """
+    if len({key, *also, *columns}) < 1 + len(also) + len(columns):
+        raise ValueError(f"columns of one name: {[key, *also, *columns]}")
     shared = docs.sparkSession.sparkContext.broadcast(tuple(lines))
     narrow = docs.select(F.col(key).cast("long").alias(key), *also, F.col(text).cast("string").alias("__text"))
     keep = list(columns)

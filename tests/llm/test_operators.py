@@ -181,6 +181,11 @@ def test_bpe_round_trip(spark, docs, many):
         assert all(r["ids_sha256"] == hashlib.sha256(np.array(r["ids"], "<u4").tobytes()).hexdigest() for r in rows)
 
 
+def test_bpe_columns_of_one_name(docs):
+    with pytest.raises(ValueError):
+        bpe.encode(docs.withColumn("ids", F.lit(1)), [], P.PATTERN, ("ids",), also=("ids",))
+
+
 def test_bpe_cache_restarts():
     lines = open(P.path("byte_bpe_50k.tiktoken"), "rb").read().splitlines()
     codec = bpe.Codec(lines, P.PATTERN)
