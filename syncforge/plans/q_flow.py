@@ -9,7 +9,6 @@ outcome by the rules of the merges, from the same driver tables.
 
 from __future__ import annotations
 
-import datetime as dt
 import uuid
 from collections.abc import Sequence
 
@@ -27,7 +26,7 @@ from syncforge.session import checkpoint_dir, materialize
 from syncforge.sinks.tables import TableStore
 
 DAYS = ("2024-05-01", "2024-05-02")
-RUN_TS = {d: dt.datetime.fromisoformat(f"{d}T23:00:00") for d in DAYS}
+RUN_TS = {d: f"{d} 23:00:00" for d in DAYS}  # in the session's zone
 T1, T2 = (f"TIMESTAMP '{d} 23:00:00'" for d in DAYS)
 
 
@@ -483,7 +482,7 @@ def assignment_history_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     before, log = empty_mapping(spark), None
     for version in (1, 2, 3):
-        after = materialize(merge_assignments(before, _pairs(spark, sf_dir, version), dt.datetime(2024, 5, version)).drop("_action"))
+        after = materialize(merge_assignments(before, _pairs(spark, sf_dir, version), f"2024-05-0{version} 12:00:00").drop("_action"))
         changes = assignment_changes(before, after)
         rows = changes.select("agent_id", "role_id", F.concat_ws(" ", "action", F.dayofmonth("action_time").cast("string")).alias("change"))
         log = rows if log is None else log.unionByName(rows)
