@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from syncforge.operators.assignments import assignment_history, merge_assignments
 from syncforge.operators.hierarchy import ANCESTORS, DESCENDANTS, flag_inactive, groups_with_active_members, update_inactive
 from syncforge.operators.membership import replace_members
-from syncforge.operators.merge import current_rows, merge_latest
+from syncforge.operators.merge import ACTION, KEEP, current_rows, merge_latest
 from syncforge.operators.refer import flag_active, split_known
-from syncforge.operators.snapshot import status_snapshot
+from syncforge.operators.snapshot import status_snapshot, upsert_snapshot
 from syncforge.operators.watermark import advance_watermark, empty_state, since_watermark
 from syncforge.plans.registry import register
 from syncforge.plans.tables import table
@@ -266,21 +266,23 @@ def _active_sql(day: str) -> str:
 @register(
     "status_snapshot",
     f"""
-SELECT c_custkey AS agent_id, DATE '{DAY1}' AS sync_date, {_active_sql(DAY1)} AS is_active
+SELECT c_custkey AS agent_id, DATE '{DAY1}' AS sync_date, {_active_sql(DAY1)} AS is_active, 'keep' AS _action
 FROM customer
 UNION ALL
-SELECT c_custkey, DATE '{DAY2}', {_active_sql(DAY2)}
+SELECT c_custkey, DATE '{DAY2}', {_active_sql(DAY2)}, 'update'
 FROM customer""",
 )
 def status_snapshot_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J-03, as the flow does it: a day's snapshot replaces that day's partition, also when the day is run again."""
+    """J-03: (agent, sync date) -> is_active, upserted per day into the flow's partitions; a day run again overwrites in place."""
     agents = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("agent_id"))
     store = TableStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/status-{uuid.uuid4().hex}")
     wrong = status_snapshot(flag_active(agents, _active_on(spark, sf_dir, DAY1), "agent_id"), DAY2)
     first, second = (status_snapshot(flag_active(agents, _active_on(spark, sf_dir, d), "agent_id"), d) for d in (DAY1, DAY2))
     for snap in (first, wrong, second):  # the second day was first run with the first day's list
-        store.overwrite_partitions("agent_status_history", snap, ["sync_date"])
-    return store.read_partitioned("agent_status_history", AGENT_STATUS_HISTORY_DDL)
+        # the plan reads the folder that it replaces a partition of: its rows are cut off first
+        merged = materialize(upsert_snapshot(store.read_partitioned("agent_status_history", AGENT_STATUS_HISTORY_DDL), snap))
+        store.overwrite_partitions("agent_status_history", current_rows(merged.where(F.col(ACTION) != KEEP)), ["sync_date"])
+    return upsert_snapshot(store.read_partitioned("agent_status_history", AGENT_STATUS_HISTORY_DDL), second)
 
 
 # ---------------------------------------------------------------------------

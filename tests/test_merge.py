@@ -11,6 +11,7 @@ from syncforge.operators.dedup import latest_per_key
 from syncforge.operators.membership import replace_members
 from syncforge.operators.merge import ACTION, current_rows, merge_latest
 from syncforge.operators.metrics import merge_counts
+from syncforge.operators.snapshot import upsert_snapshot
 from syncforge.operators.uniqueness import split_unique
 from syncforge.operators.watermark import advance_watermark, empty_state, since_watermark
 
@@ -123,6 +124,17 @@ def test_membership_replace_clears_emptied_groups(spark):
     assert got == [(1, 12), (3, 30)]
 
 
+def test_status_upsert_tells_what_it_did(spark):
+    ddl = "agent_id bigint, sync_date string, is_active boolean"
+    history = spark.createDataFrame([(1, "d1", True), (None, "d1", False), (1, "d2", True), (None, "d2", True)], ddl)
+    snap = spark.createDataFrame([(1, "d2", False), (1, "d2", False), (None, "d2", False), (2, "d2", True)], ddl)
+    got = sorted(map(str, upsert_snapshot(history, snap).select("agent_id", "sync_date", "is_active", ACTION).rdd.map(tuple).collect()))
+    assert got == sorted(map(str, [
+        (1, "d1", True, "keep"), (None, "d1", False, "keep"), (1, "d2", False, "update"), (1, "d2", False, "update"),
+        (None, "d2", False, "update"), (2, "d2", True, "insert"),
+    ]))
+
+
 def test_watermark_never_moves_back(spark):
     b1 = spark.createDataFrame([(T(2024, 5, 3),), (T(2024, 5, 1),)], "u timestamp")
     b2 = spark.createDataFrame([(T(2024, 4, 1),), (None,)], "u timestamp")
