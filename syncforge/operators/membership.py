@@ -31,10 +31,11 @@ def replace_members(
 ) -> DataFrame:
     """Next membership table with ``_action`` ('keep' or 'insert').
 
-    No join is hinted; a group that holds a third of all members is split by
-    AQE's skew join where the sides are shuffled.
+    The joins hash the group ids, one row a group, and stream the members: a
+    task sorts no members. A group that holds a third of all members is split
+    by AQE's skew join.
     """
-    groups = _group_ids(snapshot_groups, group_col)
+    groups = _group_ids(snapshot_groups, group_col).hint("shuffle_hash")
     kept = current.select(group_col, member_col).join(groups, group_col, "left_anti")
     new = (
         staged.select(group_col, member_col)

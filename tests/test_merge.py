@@ -124,6 +124,12 @@ def test_membership_replace_clears_emptied_groups(spark):
     assert got == [(1, 12), (3, 30)]
 
 
+def test_membership_replace_sorts_no_members(spark):
+    pairs = spark.createDataFrame([(1, 10), (2, 20)], "group_id bigint, agent_id bigint")
+    plan = replace_members(pairs, pairs, pairs.select("group_id"))._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan
+
+
 def test_status_upsert_tells_what_it_did(spark):
     ddl = "agent_id bigint, sync_date string, is_active boolean"
     history = spark.createDataFrame([(1, "d1", True), (None, "d1", False), (1, "d2", True), (None, "d2", True)], ddl)
