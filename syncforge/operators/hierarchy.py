@@ -248,19 +248,22 @@ def update_inactive(
     whose own members changed, or that gained or lost an edge. These groups
     are closed along the edges; inside, activity starts at own members and at
     unchanged active groups on the border; all other flags are taken over.
+    Each part is cut with a checkpoint: all of them are laid out by the group,
+    and one task would hold the sorts of all at once.
     """
     ids = groups.select(F.col(id_col).alias(_NODE)).where(F.col(_NODE).isNotNull()).distinct()
     old_ids = stored.select(F.col(id_col).alias(_NODE))
     before, now = (x.select(F.col(id_col).alias(_NODE)).distinct() for x in (own_before, own_now))
-    old_flow, flow = (_flow(x, id_col, parent_col, direction) for x in (stored, groups))
+    old_flow, flow = (materialize(_flow(x, id_col, parent_col, direction)) for x in (stored, groups))
     both = old_flow.withColumn("n", F.lit(-1)).unionByName(flow.withColumn("n", F.lit(1)))
-    edges = both.groupBy("src", "dst").agg(F.sum("n").alias("n")).where("n <> 0").select(F.col("dst").alias(_NODE))
+    edges = materialize(both.groupBy("src", "dst").agg(F.sum("n").alias("n")).where("n <> 0").select(F.col("dst").alias(_NODE)))
     members = before.withColumn("n", F.lit(-1)).unionByName(now.withColumn("n", F.lit(1))).groupBy(_NODE).agg(F.sum("n").alias("n")).where("n <> 0").select(_NODE)
-    changed = ids.join(old_ids, _NODE, "left_anti").unionByName(edges).unionByName(members).distinct()
+    fresh, members = materialize(ids.join(old_ids, _NODE, "left_anti")), materialize(members)
+    changed = materialize(fresh.unionByName(edges).unionByName(members).distinct())
     touched = materialize(active_groups(groups, changed.select(F.col(_NODE).alias(id_col)), id_col, parent_col, None, direction, method))
     alive = stored.where(~F.col(flag_col)).select(F.col(id_col).alias("src"))
-    border = flow.join(touched.select(F.col(id_col).alias("src")), "src", "left_anti").join(alive, "src", "left_semi")
-    inside = groups.join(touched, id_col, "left_semi")
+    border = materialize(flow.join(touched.select(F.col(id_col).alias("src")), "src", "left_anti").join(alive, "src", "left_semi"))
+    inside = materialize(groups.join(touched, id_col, "left_semi"))
     seeds = now.unionByName(border.select(F.col("dst").alias(_NODE))).select(F.col(_NODE).alias(id_col))
     act = active_groups(inside, seeds, id_col, parent_col, None, direction, method).withColumn("_is_act", F.lit(True))
     flags = touched.join(act, id_col, "left").select(id_col, F.col("_is_act").isNull().alias("_new"), F.lit(True).alias(touched_col))

@@ -124,3 +124,22 @@ def test_nothing_active_and_no_groups(spark):
     for method in ("frontier", "doubling", "auto"):
         assert active_groups(g, none, method=method).count() == 0
         assert active_groups(empty, none, method=method).count() == 0
+
+
+def test_changes_are_cut_before_they_spread(spark, monkeypatch):
+    from syncforge.operators import hierarchy
+
+    plans, real = [], hierarchy.active_groups
+
+    def seen(groups, ids, *args):
+        plans.append(ids._jdf.queryExecution().analyzed().toString())
+        return real(groups, ids, *args)
+
+    monkeypatch.setattr(hierarchy, "active_groups", seen)
+    ddl = "group_id bigint, parent_group_id bigint"
+    stored = spark.createDataFrame([(1, None, False), (2, 1, False)], f"{ddl}, inactive boolean")
+    groups = spark.createDataFrame([(1, None), (2, 1), (3, 1)], ddl)
+    was, now = (spark.createDataFrame([(x,)], "group_id bigint") for x in (2, 3))
+    got = {r.group_id: r.inactive for r in update_inactive(groups, stored, was, now).collect()}
+    assert got == {1: False, 2: True, 3: False}
+    assert len(plans) == 2 and not any("Join" in p for p in plans)
