@@ -42,7 +42,6 @@ from syncforge.operators.merge import ACTION, merge_latest
 from syncforge.operators.metrics import observed_counts, report_of, run_metrics_row
 from syncforge.operators.refer import deactivate_absent
 from syncforge.operators.snapshot import status_snapshot
-from syncforge.operators.uniqueness import split_unique
 from syncforge.operators.validate import to_quarantine
 from syncforge.operators.watermark import advance_watermark, since_watermark
 from syncforge.plans.entities import agent_roles, agents, budgets, cards, groups, roles, transactions
@@ -57,6 +56,7 @@ STATE = "pipeline_state"
 ROLE_HISTORY = "agent_role_history"
 STATUS_HISTORY = "agent_status_history"
 STG_DAY = "stg_day"
+CLASHES = "_clashes"  # keys and owners found to clash, read back while a batch is split
 OWN_ACTIVE = "groups_own_active"  # groups with an active member of their own, as of each run
 
 
@@ -168,7 +168,9 @@ def _merge_bucketed(ctx: DayContext, table: str, staged: DataFrame, index: bool
             pair = [*keys, own.key]
             after = ctx.spark.read.schema(f"{ddl}, {BUCKET} int").parquet(store.staged_buckets(table, ctx.run)).select(*pair)
             before = store.read_buckets(table, ddl, store.touched(staged, *keys)).select(*pair)
-            own.stage(ctx.run, added=after.exceptAll(before), released=before.exceptAll(after))
+            diff = after.withColumn("n", F.lit(1)).unionByName(before.withColumn("n", F.lit(-1))).groupBy(*pair).agg(F.sum("n").alias("n")).where("n <> 0")
+            changes = store.write_staged(f"{table}_key_changes", ctx.run, diff)  # one shuffle of both sides; read by each step of the index
+            own.stage(ctx.run, added=changes.where("n > 0").select(*pair), released=changes.where("n < 0").select(*pair))
         store.switch_buckets(table, ctx.run)
         own.switch(ctx.run)
     else:
@@ -375,11 +377,22 @@ def split_clashes(staged: DataFrame, index: KeyIndex) -> tuple[DataFrame, DataFr
     """J-15: (rows to merge, rows whose key belongs to another row), within the batch and against the stored keys."""
     staged = drop_null_keys(staged, [index.owner])
     pair = [index.owner, index.key]
-    _, dup = split_unique(staged.select(*pair).distinct(), [index.key])
-    owners = index.owners(staged).withColumnRenamed(index.owner, "_owner")
-    clash = staged.join(owners, index.key).filter(F.col("_owner") != F.col(index.owner)).drop("_owner")
-    bad = staged.join(dup, pair, "left_semi").unionByName(clash).dropDuplicates(pair)
-    good = staged.join(bad.select(index.owner).distinct(), index.owner, "left_anti")
+    folder = f"{index.store.path(CLASHES)}/{uuid.uuid4().hex}"
+
+    def noted(name: str, rows: DataFrame) -> DataFrame:
+        """The rows as a table: where they are few, the whole staged rows are not shuffled to be joined with them."""
+        rows.write.parquet(f"{folder}/{name}")
+        return staged.sparkSession.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
+    # keys and owners alone tell which keys clash; a key of one staged owner clashes with another stored one
+    owner = F.col(index.owner)
+    keys = staged.select(*pair).groupBy(index.key).agg(F.min(owner).alias("_least"), F.max(owner).alias("_greatest"))
+    owners = index.owners(keys.select(index.key)).withColumnRenamed(index.owner, "_owner")
+    many = keys.where(F.col(index.key).isNotNull() & (F.col("_least") != F.col("_greatest"))).select(index.key)
+    taken = keys.join(owners, index.key).where(F.col("_owner") != F.col("_least")).select(index.key)
+    clashing = noted("keys", many.unionByName(taken).distinct())
+    bad = staged.join(clashing, index.key, "left_semi").dropDuplicates(pair)
+    good = staged.join(noted("owners", bad.select(index.owner).distinct()), index.owner, "left_anti")
     return good, bad
 
 
@@ -454,6 +467,7 @@ def finish(ctx: DayContext) -> None:
     ctx.store.commit(ctx.run, "_finished", ctx.results)
     for table in ("stg_transactions", "stg_transactions_unique"):  # A-16
         ctx.store.drop_partition(table, STG_DAY, ctx.day)
+    ctx.store.drop_table(CLASHES)
     ctx.store.drop_staged(ctx.run)
 
 

@@ -57,8 +57,8 @@ class KeyIndex:
     def stage(self, run: int, added: DataFrame, released: DataFrame) -> None:
         """Stage the index after a merge: ``added`` and ``released`` are ``(key, owner)`` rows."""
         pair = [self.key, self.owner]
-        added = added.select(*pair).where(F.col(self.key).isNotNull()).distinct()
-        released = released.select(*pair).distinct()
+        added = added.select(*pair).where(F.col(self.key).isNotNull())  # made distinct with the stored rows
+        released = released.select(*pair)
         both = added.unionByName(released)
         touched = self.store.touched(both, self.key)
         stored = self.store.read_buckets(self.rows, self.rows_ddl, touched).drop(BUCKET)

@@ -32,6 +32,7 @@ from syncforge.functions.keys import bucket_of
 BUCKET = "bucket"
 LEDGER = "_ledger"
 SWITCH = "_switch"
+CODEC = "zstd"  # of all tables: records of text take half the room of snappy
 
 
 class TableStore:
@@ -135,7 +136,7 @@ class TableStore:
     def write_version(self, table: str, df: DataFrame, version: int | None = None) -> int:
         """Write ``df`` as the next version, or as the given one (replacing what an uncommitted run left there)."""
         v = version if version is not None else (self.current_version(table) or 0) + 1
-        df.write.mode("overwrite").parquet(f"{self.path(table)}/v={v}")
+        df.write.mode("overwrite").option("compression", CODEC).parquet(f"{self.path(table)}/v={v}")
         if self.keep_versions:
             self.vacuum(table, self.keep_versions)
         return v
@@ -173,9 +174,15 @@ class TableStore:
         """Write the next state of the buckets of ``rows`` (with their ``bucket``) beside the table."""
         path = f"{self.root}/{SWITCH}/run={run}/{table}"
         # one task a bucket where buckets are small, several where they are not
-        rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        rows.hint("rebalance", BUCKET).write.mode("overwrite").option("compression", CODEC).partitionBy(BUCKET).parquet(path)
         return path
 
+    def write_staged(self, name: str, run: int, rows: DataFrame) -> DataFrame:
+        """Rows that the steps of a switch share, written once beside what it stages; they go with it."""
+        path = f"{self.root}/{SWITCH}/run={run}/{name}"
+        rows.write.mode("overwrite").option("compression", CODEC).parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def has_staged(self, table: str, run: int, bucket: int) -> bool:
         return self._exists(f"{self.root}/{SWITCH}/run={run}/{table}/{BUCKET}={bucket}")
 
@@ -194,17 +201,20 @@ class TableStore:
                 if not fs.rename(self._fs(f"{path}/{name}")[0], to):
                     raise OSError(f"cannot move {path}/{name}")
 
+    def drop_table(self, table: str) -> None:
+        self._delete(self.path(table))
+
     def drop_staged(self, run: int) -> None:
         self._delete(f"{self.root}/{SWITCH}/run={run}")
 
     # -- staging, quarantine, logs: a folder per day and step ----------------
     def overwrite_partitions(self, table: str, df: DataFrame, partition_by: Sequence[str]) -> None:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(self.path(table))
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC).partitionBy(*partition_by).parquet(self.path(table))
 
     def overwrite_folder(self, table: str, df: DataFrame, **parts) -> DataFrame:
         """Replace one partition folder, also by an empty frame; returns the rows read back."""
         path = "/".join([self.path(table), *(f"{k}={v}" for k, v in parts.items())])
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", CODEC).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def read_partitioned(self, table: str, ddl: str) -> DataFrame:

@@ -124,3 +124,19 @@ def test_partition_overwrite_is_idempotent(spark, tmp_root):
     st.overwrite_partitions("q", df, ["day"])  # re-run of d1
     got = sorted((r.k, r.day) for r in st.read_partitioned("q", "k bigint, day string").collect())
     assert got == [(1, "d1"), (2, "d1"), (5, "d2")]
+
+
+def test_clashes_do_not_shuffle_the_batch(spark, tmp_root):
+    from syncforge.plans.flow import key_index, split_clashes
+
+    row = ["cast(id as string) as transaction_id", "cast(if(id < 2, 0, id) as string) as idempotency_key"]
+    spark.range(20000).selectExpr(*row).write.parquet(f"{tmp_root}/batch")
+    staged = spark.read.parquet(f"{tmp_root}/batch")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")  # far less than the batch
+    try:
+        good, bad = split_clashes(staged, key_index(TableStore(spark, f"{tmp_root}/s", buckets=4)))
+        plan = good._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert good.count() == 19998 and {r.transaction_id for r in bad.collect()} == {"0", "1"}
